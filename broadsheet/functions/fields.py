@@ -122,7 +122,9 @@ def build_structured_from_ocr(category, title, ocr):
 
     def fill(o):
         labelled = lambda labels: _ocr_values(F.regexp_extract_all(o, F.lit(f"(?:{labels})[：:]\\s*(.*)"), 1))
-        price = F.regexp_extract_all(o, F.lit(r"(?:适用)?价格[：:]\s*.*|优惠价格[：:]\s*.*|.*?\d+元[^。\n]*"), 0)
+        # a price label counts at a line start, or when no amount follows on its line; linear in the text
+        label = "(?:(?:适用)?价格|优惠价格)"
+        price = F.regexp_extract_all(o, F.lit(rf"(?m)(?:^{label}|{label}(?=[：:](?![^\n]*\d元)))[：:]\s*.*|\d+元[^。\n]*"), 0)
         price = F.transform(price, lambda p: F.when(F.rlike(p, F.lit("^(?:适用|优惠)?价格[：:]")), F.regexp_extract(p, r"^(?:适用|优惠)?价格[：:]\s*(.*)", 1))
                             .otherwise(F.regexp_extract(p, r"(\d+元[^。\n]*)", 1)))
         return let(F.struct(

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["texts", "labels", "gates"]
+MODULES = ["texts", "labels", "gates", "fields", "scoring", "quality"]
 
 
 def load():

@@ -22,7 +22,7 @@ def q_noise(spark, sf):
 
 
 def rich(n=40):
-    return F.when(F.col("lang") == "en", F.substring("body", 1, n)).otherwise("body")
+    return F.when(F.col("lang") == "en", F.substring("body", 1, n)).otherwise(F.col("body"))
 
 
 SHORT = "CASE WHEN lang = 'en' THEN substr(body, 1, 40) ELSE body END"
