@@ -6,6 +6,7 @@ from ... import lexicon as lx
 from ...functions import labels as lb
 from ...functions import quality as ql
 from ...operators import review as rv
+from ...sources import scratch
 from .base import column_query, notices, q, sql_filled, sql_list, sql_map, sql_over_notices, table
 from .fields import STRUCT, WITH_CATEGORY, sql_display, sql_structured, with_category
 from .labels import sql_classified, sql_resolved, sql_staged
@@ -14,7 +15,14 @@ BE3 = lambda e: f"round_even({e}, 3)"
 
 
 def assessed(spark, sf):
-    """Items with class, bank, structured fields and confidence; two wide projections, no shuffle."""
+    """Items with class, bank, structured fields and confidence, as a written table.
+
+    Filters on derived columns would otherwise be pushed below and re-expand the whole expression chain.
+    """
+    return scratch.stage_once(spark, f"assessed|{sf}", lambda: _assess(spark, sf))
+
+
+def _assess(spark, sf):
     d = notices(spark, sf).select("*", lb.classify_3tier("title", "body").alias("k"), lb.resolve_bank("title", "author", "body").alias("r"))
     d = d.select("doc_id", "title", "body", "author", "url", "publish_time", "images", "source", "lang", "n_chars", F.col("k.category").alias("category"), F.col("k.candidates").alias("candidates"),
                  F.col("k.evidence").alias("evidence"), F.col("r.bank").alias("bank"), F.col("r.confidence").alias("bank_confidence"))
