@@ -167,41 +167,52 @@ def split_raw_text(df, id_col="doc_id", text_col="text"):
         return let(F.struct(snip.alias("snip"), F.length(F.regexp_extract(snip, rf"(?U)^\s*((?:{banks})(?:{acts}))", 1)).alias("first")), body)
 
     mk = lambda at, h: F.array(F.struct(at.cast("int").alias("at"), h.alias("heading")).cast(BOUND))
+    none = F.array().cast(f"array<{BOUND}>")
+    last_at = lambda a: F.coalesce(F.try_element_at(a, F.lit(-1))["at"], F.lit(-999))
+
     lead_at = _positions(F.split(F.regexp_replace(raw, f"({lead})", "\0$1"), "\0"))
-    s = s.withColumn("lead_at", lead_at)
-    s = s.withColumn("bounds", F.aggregate("lead_at", F.array().cast(f"array<{BOUND}>"), lambda a, p: F.when(
-        (F.size(a) == 0) | (p - F.coalesce(F.try_element_at(a, F.lit(-1))["at"], F.lit(-999)) > 50), F.concat(a, mk(p, F.lit("")))).otherwise(a)))
-    s = s.withColumn("bounds", F.transform("bounds", lambda b: F.struct(b["at"].alias("at"), heading(b["at"]).alias("heading")).cast(BOUND)))
+    leads = F.aggregate(lead_at, none, lambda a, p: F.when((F.size(a) == 0) | (p - last_at(a) > 50), F.concat(a, mk(p, F.lit("")))).otherwise(a))
+    leads = F.transform(leads, lambda b: F.struct(b["at"].alias("at"), heading(b["at"]).alias("heading")).cast(BOUND))
+
     # heading phrases, one phrase after the other; after a find the search goes on 100 characters later
-    for k in lx.BOUNDARY_HEADINGS:
-        at = _positions(F.split(F.replace(raw, F.lit(k), F.lit("\0" + k)), "\0"))
-        start = F.struct(F.when(F.size("bounds") > 0, 100).otherwise(0).alias("low"), F.col("bounds").alias("bounds"))
-
-        def step(acc, p):
-            last = F.coalesce(F.try_element_at(acc["bounds"], F.lit(-1))["at"], F.lit(-999))
-            seen = p >= acc["low"]
-            take = seen & ((F.size(acc["bounds"]) == 0) | (F.abs(p - last) >= 50))
-            begin = F.greatest(F.lit(0), p - 15)
-            snip = sub(begin, 60)
-            ends = lambda m: F.when(F.instr(snip, m) > 0, F.instr(snip, m) - 1).otherwise(60)
-            end = F.least(ends("。"), ends("\n"))
-            h = F.when(end > 0, strip(F.substring(snip, F.lit(1), end + 1))).otherwise(k)
-            grown = F.array_sort(F.concat(acc["bounds"], mk(begin, h)), lambda x, y: F.when(x["at"] < y["at"], -1).when(x["at"] > y["at"], 1).otherwise(0))
-            return F.struct(F.when(seen, p + 100).otherwise(acc["low"]).alias("low"), F.when(take, grown).otherwise(acc["bounds"]).alias("bounds"))
-        s = s.withColumn("bounds", F.aggregate(at, start, step, lambda a: a["bounds"]))
-    s = s.filter(F.size("bounds") >= 2)
-    far = F.aggregate(F.slice("bounds", F.lit(2), F.size("bounds")), F.slice("bounds", 1, 1), lambda a, b: F.when(b["at"] - F.element_at(a, -1)["at"] > 80, F.concat(a, F.array(b))).otherwise(a))
-    s = s.withColumn("far", far).filter(F.size("far") >= 2)
-    nxt = lambda i: F.coalesce(F.try_element_at(F.col("far"), i + 2)["at"], F.length(raw))
-    piece = F.transform("far", lambda b, i: F.struct(rstrip_set(strip(b["heading"]), "。，").alias("headline"), strip(F.substring(raw, b["at"] + 1, nxt(i) - b["at"])).alias("body")))
-    s = s.withColumn("pieces", F.transform(piece, lambda p: F.struct(p["headline"].alias("headline"), p["body"].alias("body"), hits(F.substring(p["body"], 1, 200), lx.HINT_BANKS).alias("bank_hints"))))
+    tagged = lambda n, k: lambda p: F.struct(F.lit(n).alias("n"), F.lit(k).alias("k"), p.alias("p"))
+    found = F.flatten(F.array(*[F.transform(_positions(F.split(F.replace(raw, F.lit(k), F.lit("\0" + k)), "\0")),
+                                            tagged(n, k)) for n, k in enumerate(lx.BOUNDARY_HEADINGS)]))
+
+    def phrase(acc, o):
+        low = F.when(acc["n"] != o["n"], F.when(F.size(acc["bounds"]) > 0, 100).otherwise(0)).otherwise(acc["low"])
+        seen = o["p"] >= low
+        take = seen & ((F.size(acc["bounds"]) == 0) | (F.abs(o["p"] - last_at(acc["bounds"])) >= 50))
+        begin = F.greatest(F.lit(0), o["p"] - 15)
+        snip = sub(begin, 60)
+        ends = lambda m: F.when(F.instr(snip, m) > 0, F.instr(snip, m) - 1).otherwise(60)
+        end = F.least(ends("。"), ends("\n"))
+        h = F.when(end > 0, strip(F.substring(snip, F.lit(1), end + 1))).otherwise(o["k"])
+        grown = F.array_sort(F.concat(acc["bounds"], mk(begin, h)), lambda x, y: F.when(x["at"] < y["at"], -1).when(x["at"] > y["at"], 1).otherwise(0))
+        return F.struct(o["n"].alias("n"), F.when(seen, o["p"] + 100).otherwise(low).alias("low"), F.when(take, grown).otherwise(acc["bounds"]).alias("bounds"))
+
+    def spaced(bounds):
+        return F.aggregate(bounds, none, lambda a, b: F.when((F.size(a) == 0) | (b["at"] - last_at(a) > 80), F.concat(a, F.array(b))).otherwise(a))
+
+    def cut(far):
+        nxt = lambda i: F.coalesce(F.try_element_at(far, i + 2)["at"], F.length(raw))
+        piece = F.transform(far, lambda b, i: F.struct(rstrip_set(strip(b["heading"]), "。，").alias("headline"), strip(F.substring(raw, b["at"] + 1, nxt(i) - b["at"])).alias("body")))
+        return F.transform(piece, lambda p: F.struct(p["headline"].alias("headline"), p["body"].alias("body"), hits(F.substring(p["body"], 1, 200), lx.HINT_BANKS).alias("bank_hints")))
 
     def merge(a, p):
         def glue(prev):
             return F.struct(prev["headline"].alias("headline"), F.concat(prev["body"], F.lit("\n"), p["body"]).alias("body"), F.array_union(prev["bank_hints"], p["bank_hints"]).alias("bank_hints"))
-        return F.when(F.length(p["body"]) < 60, F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(glue(F.element_at(a, -1))))).otherwise(F.concat(a, F.array(p)))
-    s = s.withColumn("topics", F.aggregate(F.slice("pieces", F.lit(2), F.size("pieces")), F.slice("pieces", 1, 1), merge)).filter(F.size("topics") >= 2)
-    return s.select(id_col, F.posexplode("topics").alias("i", "t")).select(id_col, (F.col("i") + 1).alias("topic_no"), "t.headline", "t.body", "t.bank_hints")
+        return F.when((F.size(a) > 0) & (F.length(p["body"]) < 60), F.concat(F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0))), F.array(glue(F.try_element_at(a, F.lit(-1)))))).otherwise(F.concat(a, F.array(p)))
+
+    topic_t = "array<struct<headline:string,body:string,bank_hints:array<string>>>"
+    two = lambda a: F.when(F.size(a) >= 2, a).otherwise(F.array().cast(topic_t))
+    merged = lambda pieces: F.aggregate(pieces, F.array().cast(topic_t), merge)
+    topics = let(leads, lambda ls: let(
+        F.aggregate(found, F.struct(F.lit(-1).alias("n"), F.lit(0).alias("low"), ls.alias("bounds")), phrase, lambda a: a["bounds"]),
+        lambda bs: let(spaced(bs), lambda far: F.when(F.size(far) >= 2, let(merged(cut(far)), two)).otherwise(F.array().cast(topic_t)))))
+    # outer explode: no size() filter is inferred, so the fold runs once per text
+    out = s.select(id_col, F.posexplode_outer(topics).alias("i", "t")).filter("i IS NOT NULL")
+    return out.select(id_col, (F.col("i") + 1).alias("topic_no"), "t.headline", "t.body", "t.bank_hints")
 
 
 # ---- paragraph tables -------------------------------------------------------------

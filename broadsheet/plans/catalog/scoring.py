@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ... import lexicon as lx
 from ...functions import scoring as sc
+from ...sources import scratch
 from .base import notices, q, sql_any, sql_count, sql_list, sql_over_notices
 from .fields import STRUCT, WITH_CATEGORY, let1, sql_audience, sql_benefits, sql_fee_note, sql_structured, with_category
 from .labels import sql_staged
@@ -76,6 +77,11 @@ def one(expr, sql, num=False):
 SIG = lambda: sc._signals("category", "title", "raw_text", "structured")["overall"]
 
 
+def scored(spark, sf):
+    """The scored items as a written table; the rollups read it."""
+    return scratch.stage_once(spark, f"scored|{sf}", lambda: sc.score_items(scored_input(spark, sf)))
+
+
 def q_score_items(spark, sf):
     return sc.score_items(scored_input(spark, sf)).select(
         "doc_id", "category", F.round("overall_score", 1).alias("overall_score"), "overall_roi", "recommendation", "is_highlight", "highlight_reason", "notes", "target_audience",
