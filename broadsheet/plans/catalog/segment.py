@@ -181,7 +181,9 @@ def q_publish(spark, sf):
 
 
 def q_raw(spark, sf):
-    s = sg.split_raw_text(notices(spark, sf), "doc_id", "body")
+    # sentence starts become institution + action, so that boundaries occur
+    d = notices(spark, sf).withColumn("body", F.regexp_replace("body", "。[A-Z][a-z]+ ", "。招行新增"))
+    s = sg.split_raw_text(d, "doc_id", "body")
     return s.select("doc_id", "topic_no", "headline", "body", F.array_join("bank_hints", ",").alias("bank_hints"))
 
 
