@@ -11,6 +11,7 @@ from ..functions.gates import is_domain_related
 from ..functions.labels import classify_multilabel, extract_entities
 from ..functions.text import strip_markdown
 from ..functions.tokens import chunk_text, tokenize_mixed
+from ..sources import scratch
 
 # a side is broadcast only when a bounded count proves it small
 BROADCAST_ROWS = 200_000
@@ -187,7 +188,8 @@ def suggestion_query(items, postings, stats, k=3):
     items: (qid, category, bank, title).
     """
     q1 = items.select("qid", suggestion_text("category", "bank", "title").alias("text"))
-    first = bm25_search(postings, stats, q1, k).withColumn("step", F.lit(1))
+    # read twice below (result and anti-join), so it is written once
+    first = scratch.cut_lineage(items.sparkSession, bm25_search(postings, stats, q1, k).withColumn("step", F.lit(1)), "asked")
     left = items.join(first.select("qid").distinct(), "qid", "left_anti")
     q2 = left.select("qid", F.concat(text("bank"), F.lit(" "), head(text("title"), 10)).alias("text"))
     return first.unionByName(bm25_search(postings, stats, q2, k).withColumn("step", F.lit(2)))

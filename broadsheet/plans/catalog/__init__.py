@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["texts", "labels", "gates", "fields", "scoring", "quality", "dedup", "joins", "segment", "rollups", "retrieval", "sources"]
+MODULES = ["texts", "labels", "gates", "fields", "scoring", "quality", "dedup", "joins", "segment", "rollups", "retrieval", "sources", "sinks", "jobs"]
 
 
 def load():

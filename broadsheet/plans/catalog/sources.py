@@ -106,11 +106,17 @@ def q_fm(spark, sf):
 
 
 def q_rss(spark, sf):
-    """One feed file per source in a partitioned text layout; five items per feed."""
+    """Every file part is one well-formed feed."""
     d = notices(spark, sf)
     safe = lambda x: F.regexp_replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "")
     item = F.concat(F.lit("<item><title>"), safe(F.concat(F.col("doc_id").cast("string"), F.lit(" "), "source")), F.lit("</title><link>"), "url", F.lit("</link><pubDate>"), "publish_time", F.lit("</pubDate><guid>"), F.col("doc_id").cast("string"), F.lit("</guid></item>"))
-    path = staged_text(spark, sf, "rss", lambda: d.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select(item.alias("value")))
+
+    def feed(batches):
+        yield pd.DataFrame({"value": ["<rss><channel>"]})
+        for pdf in batches:
+            yield pdf[["value"]]
+        yield pd.DataFrame({"value": ["</channel></rss>"]})
+    path = staged_text(spark, sf, "rss", lambda: d.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id").select(item.alias("value")).mapInPandas(feed, "value string"))
     return rd.read_rss_items(spark, path).select("title", "url", F.col("pub_date").alias("pub_date"), F.col("guid"))
 
 
@@ -255,11 +261,11 @@ def q_image(spark, sf):
 
 
 def q_tables(spark, sf):
-    d = notices(spark, sf).select("doc_id", F.replace(F.replace("body", F.lit("，"), F.lit(" | ")), F.lit("！"), F.lit("\n|---|---|\n")).alias("content"))
+    d = notices(spark, sf).select("doc_id", F.replace(F.replace("body", F.lit("，"), F.lit(" | ")), F.lit("。"), F.lit("\n|---|---|\n")).alias("content"))
     return rd.markdown_tables(d).select("doc_id", b("line"), "is_header", F.array_join("cells", "¦").alias("cells"))
 
 
-SQL_TABLES = f""", tl AS (SELECT doc_id, unnest(ls) AS t, generate_subscripts(ls, 1) - 1 AS line FROM (SELECT doc_id, string_split(replace(replace(body, '，', ' | '), '！', chr(10) || '|---|---|' || chr(10)), chr(10)) AS ls FROM notices)),
+SQL_TABLES = f""", tl AS (SELECT doc_id, unnest(ls) AS t, generate_subscripts(ls, 1) - 1 AS line FROM (SELECT doc_id, string_split(replace(replace(body, '，', ' | '), '。', chr(10) || '|---|---|' || chr(10)), chr(10)) AS ls FROM notices)),
  tm AS (SELECT *, contains(t, '|') AND trim(t) <> '' AS piped, coalesce(regexp_matches(lead(t) OVER (PARTITION BY doc_id ORDER BY line), '^\\s*\\|?\\s*:?-{{3,}}'), false) AS nx FROM tl),
  tn AS (SELECT *, max(CASE WHEN piped AND nx THEN line END) OVER w AS h, max(CASE WHEN NOT piped THEN line END) OVER w AS gap FROM tm WINDOW w AS (PARTITION BY doc_id ORDER BY line))
  SELECT doc_id, line, piped AND nx AS is_header, array_to_string(list_transform(string_split(trim({sql_strip('t')}, '|'), '|'), lambda x: {sql_strip('x')}), '¦') AS cells FROM tn WHERE h IS NOT NULL AND piped AND coalesce(gap, -1) < h AND line <> h + 1"""
@@ -271,8 +277,8 @@ ENTRIES = {
     "read_notice_api_json": (q_api, sql_over_notices(f"SELECT {TITLE_RULE(sql_strip('regexp_replace(title, ' + q(WS + '+') + ', ' + q(' ') + ', ' + q('g') + ')'))} AS title, replace(publish_time, '.', '-') AS date, 'https://x.example.com/contentDetail?id=' || doc_id || '&menuId=9999&listId=9999' AS link, source AS body FROM notices WHERE title <> '' AND publish_time <> ''")),
     "decode_fallback": (q_decode, sql_over_notices("SELECT doc_id, '银行' || title || source AS out FROM notices")),
     "read_markdown_items": (q_md, sql_over_notices("", MD)),
-    "read_front_matter": (q_fm, sql_over_notices(f"SELECT doc_id, {sql_strip('regexp_replace(title, ' + q('[' + chr(10) + chr(34) + chr(39) + ']') + ', ' + q('') + ', ' + q('g') + ')')} AS title, publish_time AS date, lang || ',' || source AS tags, lang = 'es' AS draft FROM notices")),
-    "read_rss_items": (q_rss, sql_over_notices("SELECT doc_id || ' ' || source AS title, url, nullif(publish_time, '') AS pub_date, doc_id::VARCHAR AS guid FROM notices")),
+    "read_front_matter": (q_fm, sql_over_notices(f"SELECT doc_id, {'regexp_replace(title, ' + q('[' + chr(10) + chr(34) + chr(39) + ']') + ', ' + q('') + ', ' + q('g') + ')'} AS title, publish_time AS date, lang || ',' || source AS tags, lang = 'es' AS draft FROM notices")),
+    "read_rss_items": (q_rss, sql_over_notices("SELECT doc_id || ' ' || source AS title, url, publish_time AS pub_date, doc_id::VARCHAR AS guid FROM notices")),
     "read_kb": (q_kb, sql_over_notices("SELECT 'a' || doc_id AS id, source AS article_id, body AS text, title FROM notices")),
     "html_pages_to_text": (q_pages_text, SQL_PAGES),
     "html_article_fields": (q_fields, SQL_FIELDS),
