@@ -128,12 +128,12 @@ def number_rows(spark, df, order, name="rank"):
     cols = [order] if isinstance(order, str) else list(order)
     p = df.repartitionByRange(*[c(k) for k in cols]).withColumn("_p", F.spark_partition_id())
     p = scratch.cut_lineage(spark, p, "ranged")
-    local = p.withColumn("_r", F.row_number().over(W.partitionBy("_p").orderBy(*[c(k) for k in cols])))
+    local = p.withColumn("_loc", F.row_number().over(W.partitionBy("_p").orderBy(*[c(k) for k in cols])))
     # one row per range partition: bounded by the number of shuffle partitions
     sizes = p.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offs = sizes.select("_p", before.alias("_o"))
-    return local.join(offs, "_p").withColumn(name, F.col("_r") + F.col("_o")).drop("_p", "_r", "_o")
+    offs = sizes.select("_p", before.alias("_off"))
+    return local.join(offs, "_p").withColumn(name, F.col("_loc") + F.col("_off")).drop("_p", "_loc", "_off")
 
 
 def rank_recommendations(spark, df):

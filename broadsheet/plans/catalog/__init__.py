@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ["texts", "labels", "gates", "fields", "scoring", "quality", "dedup", "joins", "segment", "rollups", "retrieval", "sources", "sinks", "jobs"]
+MODULES = ["texts", "labels", "gates", "fields", "scoring", "quality", "dedup", "joins", "segment", "rollups", "retrieval", "sources", "sinks",
+           "jobs", "streams"]
 
 
 def load():

@@ -125,7 +125,7 @@ def q_atomic(spark, sf):
     p = scratch.fresh(spark, "atomic")
     d = plain_items(spark, sf).select("item_id", "title")
     sk.atomic_write(d, p)
-    sk.atomic_write(d.withColumn("title", F.upper("title")), p)
+    sk.atomic_write(d.withColumn("title", F.concat("title", F.lit("x"))), p)
     return spark.read.parquet(p)
 
 
@@ -148,6 +148,6 @@ ENTRIES = {
     "review_queue_markdown": (q_queue_md, sql_over_notices("", ", " + QUEUE)),
     "analysis_markdown": (q_analysis, sql_over_notices("", ANALYSIS)),
     "editorial_markdown": (q_editorial, sql_over_notices("", EDIT)),
-    "atomic_write": (q_atomic, sql_over_notices("SELECT doc_id::VARCHAR AS item_id, upper(title) AS title FROM notices")),
+    "atomic_write": (q_atomic, sql_over_notices("SELECT doc_id::VARCHAR AS item_id, title || 'x' AS title FROM notices")),
     "run_log": (q_run_log, sql_over_notices("SELECT t AS last_run, 7::BIGINT AS bank_days, (SELECT count(*) FROM notices) AS items FROM (VALUES ('2024-01-01 00:00:00'), ('2024-01-08 00:00:00')) v(t)")),
 }
