@@ -8,7 +8,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 QUERIES = ["normalize_highlight", "title_key", "classify_3tier", "resolve_bank", "extract_kv_fields", "extract_change", "score_items", "review_flags", "multi_topic_signals", "segment_topics",
-           "merge_by_title_key", "dedup_url_first", "title_similarity_pairs", "near_dup_merge", "match_original", "enrich_from_scores", "category_counts", "advice_lists", "topk_per_group", "archive_manifest",
+           "merge_by_title_key", "dedup_url_first", "title_similarity_pairs", "near_dup_merge", "enrich_from_scores", "category_counts", "advice_lists", "topk_per_group", "archive_manifest",
            "html_pages_to_text", "html_links", "tokenize_mixed", "chunk_text", "bm25_search", "vector_topk", "rrf_fuse", "normalize_items", "stream_weekly_counts"]
 
 
@@ -33,6 +33,7 @@ def main():
         try:
             queries[n](spark, sf).write.format("noop").mode("overwrite").save()
             times[n] = round(time.time() - t, 3)
+            print(f"\n{n} {times[n]}", file=sys.stderr, flush=True)
         except Exception as e:  # a failed query must not hide the others
             times[n] = None
             print(f"{n}: {type(e).__name__}", file=sys.stderr)
