@@ -239,7 +239,16 @@ def first_sentence(x, markers=lx.SENTENCE_MARKERS):
 
 
 def extract_change(x):
-    return let(collapse_ws(x), lambda t: first_filled(collapse_ws(first_match(t, lx.CHANGE_PATTERNS)), first_sentence(t)))
+    """'from ... to ...' wording by pattern order, else the first sentence.
+
+    A pattern is tried only on texts that hold the words it needs, which spares most texts the costly scan.
+    """
+    needs = [lambda t: has(t, "由") & has(t, "调整为"), lambda t: has(t, "从") & has(t, "调整为"), lambda t: has(t, "调整为"), lambda t: F.lit(True)]
+
+    def body(t):
+        hit = F.coalesce(*[F.when(need(t), nz(F.regexp_extract(t, p, 1))) for need, p in zip(needs, lx.CHANGE_PATTERNS)], F.lit(""))
+        return first_filled(collapse_ws(hit), first_sentence(t))
+    return let(collapse_ws(x), body)
 
 
 def extract_activity_core(x):
