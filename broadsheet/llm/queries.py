@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, quality_rules, token_counts
+from . import bpe, minhash, quality_rules, token_counts
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -31,6 +31,10 @@ def op4_bpe(spark, sf_dir):
     return coded.select("doc_id", "n_tokens", F.sha2(digits, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_bpe)}
+def op6_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_bpe, op6_minhash)}
 
 SQL = {}
