@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, quality_rules, token_counts
+from . import bpe, minhash, mixing, quality_rules, token_counts
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -35,6 +35,13 @@ def op6_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_bpe, op6_minhash)}
+def op9_mixing(spark, sf_dir):
+    found, name = mixing.drawn(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    mix = F.col(name)
+    taken = (mix["size"] * F.size(mix["draws"])).cast("long")
+    return found.select("doc_id", mix["size"].alias("size"), mix["source_size"].alias("source_size"), mix["target"].alias("target"), taken.alias("taken"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_bpe, op6_minhash, op9_mixing)}
 
 SQL = {}
