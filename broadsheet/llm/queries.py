@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, mixing, quality_rules, token_counts
+from . import bpe, minhash, mixing, pii, quality_rules, token_counts
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -12,6 +12,14 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark, sf_dir):
+    found, name = pii.find(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    base, spans = F.col(name)["base"], F.col(name)["spans"]
+    number = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    counts = [number(k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(spans).alias("spans"))
+
+
 def op2_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, public_tokenizers.path(BYTE_BPE)).select("doc_id", "n_bytes", "n_tokens", "over_limit")
@@ -42,6 +50,6 @@ def op9_mixing(spark, sf_dir):
     return found.select("doc_id", mix["size"].alias("size"), mix["source_size"].alias("source_size"), mix["target"].alias("target"), taken.alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_bpe, op6_minhash, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_token_counts, op3_quality_rules, op4_bpe, op6_minhash, op9_mixing)}
 
 SQL = {}
