@@ -162,3 +162,31 @@ def near_duplicates(docs, key="doc_id", text="text", percent=75):
     """key, n_shingles, component_id and kept (whether the row's key is its component's least) of each row of docs."""
     found = groups(docs, key, text, percent)
     return found.select(col(key), "n_shingles", "component_id", col(key).eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_per_group(docs, key="doc_id", text="text", percent=75):
+    """The rows of docs without near copies: of each component the row with the least key, of repeated rows one.
+
+    Rows without words all stay. Keys that stand in several rows are settled row by row; all others by key alone."""
+    kind = F.arrow_udf(class_of, "binary")
+    found = written(groups(docs, key, text, percent).select(col(key).alias("key_"), "class", "root", col(key).eqNullSafe(F.col("component_id")).alias("kept")), "groups")
+    several = written(found.groupBy("key_").agg(F.count("*").alias("n"), F.min("kept").alias("kept")).where("n > 1 or not kept").withColumn("again", F.expr("n > 1")), "settled")
+    left = docs.join(several.select("key_"), col(key).eqNullSafe(F.col("key_")), "left_anti")
+    repeated = several.where("again").select("key_")
+    if repeated.isEmpty():
+        return left
+    name, row = free_name(docs, "class"), free_name(docs, "row")
+    rows = docs.join(repeated, col(key).eqNullSafe(F.col("key_")), "left_semi")
+    rows = written(rows.withColumn(name, kind(body(text))).withColumn(row, F.monotonically_increasing_id()), "repeated")
+    good = found.where("kept").select("key_", F.col("class").alias("class_"), "root").distinct()
+    rows = rows.join(good, col(key).eqNullSafe(F.col("key_")) & col(name).eqNullSafe(F.col("class_")))
+    first = rows.where(F.col("root").isNotNull()).groupBy("key_", "root").agg(F.min(row).alias("first_"))
+    blank = rows.where(F.col("root").isNull()).select(F.col(row).alias("first_"))
+    chosen = first.select("first_").union(blank)
+    return left.union(rows.join(chosen, col(row) == F.col("first_"), "left_semi").select(*map(col, docs.columns)))
+
+
+def class_of(texts: pa.Array) -> pa.Array:
+    """The class of each text: the fingerprint of its set, null without words."""
+    rows = (shingles(t.as_py()) for t in texts.cast(pa.binary()))
+    return pa.array([fingerprint(r) if len(r) else None for r in rows], pa.binary())

@@ -1,6 +1,12 @@
-"""The stages of the corpus pipeline: (spark, docs, sf_dir) to a DataFrame."""
+"""The stages of the corpus pipeline: (spark, docs, sf_dir) to a DataFrame.
 
-from . import frames, quality_rules
+A stage's input has been written by whoever runs it, so what the stage before it kept in the scratch folder can go."""
+
+import public_tokenizers
+
+from . import bpe, frames, minhash, mixing, pii, quality_rules
+
+WORD_BPE = "word_bpe_49k.json"
 
 
 def quality(spark, docs, sf_dir):
@@ -9,6 +15,30 @@ def quality(spark, docs, sf_dir):
     return quality_rules.keep_good(docs)
 
 
+def dedup(spark, docs, sf_dir):
+    """One document of each group of near copies."""
+    frames.remove_written(spark)
+    return minhash.one_per_group(docs)
+
+
+def redact(spark, docs, sf_dir):
+    """Texts with personal data replaced by its kind."""
+    frames.remove_written(spark)
+    return pii.redacted(docs)
+
+
+def mix(spark, docs, sf_dir):
+    """A row for every time the mix takes a document."""
+    frames.remove_written(spark)
+    return mixing.mixed(docs)
+
+
+def encode(spark, docs, sf_dir):
+    """Documents with token ids, their number and the decoded text."""
+    frames.remove_written(spark)
+    return bpe.encode_documents(docs, public_tokenizers.path(WORD_BPE))
+
+
 def run(spark, sf_dir, steps):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, step) in enumerate(steps):

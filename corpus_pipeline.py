@@ -2,9 +2,15 @@
 
 from broadsheet.llm import stages
 
-STAGES = [("quality_rules", stages.quality)]
+STAGES = [
+    ("quality_rules", stages.quality),
+    ("minhash_dedup", stages.dedup),
+    ("pii", stages.redact),
+    ("mixing", stages.mix),
+    ("bpe", stages.encode),
+]
 
-#: Near-duplicate components and merges of tokens cannot be put in SQL; tests compare with a brute-force version.
+#: Merges of tokens and learned patterns cannot be put in SQL; tests compare every stage with a brute-force version.
 ORACLE_SQL = None
 
 
