@@ -111,11 +111,12 @@ def fences(sketch, reach=REACH):
 def group_fences(sketch, reach=REACH, least_docs=LEAST_DOCS):
     """One row per (lang, source): its fences as a map, from the finest level that has least_docs documents."""
     flat = fences(sketch, reach).groupBy("level", "g_lang", "g_source").agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("measure", F.struct("low", "high")))).alias("fence"))
-    at = lambda k: flat.where(F.col("level") == k)
-    one, every = at(1).select(F.col("g_lang").alias("l1"), F.col("n").alias("n1"), F.col("fence").alias("f1")), at(0).select(F.lit(1).alias("k0"), F.col("fence").alias("f0"))
-    both = at(2).withColumn("k2", F.lit(1)).join(one, F.col("g_lang").eqNullSafe(F.col("l1")), "left").join(every, F.col("k2") == F.col("k0"), "left")
-    chosen = F.when(F.col("n") >= least_docs, F.col("fence")).when(F.col("n1") >= least_docs, F.col("f1")).otherwise(F.col("f0"))
-    return both.select("g_lang", "g_source", chosen.alias("fence"))
+    none = F.lit(None).cast("string")
+    ways = F.explode(F.array(F.struct(F.lit(2).alias("l"), F.col("g_lang").alias("a"), F.col("g_source").alias("b")), F.struct(F.lit(1).alias("l"), F.col("g_lang").alias("a"), none.alias("b")), F.struct(F.lit(0).alias("l"), none.alias("a"), none.alias("b"))))
+    tried = flat.where("level = 2").select("g_lang", "g_source", ways.alias("way")).select(F.col("g_lang").alias("f_lang"), F.col("g_source").alias("f_source"), "way.*")
+    both = tried.join(flat, (F.col("l") == F.col("level")) & F.col("a").eqNullSafe(F.col("g_lang")) & F.col("b").eqNullSafe(F.col("g_source")))
+    enough = (F.col("n") >= least_docs) | (F.col("level") == 0)
+    return both.groupBy("f_lang", "f_source").agg(F.max_by("fence", F.when(enough, F.col("level"))).alias("fence"))
 
 
 def base_failed(f):
@@ -146,7 +147,7 @@ def judge(docs, text="text", lang="lang", source="source", carry=None, reach=REA
     found = written(with_features(docs, text, need, q), "quality")
     limits = written(group_fences(sketches(found, q, lang, source), reach, least_docs), "fences")
     f = col(q)
-    joined = found.join(limits, col(lang).eqNullSafe(F.col("g_lang")) & col(source).eqNullSafe(F.col("g_source")), "left")
+    joined = found.join(limits, col(lang).eqNullSafe(F.col("f_lang")) & col(source).eqNullSafe(F.col("f_source")), "left")
     verdict = ~base_failed(f) & inside(f, F.col("fence"))
     return joined.select(*map(col, carry), f, base_failed(f).alias(failed), verdict.alias(kept)), (q, failed, kept)
 

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, mixing, pii, quality_rules, token_counts
+from . import ann_forest, bpe, minhash, mixing, pii, quality_rules, sharding, token_counts
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -39,10 +39,19 @@ def op4_bpe(spark, sf_dir):
     return coded.select("doc_id", "n_tokens", F.sha2(digits, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_sharding(spark, sf_dir):
+    found, (slot, shard) = sharding.placed(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return found.select("doc_id", "source", F.col(slot).alias("slot"), F.col(shard).alias("shard"))
+
+
 def op6_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_ann_forest(spark, sf_dir):
+    return ann_forest.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+
+
 def op9_mixing(spark, sf_dir):
     found, name = mixing.drawn(table(spark, sf_dir, "documents"), carry=["doc_id"])
     mix = F.col(name)
@@ -50,6 +59,6 @@ def op9_mixing(spark, sf_dir):
     return found.select("doc_id", mix["size"].alias("size"), mix["source_size"].alias("source_size"), mix["target"].alias("target"), taken.alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_token_counts, op3_quality_rules, op4_bpe, op6_minhash, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_token_counts, op3_quality_rules, op4_bpe, op5_sharding, op6_minhash, op7_ann_forest, op9_mixing)}
 
 SQL = {}
