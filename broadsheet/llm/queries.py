@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import ann_forest, bpe, minhash, mixing, pii, quality_rules, sharding, token_counts
+from . import ann_forest, bpe, chat, licenses, minhash, mixing, pii, quality_rules, sharding, token_counts
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -52,6 +52,10 @@ def op7_ann_forest(spark, sf_dir):
     return ann_forest.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
 
 
+def op8_chat(spark, sf_dir):
+    return chat.rendered(table(spark, sf_dir, "conversations"))
+
+
 def op9_mixing(spark, sf_dir):
     found, name = mixing.drawn(table(spark, sf_dir, "documents"), carry=["doc_id"])
     mix = F.col(name)
@@ -59,6 +63,23 @@ def op9_mixing(spark, sf_dir):
     return found.select("doc_id", mix["size"].alias("size"), mix["source_size"].alias("source_size"), mix["target"].alias("target"), taken.alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_token_counts, op3_quality_rules, op4_bpe, op5_sharding, op6_minhash, op7_ann_forest, op9_mixing)}
+#: The documents have no paths: source and language stand for directories, and a document that begins or ends with a
+#: licence statement for a licence file of its directory.
+STATED = r"(licensed under|released under|this work is licensed)[^\n]*"
+
+
+def path_of_document():
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    stated = F.col("text").rlike(rf"(?i)\A{STATED}|\n{STATED}\z")
+    return F.concat_ws("/", "source", "lang", F.when(stated, F.concat(F.lit("LICENSE."), number)).otherwise(F.concat(number, F.lit(".txt"))))
+
+
+def op10_licenses(spark, sf_dir):
+    files = table(spark, sf_dir, "documents").withColumn("path", path_of_document())
+    found, name = licenses.scan(files, carry=["doc_id", "path"])
+    return found.select("doc_id", "path", *[F.col(name)[c].alias(c) for c in ("licence", "score", "how", "from_dir")])
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_token_counts, op3_quality_rules, op4_bpe, op5_sharding, op6_minhash, op7_ann_forest, op8_chat, op9_mixing, op10_licenses)}
 
 SQL = {}
