@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import ann_forest, bpe, chat, licenses, minhash, mixing, pii, quality_rules, sharding, token_counts
+from . import ann_forest, bpe, chat, licenses, minhash, mixing, pii, quality_rules, sharding, sql, token_counts
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -82,4 +82,5 @@ def op10_licenses(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_token_counts, op3_quality_rules, op4_bpe, op5_sharding, op6_minhash, op7_ann_forest, op8_chat, op9_mixing, op10_licenses)}
 
-SQL = {}
+#: Counts of tokens, token ids, learned patterns and a forest search cannot be put in SQL.
+SQL = {"op3_quality_rules": sql.OP3, "op5_sharding": sql.OP5, "op6_minhash": sql.OP6, "op8_chat": sql.OP8, "op9_mixing": sql.OP9, "op10_licenses": sql.op10(STATED)}
