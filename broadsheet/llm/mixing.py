@@ -27,8 +27,8 @@ def words_in(text):
 
 
 def sized(docs, key, text, source, carry=()):
-    """The columns of carry and source_, size_, perm_ (permutation key) and bucket_ of each row."""
-    out = docs.select(*map(col, carry), col(key).cast("string").alias("key_"), col(source).alias("source_"), words_in(body(text)).alias("size_"))
+    """The columns of carry, named c0, c1 and so on, and source_, size_, perm_ (permutation key) and bucket_ of each row."""
+    out = docs.select(*[col(c).alias(f"c{k}") for k, c in enumerate(carry)], col(key).cast("string").alias("key_"), col(source).alias("source_"), words_in(body(text)).alias("size_"))
     out = out.withColumn("perm_", F.md5(F.concat_ws(":", F.lit(SEED), F.coalesce("key_", F.lit("")), F.col("size_").cast("string")))).drop("key_")
     return out.withColumn("bucket_", F.pmod(F.conv(F.substring("perm_", 1, 8), 16, 10).cast("long"), F.lit(BUCKETS)).cast("int"))
 
@@ -133,17 +133,19 @@ def drawn(docs, key="doc_id", text="text", source="source", carry=None, shards=S
     keys and rows equal in key and size share a place in the permutation. An empty table stays empty."""
     carry = list(docs.columns if carry is None else carry)
     name = free_name(docs, "mix")
-    alias = {c: f"c{k}" for k, c in enumerate(carry)}
-    renamed = lambda df: df.select(*[col(c).alias(alias[c]) for c in carry], "source_", "size_", "perm_", "bucket_")
     wide = text in carry
-    rows = renamed(sized(docs, key, text, source, carry)) if wide else written(renamed(sized(docs, key, text, source, carry)), "sized")
+    rows = sized(docs, key, text, source, carry)
+    if not wide:
+        rows = written(rows, "sized")
     narrow = written(rows.select("source_", "size_", "perm_", "bucket_"), "sized") if wide else rows
     plan = bucket_plan(narrow, shards)
     both = rows.join(plan, F.col("source_").eqNullSafe(F.col("ps")) & (F.col("bucket_") == F.col("pb")), "left")
     fits = F.exists("steps", lambda x: (F.col("perm_") > x["from"]) & (F.col("perm_") <= x["to"]) & (F.col("size_") <= x["size"]) & (F.col("size_") > 0))
     taken = F.coalesce(F.filter("draws", lambda d: ~d["part"] | F.coalesce(fits, F.lit(False))), F.array().cast("array<struct<turn:int,shard:int,part:boolean>>"))
     mix = F.struct(F.col("size_").alias("size"), F.col("source_size_").alias("source_size"), F.col("target_").alias("target"), taken.alias("draws"), F.col("perm_").alias("perm"))
-    return both.select(*[F.col(alias[c]).alias(c) for c in carry], mix.alias(name)), name
+    # Named in a step of its own: in one select, a carried column's name would hide a column used inside a lambda.
+    both = both.select(*[f"c{k}" for k in range(len(carry))], mix.alias("mix_"))
+    return both.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(carry)], F.col("mix_").alias(name)), name
 
 
 def mixed(docs, key="doc_id", text="text", source="source", shards=SHARDS):
