@@ -32,8 +32,8 @@ def _first_per_key(entries):
             F.filter(entries, lambda e: (e["key"] == k) & (e["value"] != "")), lambda e: e["value"]), F.lit(1)), F.lit("")).alias("value"))))
 
 
-def extract_kv_fields(x, aliases=lx.FIELD_ALIASES, longest=2000):
-    """map of 'name：value' lines; names through the alias table, first value wins."""
+def extract_kv_fields(x, aliases=lx.FIELD_ALIASES, longest=None):
+    """map of 'name：value' lines; names through the alias table, first value wins; values over longest (if given) are left out."""
     pat = r"^(.{1,16})[：:]\s*(.+)"
     table = lit_map(aliases)
 
@@ -41,7 +41,9 @@ def extract_kv_fields(x, aliases=lx.FIELD_ALIASES, longest=2000):
         name = strip(F.regexp_extract(l, pat, 1))
         return F.struct(F.coalesce(F.try_element_at(table, name), name).alias("key"), strip(F.regexp_extract(l, pat, 2)).alias("value"))
     found = F.filter(lines(text(x)), lambda l: F.rlike(l, F.lit(pat)))
-    entries = F.filter(F.transform(found, entry), lambda e: F.length(e["value"]) <= longest)
+    entries = F.transform(found, entry)
+    if longest is not None:
+        entries = F.filter(entries, lambda e: F.length(e["value"]) <= longest)
     return let(entries, _first_per_key)
 
 

@@ -43,11 +43,13 @@ def is_navigation_noise(x, words=lx.NAV_WORDS_5, need=5, shape=True):
     return noisy
 
 
-def filter_noise(df, words=lx.LOW_VALUE_DIGEST, limit=2000):
-    """Drop category 其他, cut long text, mark low-value promotions."""
+def filter_noise(df, words=lx.LOW_VALUE_DIGEST, limit=None):
+    """Drop category 其他, mark low-value promotions; with a limit, cut longer texts to it."""
     low = (F.col("category") == "活动") & has_any(F.concat_ws(" ", text("title"), text("raw_text")), words)
-    cut = F.when(F.length("raw_text") > limit, F.concat(head("raw_text", limit), F.lit("..."))).otherwise(F.col("raw_text"))
-    return df.filter(F.col("category") != lx.OTHER).withColumn("low_value", low).withColumn("raw_text", cut)
+    kept = df.filter(F.col("category") != lx.OTHER).withColumn("low_value", low)
+    if limit is None:
+        return kept
+    return kept.withColumn("raw_text", F.when(F.length("raw_text") > limit, F.concat(head("raw_text", limit), F.lit("..."))).otherwise(F.col("raw_text")))
 
 
 def is_pure_ad_or_empty(x, ads=lx.AD_TEXTS):

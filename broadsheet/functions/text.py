@@ -210,8 +210,12 @@ def strip_bracket_marks(x):
     return F.coalesce(nz(strip(F.regexp_replace(text(x), r"\[.*?\]", ""))), text(x))
 
 
-def dedup_paragraphs(x, prefix=30, cap=3000):
-    """Keep the first paragraph of each prefix; the result is capped at `cap` characters."""
+def dedup_paragraphs(x, prefix=None, cap=None):
+    """Keep the first of equal paragraphs; with a prefix, of those that begin alike; with a cap, cut the result to it."""
+    whole = lambda ps: F.array_join(ps, "\n") if cap is None else head(F.array_join(ps, "\n"), cap)
+    if prefix is None:
+        return whole(F.array_distinct(lines(text(x))))
+
     def step(acc, p):
         key = head(p, prefix)
         new = ~F.array_contains(acc["seen"], key)
@@ -219,7 +223,7 @@ def dedup_paragraphs(x, prefix=30, cap=3000):
                         F.when(new, F.array_append(acc["kept"], p)).otherwise(acc["kept"]).alias("kept"))
     empty = F.array().cast("array<string>")
     kept = F.aggregate(lines(text(x)), F.struct(empty.alias("seen"), empty.alias("kept")), step, lambda a: a["kept"])
-    return head(F.array_join(kept, "\n"), cap)
+    return whole(kept)
 
 
 def clean_structured_map(m):

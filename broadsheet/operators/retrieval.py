@@ -56,9 +56,10 @@ def kb_totals(kb):
 
 
 def index_freshness(df, id_col="id", text_col="text"):
-    """One row: count and an order-free content fingerprint; a changed text changes the key."""
-    h = F.conv(F.substring(F.md5(F.concat_ws("\n", c(id_col).cast("string"), text(text_col))), 1, 15), 16, 10).cast("bigint")
-    return df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(h), F.lit(0)).alias("fingerprint"))
+    """One row: count and two order-free sums of row hashes; equal rows add up, so a change in some of them is seen."""
+    digest = F.md5(F.concat_ws("\n", c(id_col).cast("string"), text(text_col)))
+    total = lambda start: F.coalesce(F.sum(F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(38,0)")), F.lit(0)).cast("string")
+    return df.agg(F.count(F.lit(1)).alias("n"), F.concat_ws("-", total(1), total(16)).alias("fingerprint"))
 
 
 # ---- BM25 ---------------------------------------------------------------------------

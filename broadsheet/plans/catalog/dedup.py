@@ -13,11 +13,11 @@ from .texts import ENTRIES as TEXTS
 def keyed(spark, sf):
     d = notices(spark, sf)
     return d.select(F.col("doc_id").alias("ord"), "title", F.col("source").alias("file"), "url", F.col("raw_category").alias("category"),
-                    F.when(F.col("lang") == "en", "").otherwise(F.substring("body", 1, 20)).alias("comment"))
+                    F.when(F.col("lang") == "en", "").otherwise(F.col("body")).alias("comment"))
 
 
 KEY = (f"lower(regexp_replace(regexp_replace(title, '^{WS}*[一二三四五六七八九十0-9]+[、.．]{WS}*', ''), " + q(r"""[\s\x0b\x85\p{Z}·•：:，,。！!？?（）()【】\[\]‘’“”"'_-]+""") + ", '', 'g'))")
-COMMENT = "CASE lang WHEN 'en' THEN '' ELSE substr(body, 1, 20) END"
+COMMENT = "CASE lang WHEN 'en' THEN '' ELSE body END"
 
 
 def merge_input(spark, sf):
@@ -110,7 +110,7 @@ SQL_BEST = f""", a0 AS (SELECT DISTINCT substr(title, 1, 20) || '续' AS title F
  m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY score DESC, ord) AS rn FROM p) WHERE rn = 1)
  SELECT n.doc_id AS ord, m.ord AS heading_ord, round(m.score, 6) AS score FROM notices n JOIN m ON m.title = substr(n.title, 1, 20) || '续'"""
 
-FILES = lambda s, d: notices(s, d).select(F.col("doc_id").alias("ord"), F.encode(F.concat("source", F.repeat(F.substring("body", 1, 50), (F.col("n_chars") % 3 * 700).cast("int"))), "utf-8").alias("content"))
+FILES = lambda s, d: notices(s, d).select(F.col("doc_id").alias("ord"), F.encode(F.concat("source", F.repeat("body", (F.col("n_chars") % 3).cast("int"))), "utf-8").alias("content"))
 
 ENTRIES = {
     "dedup_url_first": (lambda s, d: dd.dedup_url_first(notices(s, d).select(F.col("doc_id").alias("ord"), "url", "title", "source")),
@@ -133,10 +133,10 @@ ENTRIES = {
                          sql_over_notices(" UNION ALL ".join([f"SELECT '{k}' AS kind, {e} AS value, count(*) AS n FROM notices GROUP BY 2 HAVING count(*) >= {m}" for k, e, m in (("url", "url", 2), ("title", "title", 2), ("id", "right(url, 8)", 2), ("source", "source", 1))]
                                                               + [f"SELECT 'distinct', '{k}', count(DISTINCT {e}) FROM notices" for k, e in (("url", "url"), ("title", "title"), ("id", "right(url, 8)"))]))),
     "content_hash_dedup": (lambda s, d: dd.content_hash_dedup(FILES(s, d)).select("ord"),
-                           sql_over_notices("SELECT min(doc_id) AS ord FROM (SELECT doc_id, source || repeat(substr(body, 1, 50), n_chars % 3 * 700) AS content FROM notices) GROUP BY content")),
+                           sql_over_notices("SELECT min(doc_id) AS ord FROM (SELECT doc_id, source || repeat(body, n_chars % 3) AS content FROM notices) GROUP BY content")),
     "labels_dedup_ordered": column_query(lambda: F.array_join(dd.labels_dedup_ordered(F.split("title", "")), ""), ("string_split(title, '')", "array_to_string(list_filter(t1, lambda x, i: list_position(t1, x) = i), '')")),
     "match_original": (q_match, sql_over_notices("", SQL_MATCH)),
     "best_title_match": (q_best, sql_over_notices("", SQL_BEST)),
-    "set_overlap": (lambda s, d: notices(s, d).select("doc_id", sm.set_overlap(sm.title_bigrams("title"), sm.title_bigrams(F.substring("body", 20, 60))).alias("o")).select("doc_id", F.col("o.both").cast("bigint").alias("both"), F.col("o.either").cast("bigint").alias("either"), "o.overlaps"),
-                    sql_over_notices(f"SELECT doc_id, len(list_intersect(a, b)) AS both, len(list_distinct(list_concat(a, b))) AS either, len(list_intersect(a, b)) > 0 AS overlaps FROM (SELECT doc_id, {GRAMS} AS a, {grams('substr(body, 20, 60)')} AS b FROM notices)")),
+    "set_overlap": (lambda s, d: notices(s, d).select("doc_id", sm.set_overlap(sm.title_bigrams("title"), sm.title_bigrams("body")).alias("o")).select("doc_id", F.col("o.both").cast("bigint").alias("both"), F.col("o.either").cast("bigint").alias("either"), "o.overlaps"),
+                    sql_over_notices(f"SELECT doc_id, len(list_intersect(a, b)) AS both, len(list_distinct(list_concat(a, b))) AS either, len(list_intersect(a, b)) > 0 AS overlaps FROM (SELECT doc_id, {GRAMS} AS a, {grams('body')} AS b FROM notices)")),
 }

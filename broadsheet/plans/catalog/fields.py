@@ -153,7 +153,7 @@ SQL_PARSE_DATE = """SELECT o_orderkey AS doc_id, CASE WHEN o_custkey % 9 = 8 THE
 
 URLS = lambda: F.concat("url", F.lit("?p="), F.regexp_replace("publish_time", r"\.", "/"), F.when(F.col("lang") == "de", "/news_260709.shtml").otherwise(""))
 URLS_SQL = "url || '?p=' || replace(publish_time, '.', '/') || CASE lang WHEN 'de' THEN '/news_260709.shtml' ELSE '' END"
-DAYTEXT = "publish_time || ' ' || substr(body, 1, 3000)"
+DAYTEXT = "publish_time || ' ' || body"
 
 
 def iso(y, m, d):
@@ -172,7 +172,7 @@ def sql_date(e, last):
 
 SQL_KV = f""", l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT doc_id, {sql_lines("replace(body, '，', chr(10))")} AS ls FROM notices)),
  e AS (SELECT doc_id, i, {sql_strip("regexp_extract(line, '^(.{1,16})[：:]\\s*(.+)', 1)")} AS k, {sql_strip("regexp_extract(line, '^(.{1,16})[：:]\\s*(.+)', 2)")} AS v FROM l WHERE regexp_matches(line, '^(.{{1,16}})[：:]\\s*(.+)')),
- s AS (SELECT doc_id, i, coalesce({sql_map(lx.FIELD_ALIASES)}[k], k) AS key, v FROM e WHERE length(v) <= 2000)
+ s AS (SELECT doc_id, i, coalesce({sql_map(lx.FIELD_ALIASES)}[k], k) AS key, v FROM e)
  SELECT doc_id, key, coalesce(arg_min(v, i) FILTER (v <> ''), '') AS value FROM s GROUP BY doc_id, key"""
 
 RENAME = lambda: F.create_map(F.lit("亮点"), F.lit(""), F.lit("卡亮点"), F.col("title"), F.lit("生效日期"), F.col("publish_time"), F.lit("时间"), F.col("source"), F.concat(F.lit("其他"), F.col("lang")), F.col("lang"))
@@ -306,13 +306,13 @@ SQL_SUMMARY = f""", ms AS (SELECT *, {sql_structured()} AS m FROM cats),
 
 
 def q_time_nodes(spark, sf):
-    d = notices(spark, sf).select(F.col("doc_id").alias("ord"), "title", F.substring("body", 1, 2000).alias("notes"), F.lit("").alias("recommendation"),
+    d = notices(spark, sf).select(F.col("doc_id").alias("ord"), "title", F.col("body").alias("notes"), F.lit("").alias("recommendation"),
                                   (F.col("lang") == "en").alias("is_highlight"))
     return fd.extract_time_nodes(d).select("node", "ord")
 
 
 SQL_NODES = """SELECT node, ord FROM (SELECT node, min({'o': doc_id, 'i': i}) AS mn, min(doc_id) AS ord FROM (SELECT doc_id, unnest(ds) || ' — ' || title AS node, generate_subscripts(ds, 1) AS i
- FROM (SELECT doc_id, title, regexp_extract_all(substr(body, 1, 2000) || ' ', '\\d{1,2}[.月]\\d{1,2}[日号]?') AS ds FROM notices WHERE lang = 'en')) GROUP BY node) ORDER BY mn LIMIT 5"""
+ FROM (SELECT doc_id, title, regexp_extract_all(body || ' ', '\\d{1,2}[.月]\\d{1,2}[日号]?') AS ds FROM notices WHERE lang = 'en')) GROUP BY node) ORDER BY mn LIMIT 5"""
 
 NAMED_SQL = (r"regexp_extract_all(body, '(?:Visa|MasterCard|银联|JCB|美国运通)[^\s\x0b，。]{0,6}(?:卡|版)')", r"regexp_extract_all(body, '[^\s\x0b，。]{4,10}(?:卡|版)')",
              "list_filter(CASE WHEN len(t1) > 0 THEN t1 ELSE t2 END, lambda k: k NOT IN ('扫码申卡', '主题信用卡', '信用卡', '银行卡', '借记卡') AND NOT contains(k, '扫码') AND NOT contains(k, '主题'))",
@@ -321,10 +321,10 @@ NAMED_SQL = (r"regexp_extract_all(body, '(?:Visa|MasterCard|银联|JCB|美国运
 
 
 def q_annual(spark, sf):
-    return notices(spark, sf).select("doc_id", fd.annual_benefit(F.concat(F.lit("月上限"), F.replace(F.substring("body", 1, 200), F.lit("调整"), F.lit("年返"))), "title", F.array("source")).alias("out"))
+    return notices(spark, sf).select("doc_id", fd.annual_benefit(F.concat(F.lit("月上限"), F.replace("body", F.lit("调整"), F.lit("年返"))), "title", F.array("source")).alias("out"))
 
 
-SQL_ANNUAL = ("'月上限' || replace(substr(body, 1, 200), '调整', '年返') || ' ' || title || ' ' || source", "regexp_extract(t1, '月[上限]*[^\\d]*(\\d+)(?:元|返利金|返现)', 1)", "regexp_extract(t1, '年[返省赚]*[^\\d]*(\\d+)元', 1)",
+SQL_ANNUAL = ("'月上限' || replace(body, '调整', '年返') || ' ' || title || ' ' || source", "regexp_extract(t1, '月[上限]*[^\\d]*(\\d+)(?:元|返利金|返现)', 1)", "regexp_extract(t1, '年[返省赚]*[^\\d]*(\\d+)元', 1)",
               "CASE WHEN t2 <> '' THEN '年约' || CAST(CAST(t2 AS HUGEINT) * 12 AS VARCHAR) || '元收益' WHEN t3 <> '' THEN '年' || t3 || '元' WHEN contains(t1, '免年费') OR contains(t1, '0年费') THEN '免年费' ELSE '' END")
 
 ENTRIES = {
@@ -346,8 +346,8 @@ ENTRIES = {
     "build_structured_from_ocr": ((lambda s, d: with_category(s, d).select("doc_id", flat(fd.build_structured_from_ocr("category", "title", F.replace("body", F.lit("，"), F.lit("\n")))).alias("out"))),
                                   sql_over_notices(f"SELECT doc_id, {sql_flat('m')} AS out FROM {sql_ocr()}", WITH_CATEGORY)),
     "parse_date_multi": (q_parse_date, SQL_PARSE_DATE),
-    "extract_date": column_query(lambda: F.concat_ws("|", fd.extract_date(F.concat("publish_time", F.lit(" "), F.substring("body", 1, 3000))), fd.extract_date(F.substring("body", 1, 3000), last=True), fd.extract_date(URLS(), last=True)),
-                                 (DAYTEXT, "substr(body, 1, 3000)", URLS_SQL, f"{sql_date('t1', False)} || '|' || {sql_date('t2', True)} || '|' || {sql_date('t3', True)}")),
+    "extract_date": column_query(lambda: F.concat_ws("|", fd.extract_date(F.concat("publish_time", F.lit(" "), F.col("body"))), fd.extract_date("body", last=True), fd.extract_date(URLS(), last=True)),
+                                 (DAYTEXT, "body", URLS_SQL, f"{sql_date('t1', False)} || '|' || {sql_date('t2', True)} || '|' || {sql_date('t3', True)}")),
     "extract_date_loose": column_query(lambda: fd.extract_date_loose("body", "url"), sql_filled("regexp_extract(body, '20\\d{2}[.年/-]\\s*\\d{1,2}[.月/-]\\s*\\d{1,2}')", "right(url, 8)")),
     "extract_time_range": column_query(lambda: fd.extract_time_range("body"), tidy(first("body", lx.TIME_PATTERNS))),
     "extract_activity_window": column_query(lambda: fd.extract_activity_window(ranged()), (f"substr({RANGED}, 1, 500)", "CASE WHEN contains(t1, '2024年3月5日至2024年4月1日') THEN '2024年3月5日 ~ 2024年4月1日' ELSE '' END")),
@@ -362,7 +362,7 @@ ENTRIES = {
     "extract_audience": cat_query(lambda: fd.extract_audience("title", AUD_TEXT(), F.create_map(F.lit("适用人群"), F.when(F.col("lang") == "es", F.col("source")).otherwise("持卡人")), "category", "bank"),
                                   sql_audience("title", "replace(body, '；', '适合')", "CASE lang WHEN 'es' THEN source ELSE '持卡人' END")),
     "extract_benefits": (q_benefits, column_query(lambda: F.lit(1), BENEFITS_SQL)[1]),
-    "extract_fee_note": column_query(lambda: fd.extract_fee_note("title", F.substring("body", 1, 400), F.create_map(F.lit("详情"), F.col("body"))), sql_fee_note("title", "substr(body, 1, 400)", "body")),
+    "extract_fee_note": column_query(lambda: fd.extract_fee_note("title", F.col("body"), F.create_map(F.lit("详情"), F.col("body"))), sql_fee_note("title", "body", "body")),
     "annual_benefit": (q_annual, column_query(lambda: F.lit(1), SQL_ANNUAL)[1]),
     "extract_time_nodes": (q_time_nodes, sql_over_notices(SQL_NODES)),
     "parse_model_json": (q_model_json, "SELECT event_id AS doc_id, CASE WHEN user_id % 4 < 3 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS out FROM events"),

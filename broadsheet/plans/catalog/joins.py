@@ -65,7 +65,7 @@ def q_orphans(spark, sf):
 
 def q_request_order(spark, sf):
     n = notices(spark, sf)
-    req = n.filter("lang = 'fr'").select("url", (F.col("doc_id") % 500).alias("ord"))
+    req = n.filter("lang = 'fr'").select("url", F.col("doc_id").alias("ord"))
     return jn.order_by_request(n.select("doc_id", "url"), req).select("doc_id", F.col("request_ord").cast("bigint").alias("request_ord"))
 
 
@@ -81,6 +81,6 @@ ENTRIES = {
     "filter_new_urls": (q_new_urls, "SELECT page_id FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE contains(url, '/en/'))"),
     "cached_or_fetched": (q_cached, sql_over_notices("SELECT url, ord, CASE WHEN lang IN ('fr', 'es') THEN '新' || title ELSE title END AS title, CASE WHEN lang IN ('fr', 'es') THEN 'fetched' ELSE 'cached' END AS origin FROM (SELECT url, min(doc_id) AS ord, arg_min(title, doc_id) AS title, arg_min(lang, doc_id) AS lang FROM notices GROUP BY url)")),
     "orphan_files": (q_orphans, sql_over_notices("SELECT DISTINCT upper(p) AS path FROM (SELECT unnest(images) AS p FROM notices) WHERE lower(p) NOT IN (SELECT lower(unnest(images)) FROM notices WHERE lang = 'en' OR source = 'src3')")),
-    "order_by_request": (q_request_order, sql_over_notices("SELECT n.doc_id, coalesce(r.ord, 999) AS request_ord FROM notices n LEFT JOIN (SELECT url, min(doc_id % 500) AS ord FROM notices WHERE lang = 'fr' GROUP BY url) r USING (url)")),
+    "order_by_request": (q_request_order, sql_over_notices("SELECT n.doc_id, r.ord AS request_ord FROM notices n LEFT JOIN (SELECT url, min(doc_id) AS ord FROM notices WHERE lang = 'fr' GROUP BY url) r USING (url)")),
     "merge_fallback_links": (q_fallback, sql_over_notices("SELECT doc_id AS ord, url, title FROM notices WHERE lang = 'en' UNION ALL SELECT min(doc_id), url, arg_min(title, doc_id) FROM notices WHERE url NOT IN (SELECT url FROM notices WHERE lang = 'en') GROUP BY url")),
 }

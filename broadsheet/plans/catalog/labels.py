@@ -99,12 +99,12 @@ def blocks():
 
 def q_paragraph(spark, sf):
     d = notices(spark, sf).select("doc_id", F.posexplode(F.split("body", "\n")).alias("pos", "line"))
-    d = d.select("doc_id", "pos", lb.classify_paragraph(F.substring("line", 1, 400)).alias("p"))
+    d = d.select("doc_id", "pos", lb.classify_paragraph("line").alias("p"))
     return d.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "p.type", "p.prefix", "p.body", "p.is_block")
 
 
 SQL_PARAGRAPH = f""", l AS (SELECT doc_id, unnest(ls) AS raw, generate_subscripts(ls, 1) - 1 AS pos FROM (SELECT doc_id, string_split(body, chr(10)) AS ls FROM notices)),
- k AS (SELECT doc_id, pos, substr(raw, 1, 400) AS line, {sql_strip("regexp_extract(substr(raw, 1, 400), '(?s)^([^：:\\n]{2,15})[：:]', 1)")} AS label FROM l),
+ k AS (SELECT doc_id, pos, raw AS line, {sql_strip("regexp_extract(raw, '(?s)^([^：:\\n]{2,15})[：:]', 1)")} AS label FROM l),
  m AS (SELECT *, CASE WHEN regexp_matches(line, '^[▸•📌🗑🟡🔴⚪🆕📊📈🏦]') THEN 'bullet' WHEN regexp_matches(line, '^[^：:\\n]{{2,15}}[：:]') THEN 'semantic' ELSE 'paragraph' END AS type,
    {sql_strip("regexp_replace(label, '[🟡🔴⚪💡]', '', 'g')")} AS clean FROM k)
  SELECT doc_id, pos::BIGINT AS pos, type, CASE WHEN type = 'semantic' THEN coalesce({sql_map({k: s for k, s, _ in lx.LABEL_STYLES})}[clean], nullif(clean, ''), label) ELSE '' END AS prefix,
@@ -119,8 +119,8 @@ ENTRIES = {
     "normalize_category": column_query(lambda: lb.normalize_category("raw_category"),
                                        f"CASE WHEN list_contains({sql_list(lx.CATEGORIES)}, raw_category) THEN raw_category ELSE coalesce({sql_map(lx.CATEGORY_MAP)}[raw_category], '其他') END"),
     "classify_3tier": (q_classify, sql_over_notices(f"SELECT doc_id, category, {SQL_CANDS} AS candidates, array_to_string(evidence, '; ') AS evidence FROM {sql_classified()}")),
-    "classify_rules_ordered": column_query(lambda: F.concat_ws("|", lb.classify_rules_ordered("title", "body"), lb.classify_rules_ordered("title", F.substring("body", 1, 20), lx.CHANGE_FIRST_RULES)),
-                                           ("title || ' ' || substr(body, 1, 500)", "title || ' ' || substr(body, 1, 20)",
+    "classify_rules_ordered": column_query(lambda: F.concat_ws("|", lb.classify_rules_ordered("title", "body"), lb.classify_rules_ordered("title", F.col("body"), lx.CHANGE_FIRST_RULES)),
+                                           ("title || ' ' || substr(body, 1, 500)", "title || ' ' || substr(body, 1, 500)",
                                             ordered("t1", lx.CARD_FIRST_RULES, "公告") + " || '|' || " + ordered("t2", lx.CHANGE_FIRST_RULES, "公告"))),
     "classify_multilabel": (q_multilabel, sql_over_notices(SQL_MULTI)),
     "categorize_heading": column_query(lambda: lb.categorize_heading("title"), ordered("title", [(v, [k]) for k, v in lx.HEADING_CATEGORY.items()], "其他")),
@@ -134,10 +134,10 @@ ENTRIES = {
     "resolve_source_name": column_query(lambda: lb.resolve_source_name(lb.resolve_bank("title", "author", F.lit(""))["bank"], "author", "source"),
                                         f"list_transform([coalesce({sql_map(lx.AUTHOR_BANKS)}[author], {sql_bank_in('author')}, {sql_bank_in('title')})], lambda b: {sql_filled('b', 'author', 'source', q('未知'))})[1]"),
     "extract_bank_name": column_query(lambda: lb.extract_bank_name("title", "body"), f"coalesce({sql_bank_in('title')}, {sql_bank_in('substr(body, 1, 500)')}, '')"),
-    "guess_topic_type": column_query(lambda: lb.guess_topic_type(F.substring("body", 1, 60)),
-                                     ("substr(body, 1, 60)", f"CASE WHEN {sql_count('t1', lx.HINT_CARD)} >= 2 THEN '新卡' WHEN {sql_count('t1', lx.HINT_PROMO)} >= 2 THEN '活动' WHEN {sql_any('t1', lx.HINT_CHANGE)} THEN '权益变更' WHEN {sql_any('t1', lx.HINT_NOTICE)} THEN '公告' ELSE '' END")),
-    "classify_block": column_query(lambda: lb.classify_block(F.concat(F.substring("body", 1, 12), F.when(F.col("lang") == "fr", "立即").when(F.col("lang") == "es", "示意图").otherwise(""))),
-                                   (sql_strip("substr(body, 1, 12) || CASE lang WHEN 'fr' THEN '立即' WHEN 'es' THEN '示意图' ELSE '' END"),
+    "guess_topic_type": column_query(lambda: lb.guess_topic_type("body"),
+                                     ("body", f"CASE WHEN {sql_count('t1', lx.HINT_CARD)} >= 2 THEN '新卡' WHEN {sql_count('t1', lx.HINT_PROMO)} >= 2 THEN '活动' WHEN {sql_any('t1', lx.HINT_CHANGE)} THEN '权益变更' WHEN {sql_any('t1', lx.HINT_NOTICE)} THEN '公告' ELSE '' END")),
+    "classify_block": column_query(lambda: lb.classify_block(F.concat("body", F.when(F.col("lang") == "fr", "立即").when(F.col("lang") == "es", "示意图").otherwise(""))),
+                                   (sql_strip("body || CASE lang WHEN 'fr' THEN '立即' WHEN 'es' THEN '示意图' ELSE '' END"),
                                     f"CASE WHEN t1 = '' THEN 'ocr_noise' WHEN length(t1) < 40 AND {sql_any('t1', lx.CTA_WORDS)} THEN 'image_cta' WHEN {sql_any('lower(t1)', lx.IMAGE_NOISE_WORDS)} OR length(t1) < 4 THEN 'ocr_noise' ELSE 'ocr_fact' END")),
     "classify_paragraph": (q_paragraph, sql_over_notices("", SQL_PARAGRAPH)),
     "detect_doc_type": column_query(lambda: lb.detect_doc_type("source", "body", external=["优惠", "返现", "积分"], internal=["系统", "公告"]),

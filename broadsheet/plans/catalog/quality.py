@@ -119,12 +119,12 @@ def q_order(spark, sf):
 
 
 def blocks3():
-    return F.transform(F.slice(F.split("body", "。"), 1, 6), lambda s: F.struct(lb.classify_block(F.substring(s, 1, 30)).alias("type"), s.alias("text")))
+    return F.transform(F.split("body", "。"), lambda s: F.struct(lb.classify_block(s).alias("type"), s.alias("text")))
 
 
 ENTRIES = {
     "category_confidence": (lambda s, d: assessed(s, d).select("doc_id", F.bround(ql.category_confidence("candidates"), 4).alias("out")), sql_over_notices(f"SELECT doc_id, round_even({CATC}, 4)::DOUBLE AS out FROM {sql_classified()}")),
-    "title_confidence": column_query(lambda: F.bround(ql.title_confidence(F.when(F.col("lang") == "de", "generated").otherwise("raw"), F.substring("title", 1, 15)), 4), f"round_even(least(1.0, {title_c(SRC, 'substr(title, 1, 15)')}), 4)::DOUBLE"),
+    "title_confidence": column_query(lambda: F.bround(ql.title_confidence(F.when(F.col("lang") == "de", "generated").otherwise("raw"), F.col("title")), 4), f"round_even(least(1.0, {title_c(SRC, 'title')}), 4)::DOUBLE"),
     "structured_confidence": (lambda s, d: assessed(s, d).select("doc_id", F.bround(ql.structured_confidence("category", "structured"), 4).alias("out")), sql_over_notices(f"SELECT doc_id, round_even(c_str, 4)::DOUBLE AS out FROM {ASSESSED}")),
     "overall_confidence": pick("confidence.overall", "c_all::DOUBLE"),
     "review_flags": (lambda s, d: assessed(s, d).select("doc_id", F.array_join("review_flags", ",").alias("out")), sql_over_notices(f"SELECT doc_id, array_to_string(flags, ',') AS out FROM {ASSESSED}")),
@@ -135,8 +135,8 @@ ENTRIES = {
                           sql_over_notices(f"SELECT doc_id, item_id, sev AS severity FROM {ASSESSED} WHERE sev IN ('high', 'medium') ORDER BY c_all, item_id, doc_id LIMIT 50")),
     "noise_flags": (lambda s, d: with_category(s, d).select("doc_id", F.array_join(ql.noise_flags(blocks3(), F.when(F.col("source") == "src3", " ").otherwise(F.col("body")), "category"), ",").alias("out")),
                     sql_over_notices("""SELECT doc_id, array_to_string(list_concat(list_filter(k, lambda t: t IN ('ocr_noise', 'image_cta')), list_filter([CASE WHEN list_contains(k, 'ocr_noise') THEN 'has_ocr_noise' END,
-      CASE WHEN source = 'src3' AND category <> '其他' THEN 'pure_ad_or_empty' END], lambda x: x IS NOT NULL)), ',') AS out FROM (SELECT *, list_transform(string_split(body, '。')[1:6], lambda z: CASE WHEN trim(substr(z, 1, 30), ' ' || chr(10) || chr(12288)) = '' THEN 'ocr_noise'
-      WHEN regexp_matches(substr(z, 1, 30), '扫码|申请|下载|点击|立即|开通|办理') THEN 'image_cta' WHEN regexp_matches(lower(substr(z, 1, 30)), '图片为|图（|picture|插画|背景图|示意图') OR length(trim(substr(z, 1, 30), ' ' || chr(10) || chr(12288))) < 4 THEN 'ocr_noise' ELSE 'ocr_fact' END) AS k FROM cats)""", WITH_CATEGORY)),
+      CASE WHEN source = 'src3' AND category <> '其他' THEN 'pure_ad_or_empty' END], lambda x: x IS NOT NULL)), ',') AS out FROM (SELECT *, list_transform(string_split(body, '。'), lambda z: CASE WHEN trim(z, ' ' || chr(10) || chr(12288)) = '' THEN 'ocr_noise'
+      WHEN regexp_matches(z, '扫码|申请|下载|点击|立即|开通|办理') THEN 'image_cta' WHEN regexp_matches(lower(z), '图片为|图（|picture|插画|背景图|示意图') OR length(trim(z, ' ' || chr(10) || chr(12288))) < 4 THEN 'ocr_noise' ELSE 'ocr_fact' END) AS k FROM cats)""", WITH_CATEGORY)),
     "validate_batch": (q_validate, sql_over_notices("", SQL_VALIDATE)),
     "order_check": (q_order, sql_over_notices("SELECT doc_id, images = a AS ok, array_to_string(list_transform(images, lambda x: CASE WHEN list_contains(a, x) THEN x ELSE '-' END), ',') AS suggestion FROM (SELECT *, CASE WHEN lang = 'en' THEN images ELSE list_reverse(images)[1:2] END AS a FROM notices)")),
     "findings_rollup": (lambda s, d: rv.findings_rollup(findings(s, d)), SQL_FIND + f" SELECT doc, n_a, n_b, n_c, n_d, n_e, total, {TOPK} AS top_kind, greatest(0, 100 - 5 * total) AS quality_score FROM (SELECT doc, {COUNTS}, count(*) AS total FROM f GROUP BY doc)"),

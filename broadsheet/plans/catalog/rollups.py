@@ -18,7 +18,7 @@ def items(spark, sf):
 
 
 SC = WITH_CATEGORY + f", sc AS MATERIALIZED (SELECT *, doc_id AS ord, substr(publish_time, 1, 7) AS batch_label FROM {sql_scored(sql_scored_input())})"
-CT = WITH_CATEGORY + ", ct AS (SELECT *, doc_id AS ord, substr(publish_time, 1, 7) AS batch_label, substr(body, 1, 300) AS raw_text FROM cats)"
+CT = WITH_CATEGORY + ", ct AS (SELECT *, doc_id AS ord, substr(publish_time, 1, 7) AS batch_label, body AS raw_text FROM cats)"
 RANK = "CASE category " + " ".join(f"WHEN {q(k)} THEN {i}" for i, k in enumerate(lx.CATEGORIES)) + " ELSE 5 END"
 b = lambda c: F.col(c).cast("bigint").alias(c)
 

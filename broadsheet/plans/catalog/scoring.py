@@ -11,12 +11,12 @@ from .labels import sql_staged
 
 
 def scored_input(spark, sf):
-    """Items with category, bank, the first 300 characters as text, and a structured map."""
-    return with_category(spark, sf).withColumn("structured", STRUCT()).withColumn("raw_text", F.substring("body", 1, 300))
+    """Items with category, bank, the whole text, and a structured map."""
+    return with_category(spark, sf).withColumn("structured", STRUCT()).withColumn("raw_text", F.col("body"))
 
 
 def sql_scored_input(view="cats"):
-    return sql_staged(view, ("structured", sql_structured()), ("raw_text", "substr(body, 1, 300)"))
+    return sql_staged(view, ("structured", sql_structured()), ("raw_text", "body"))
 
 
 def sql_signals(view):

@@ -78,14 +78,14 @@ def q_topics(spark, sf):
 def q_merge_small(spark, sf):
     """Conversations: every turn is a topic, folded by the same rule."""
     t = table(spark, sf, "conversations")
-    row = F.struct(F.col("turn").alias("start_block"), F.col("turn").alias("end_block"), F.substring("text", 1, 10).alias("headline"), F.substring("role", 1, 1).alias("type_hint"), F.size(F.split("text", r"\.")).cast("bigint").alias("n_blocks"),
+    row = F.struct(F.col("turn").alias("start_block"), F.col("turn").alias("end_block"), F.col("text").alias("headline"), F.col("role").alias("type_hint"), F.size(F.split("text", r"\.")).cast("bigint").alias("n_blocks"),
                    F.array().cast("array<struct<pos:bigint,type:string,text:string>>").alias("blocks"), F.lit(0).alias("merged")).cast(sg.TOPIC)
     a = t.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", row.alias("t")))).alias("ts"))
     k = a.select("conv_id", F.explode(sg.merge_small_topics(F.transform("ts", lambda x: x["t"]), F.lit("?"))).alias("t"))
     return k.select("conv_id", "t.start_block", "t.end_block", "t.headline", "t.n_blocks", F.col("t.merged").cast("bigint").alias("merged"))
 
 
-SQL_MERGE_SMALL = """WITH c AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, substr(text, 1, 10) AS h, substr(role, 1, 1) AS hint, len(string_split(text, '.')) AS n FROM conversations),
+SQL_MERGE_SMALL = """WITH c AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, text AS h, role AS hint, len(string_split(text, '.')) AS n FROM conversations),
  f AS (SELECT * FROM (WITH RECURSIVE f(conv_id, i, grp, hint) AS (SELECT conv_id, i, 1, hint FROM c WHERE i = 1 UNION ALL SELECT c.conv_id, c.i, CASE WHEN c.n <= 2 OR (f.hint <> '' AND f.hint = c.hint AND c.n <= 3) THEN f.grp ELSE f.grp + 1 END,
    CASE WHEN c.n <= 2 OR (f.hint <> '' AND f.hint = c.hint AND c.n <= 3) THEN f.hint ELSE c.hint END FROM f JOIN c ON c.conv_id = f.conv_id AND c.i = f.i + 1) SELECT * FROM f))
  SELECT conv_id, min(turn) AS start_block, max(turn) AS end_block, arg_min(h, i) AS headline, sum(n)::BIGINT AS n_blocks, count(*) - 1 AS merged FROM f JOIN c USING (conv_id, i) GROUP BY conv_id, grp"""
@@ -118,7 +118,7 @@ SQL_ITEMS = SQL_MODES + f""", p1 AS (SELECT pa.file, pos, style, {sql_strip('tex
  i2 AS (SELECT it.*, CASE WHEN mode = 'announcement' THEN coalesce(fb, '银行') || '公告' WHEN mode = 'field' THEN coalesce((SELECT any_value({sql_filled('p4.value', q('银行信息'))}) FROM p4 WHERE p4.file = it.file AND p4.pos = it.h1), '微信文章') ELSE (SELECT any_value(p4.x) FROM p4 WHERE p4.file = it.file AND p4.pos = it.h1) END AS ht
    FROM it LEFT JOIN fb USING (file) WHERE length({sql_strip('raw_text')}) >= 5 AND NOT contains(raw_text, '以上内容为广告')),
  kv AS (SELECT file, ord, k, arg_min(v, i) AS v FROM (SELECT file, ord, i, {sql_strip("regexp_extract(l, '^(.{1,16})[：:]\\s*(.+)', 1)")} AS k0, {sql_strip("regexp_extract(l, '^(.{1,16})[：:]\\s*(.+)', 2)")} AS v, coalesce({sql_map(lx.FIELD_ALIASES)}[k0], k0) AS k FROM (SELECT file, ord, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM (SELECT file, ord, {sql_lines('raw_text')} AS ls FROM i2))
-   WHERE regexp_matches(l, '^(.{{1,16}})[：:]\\s*(.+)')) WHERE v <> '' AND length(v) <= 2000 GROUP BY file, ord, k)
+   WHERE regexp_matches(l, '^(.{{1,16}})[：:]\\s*(.+)')) WHERE v <> '' GROUP BY file, ord, k)
  SELECT i2.file, i2.ord, mode, {'CASE ' + ' '.join(f"WHEN contains(ht, {q(k)}) THEN {q(v)}" for k, v in lx.HEADING_CATEGORY.items()) + " ELSE '其他' END"} AS category, title,
   {sql_filled(f"regexp_extract(ht, {q('(' + '|'.join(lx.HEADING_BANKS) + ')')}, 1)", f"regexp_extract(array_to_string(string_split(raw_text, chr(10))[1:5], ' '), {q('(' + '|'.join(lx.HEADING_BANKS) + ')')}, 1)")} AS bank,
   coalesce(nullif(url, ''), (SELECT any_value(v) FROM kv WHERE kv.file = i2.file AND kv.ord = i2.ord AND k = '原文链接'), (SELECT any_value(v) FROM kv WHERE kv.file = i2.file AND kv.ord = i2.ord AND k = '来源'), '') AS url, raw_text,
@@ -132,7 +132,7 @@ def q_items(spark, sf):
 
 def styled(spark, sf):
     p = paragraphs(spark, sf)
-    return p.select("file", "pos", F.replace(F.replace("style", F.lit(" "), F.lit("")), F.lit("Normal"), F.lit("normal")).alias("style"), F.substring("text", 1, 300).alias("text"))
+    return p.select("file", "pos", F.replace(F.replace("style", F.lit(" "), F.lit("")), F.lit("Normal"), F.lit("normal")).alias("style"), "text")
 
 
 def q_styled(spark, sf):
@@ -142,7 +142,7 @@ def q_styled(spark, sf):
 
 CLS = f"CASE WHEN regexp_matches(x, '^[▸•📌🗑🟡🔴⚪🆕📊📈🏦]') THEN 'bullet' WHEN regexp_matches(x, '^[^：:\\n]{{2,15}}[：:]') THEN 'semantic' ELSE 'paragraph' END"
 LAB = sql_strip("regexp_extract(x, '^([^：:\\n]{2,15})[：:]', 1)")
-SQL_STYLED = SQL_PARA + f""", s1 AS (SELECT file, pos, style, substr(text, 1, 300) AS x FROM pa), s2 AS (SELECT *, max(CASE WHEN style = 'Heading 1' THEN pos END) OVER w AS h1, max(CASE WHEN style = 'Heading 2' THEN pos END) OVER w AS h2 FROM s1 WINDOW w AS (PARTITION BY file ORDER BY pos)),
+SQL_STYLED = SQL_PARA + f""", s1 AS (SELECT file, pos, style, text AS x FROM pa), s2 AS (SELECT *, max(CASE WHEN style = 'Heading 1' THEN pos END) OVER w AS h1, max(CASE WHEN style = 'Heading 2' THEN pos END) OVER w AS h2 FROM s1 WINDOW w AS (PARTITION BY file ORDER BY pos)),
  s3 AS (SELECT *, h2 IS NOT NULL AND (h1 IS NULL OR h2 > h1) AS o2, {CLS} AS cls, {LAB} AS lab, {sql_strip("regexp_replace(" + LAB + ", '[🟡🔴⚪💡]', '', 'g')")} AS clean FROM s2 WHERE style NOT IN ('Heading 1', 'Heading 2') AND x <> '')
  SELECT s3.file, s3.pos, (SELECT any_value({sql_strip("regexp_replace(p.x, '[💡🆕📊📈🏦🟡🔴⚪▸🗑📌✅❌⚠️📢🎁]', '', 'g')")}) FROM s1 p WHERE p.file = s3.file AND p.pos = s3.h1) AS category, CASE WHEN o2 THEN (SELECT any_value(p.x) FROM s1 p WHERE p.file = s3.file AND p.pos = s3.h2) END AS item,
   CASE WHEN o2 THEN 'item' WHEN style = 'List Bullet' OR h1 IS NULL THEN 'standalone' ELSE 'preamble' END AS role, CASE WHEN style = 'List Bullet' THEN 'bullet' ELSE cls END AS type,

@@ -25,7 +25,7 @@ def plain_items(spark, sf):
     return d.withColumn("category", cat).withColumn("ord", F.col("item_id").cast("bigint"))
 
 
-PI = f", pi AS (SELECT *, {NORM} AS category, '批/' || substr(publish_time, 1, 7) AS batch_label, doc_id AS ord, substr(body, 1, 100) AS raw_text FROM notices)"
+PI = f", pi AS (SELECT *, {NORM} AS category, '批/' || substr(publish_time, 1, 7) AS batch_label, doc_id AS ord, body AS raw_text FROM notices)"
 
 
 def q_write_json(spark, sf):
@@ -76,7 +76,7 @@ def q_digest(spark, sf):
 
 R = "CASE category WHEN '新卡' THEN 0 WHEN '权益变更' THEN 1 WHEN '活动' THEN 2 WHEN '公告' THEN 3 WHEN '其他' THEN 4 END"
 DIGEST = PI + f""", bl AS (SELECT {R} AS section, ord, list_filter(list_concat(list_concat(['### ' || title, CASE WHEN lang <> 'en' AND author <> '' THEN '**亮点：** ' || author END, '银行：' || source || ' | 来源：' || lang, '[原文链接](' || url || ')', '**结构化信息：**', '- **k**：' || author,
-  CASE WHEN raw_text <> '' THEN '**原文摘要：**' END, CASE WHEN raw_text <> '' THEN raw_text END], list_transform(images, lambda p: '![' || title || '](' || p || ')')), ['---']), lambda x: x IS NOT NULL) AS ls FROM pi),
+  CASE WHEN raw_text <> '' THEN '**原文摘要：**' END, CASE WHEN length(raw_text) > 500 THEN substr(raw_text, 1, 500) || '...' WHEN raw_text <> '' THEN raw_text END], list_transform(images, lambda p: '![' || title || '](' || p || ')')), ['---']), lambda x: x IS NOT NULL) AS ls FROM pi),
  im AS (SELECT row_number() OVER (ORDER BY {R}, ord, i) AS k, category, title, p FROM (SELECT *, unnest(images) AS p, generate_subscripts(images, 1) AS i FROM pi))
  SELECT -1::INTEGER AS section, 0::BIGINT AS ord, 0::BIGINT AS n, '# 信用卡周报 - 2024' AS line UNION ALL SELECT DISTINCT ({R})::INTEGER, -1, 0, '## ' || category FROM pi UNION ALL SELECT section::INTEGER, ord, generate_subscripts(ls, 1) - 1, unnest(ls) FROM bl
  UNION ALL SELECT 99, k, 0, k || '. [' || title || '](' || p || ') — 分类：' || category FROM im"""
@@ -126,7 +126,7 @@ def q_atomic(spark, sf):
     d = plain_items(spark, sf).select("item_id", "title")
     sk.atomic_write(d, p)
     sk.atomic_write(d.withColumn("title", F.concat("title", F.lit("x"))), p)
-    return spark.read.parquet(p)
+    return sk.read_atomic(spark, p)
 
 
 def q_run_log(spark, sf):

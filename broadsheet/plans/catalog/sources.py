@@ -21,7 +21,7 @@ b = lambda k: F.col(k).cast("bigint").alias(k)
 
 def items(spark, sf):
     d = notices(spark, sf)
-    return d.select(F.col("doc_id").cast("string").alias("item_id"), F.col("lang").alias("source"), F.col("raw_category").alias("category"), F.col("source").alias("bank"), "title", "url", F.substring("body", 1, 100).alias("raw_text"), "images",
+    return d.select(F.col("doc_id").cast("string").alias("item_id"), F.col("lang").alias("source"), F.col("raw_category").alias("category"), F.col("source").alias("bank"), "title", "url", F.col("body").alias("raw_text"), "images",
                     F.create_map(F.lit("k"), F.col("author")).alias("structured"), "author", "publish_time", F.concat(F.lit("批/"), F.substring("publish_time", 1, 7)).alias("batch_label"))
 
 

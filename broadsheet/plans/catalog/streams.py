@@ -63,7 +63,7 @@ def q_upsert(spark, sf):
     p = scratch.fresh(spark, "upsert")
     t = st.VersionedTable(spark, p + "/table")
     st.run_available(st.stream_upsert_latest(s, t, columns=("title",)), p + "/cp")
-    return t.read().select("url", F.col("title") != "", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("last_seen")).toDF("url", "has_title", "last_seen")
+    return t.read().select("url", "title", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("last_seen"))
 
 
 def q_score(spark, sf):
@@ -90,7 +90,7 @@ ENTRIES = {
     "stream_history_lru": (q_lru, f"SELECT DISTINCT event_type AS feed, md5({URL}) AS url_md5 FROM events"),
     "stream_late_filter": (q_late, "SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-13' THEN 'in_time' ELSE 'late' END AS part FROM events"),
     "stream_weekly_counts": (q_weekly, "SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week_start, event_type AS feed, count(*) AS n FROM events GROUP BY ALL"),
-    "stream_upsert_latest": (q_upsert, f"SELECT {URL} AS url, bool_or(value >= 5) AS has_title, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen FROM events GROUP BY 1"),
+    "stream_upsert_latest": (q_upsert, f"SELECT {URL} AS url, coalesce(max_by(CASE WHEN value >= 5 THEN value::VARCHAR END, (ts, value::VARCHAR)) FILTER (value >= 5), '') AS title, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen FROM events GROUP BY 1"),
     "stream_score_enrich": (q_score, sql_over_notices(f"SELECT doc_id, category, bank, CASE WHEN bank = '招商银行' THEN (SELECT count(*) FROM notices) END AS n_refs FROM {sql_resolved(sql_classified())}")),
     "stream_archive": (q_archive, "SELECT year(ts) AS year, month(ts) AS month, count(*) AS n FROM events GROUP BY ALL"),
 }

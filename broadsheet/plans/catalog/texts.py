@@ -130,9 +130,9 @@ STRUCTURED_MAP_SQL = DETAIL_SQL.replace("(SELECT doc_id, " + sql_lines('body'),
  SELECT doc_id, array_to_string(list_sort(list_filter(['详情', '消息内容', '来源'], lambda k: CASE k WHEN '详情' THEN detail <> '' WHEN '消息内容' THEN message <> '' ELSE origin <> '' END)), ',') AS keys,
    detail, message, origin FROM v"""
 
-STARTED = "substr(regexp_replace(body, '^[^0-9]*', ''), 1, 90)"
+STARTED = "regexp_replace(body, '^[^0-9]*', '')"
 REPORT_STAGES = (
-    sql_strip(f"replace(replace(CASE WHEN lang = 'en' THEN {STARTED} ELSE substr(body, 1, 90) END, chr(10), ' '), chr(13), '')"),
+    sql_strip(f"replace(replace(CASE WHEN lang = 'en' THEN {STARTED} ELSE body END, chr(10), ' '), chr(13), '')"),
     "regexp_replace(regexp_replace(t1, '(?s) ?二、活动对象.*$', ''), '(?s) ?三、活动内容.*$', '')",
     "replace(t2, '农业银行活动活动：', '')",
     "CASE WHEN regexp_matches(t3, '^\\d{4}[年/-]') OR contains(t3, '活动名额') THEN CASE WHEN title <> '' THEN " + sql_strip("source || ' ' || title") + " ELSE source || ' 活动活动' END ELSE t3 END",
@@ -143,7 +143,7 @@ REPORT_STAGES = (
 
 
 def report_line():
-    t = F.when(F.col("lang") == "en", F.substring(F.regexp_replace("body", "^[^0-9]*", ""), 1, 90)).otherwise(F.substring("body", 1, 90))
+    t = F.when(F.col("lang") == "en", F.regexp_replace("body", "^[^0-9]*", "")).otherwise(F.col("body"))
     return tx.report_title_line(t, F.col("source"), F.lit("活动"), F.create_map(F.lit("卡种"), F.col("title")))
 
 
@@ -191,8 +191,8 @@ ENTRIES = {
     "strip_bracket_marks": column_query(lambda: tx.strip_bracket_marks(F.concat(F.lit("[图] "), F.replace("body", F.lit("；"), F.lit("[注]")))),
                                         sql_filled(sql_strip("replace(replace(body, '；', '[注]'), '[注]', '')"), "body")),
     "dedup_paragraphs": column_query(lambda: tx.dedup_paragraphs("body"),
-                                     (sql_lines("body"), "list_transform(t1, lambda l: substr(l, 1, 30))",
-                                      "substr(array_to_string(list_filter(t1, lambda l, i: list_position(t2, substr(l, 1, 30)) = i), chr(10)), 1, 3000)")),
+                                     (sql_lines("body"),
+                                      "array_to_string(list_filter(t1, lambda l, i: list_position(t1, l) = i), chr(10))")),
     "clean_structured_map": (q_structured_map, sql_over_notices("", STRUCTURED_MAP_SQL)),
     "report_title_line": column_query(report_line, REPORT_STAGES),
     "extract_link_segments": ((lambda s, d: tx.extract_link_segments(notices(s, d), "doc_id", "body")), sql_over_notices("", LINKS_SQL)),

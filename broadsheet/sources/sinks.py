@@ -3,6 +3,9 @@
 Reports are tables of lines with a sort key (section, ord, n): they stay distributed until written as text.
 """
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -126,8 +129,31 @@ def write_lines(lines, path):
 
 
 def atomic_write(df, path, fmt="parquet"):
-    """Replace a table: the commit protocol publishes files only when every task is done."""
-    df.write.mode("overwrite").format(fmt).save(path)
+    """Replace a table whole or not at all: write a fresh sibling folder, then point to it.
+
+    The table is the folder that the newest complete pointer names (read_atomic follows it). A failing write leaves an
+    unused folder and the pointer as it was; a reader sees the old rows or the new ones, never a mixture."""
+    spark, name = df.sparkSession, uuid.uuid4().hex
+    df.write.format(fmt).save(f"{path}/data-{name}")
+    number = (_pointer(spark, path) or (0, None))[0] + 1
+    spark.createDataFrame([(number, f"data-{name}")], "number long, folder string").coalesce(1).write.mode("append").json(f"{path}/pointers")
+
+
+def _pointer(spark, path):
+    """(number, folder) of the newest pointer, None before the first write."""
+    try:
+        newest = spark.read.schema("number long, folder string").json(f"{path}/pointers").agg(F.max(F.struct("number", "folder")).alias("p")).first().p
+    except AnalysisException:  # no pointer folder yet
+        return None
+    return tuple(newest) if newest else None
+
+
+def read_atomic(spark, path, fmt="parquet"):
+    """The rows of the last complete atomic_write."""
+    found = _pointer(spark, path)
+    if not found:
+        raise FileNotFoundError(path)
+    return spark.read.format(fmt).load(f"{path}/{found[1]}")
 
 
 def run_log(spark, path, last_run, bank_days, count):

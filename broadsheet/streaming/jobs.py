@@ -84,17 +84,21 @@ def stream_history_lru(stream, table, fresh_path, feed="feed", url="url", seq="s
 
 
 def stream_upsert_latest(stream, table, key="url", ts="ts", columns=("title", "body")):
-    """Writer that keeps the latest row per key; a filled value always beats an empty one."""
+    """Writer that keeps, per key and column, the latest filled value (an empty one only where none is filled).
+
+    Each column keeps the time of its value (<column>_ts), so a late arrival is judged by when its value was written, not
+    by when the key was last seen: the result does not depend on how rows are dealt into batches. Ties of time go to the
+    greater value."""
+    held = lambda k: F.struct((text(k) != "").alias("filled"), F.col(f"{k}_ts").alias("at"), F.col(k).alias("value"))
+
     def merge(df):
-        pick = lambda k: F.max_by(F.col(k), F.struct((text(k) != "").alias("f"), ts)).alias(k)
-        return df.groupBy(key).agg(*[pick(k) for k in columns], F.max(ts).alias(ts))
+        best = df.groupBy(key).agg(*[F.max(held(k)).alias(k) for k in columns], F.max(ts).alias(ts))
+        return best.select(key, ts, *[x for k in columns for x in (F.col(k)["value"].alias(k), F.col(k)["at"].alias(f"{k}_ts"))])
 
     def batch(df, i):
-        new = df.select(key, ts, *columns)
+        new = df.select(key, ts, *columns, *[F.col(ts).alias(f"{k}_ts") for k in columns])
         old = table.read(below=i)
-        # filled beats empty, then the later row wins; a filled old value survives an empty new one
-        rows = new if old is None else old.select(key, ts, *columns).unionByName(new)
-        table.write(merge(rows), i)
+        table.write(merge(new if old is None else old.unionByName(new)), i)
     return stream.writeStream.foreachBatch(batch)
 
 
