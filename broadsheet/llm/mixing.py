@@ -149,9 +149,9 @@ def drawn(docs, key="doc_id", text="text", source="source", carry=None, shards=S
 
 
 def mixed(docs, key="doc_id", text="text", source="source", shards=SHARDS):
-    """The mix itself: a row of docs for every time it is taken, dealt to its shards, each shuffled by itself."""
+    """The mix itself: a row of docs for every time it is taken, dealt to its shards (a partition each), and each shuffled by itself."""
     found, name = drawn(docs, key, text, source, shards=shards)
     turn = free_name(found, "turn")
     each = found.withColumn(turn, F.explode(col(name)["draws"]))
     place = F.md5(F.concat_ws(":", F.lit(SEED), F.col(turn)["turn"], col(name)["perm"]))
-    return each.repartition(shards, F.col(turn)["shard"]).sortWithinPartitions(F.col(turn)["shard"], place).select(*map(col, docs.columns))
+    return each.repartitionById(shards, F.col(turn)["shard"]).sortWithinPartitions(F.col(turn)["shard"], place).select(*map(col, docs.columns))
