@@ -25,6 +25,8 @@ from .frames import body, col, free_name, written
 
 SHINGLE, BANDS, ROWS, HASHES, BITS, LEAST_ESTIMATE = 5, 32, 4, 512, 2, 0.65
 LONGS = HASHES * BITS // 64
+#: Outer classes of a bucket that meet the bucket in one task.
+PART = 128
 _DRAW = np.random.default_rng(20240229)
 _MIX = _DRAW.integers(1, 2**63, SHINGLE, np.uint64) | np.uint64(1)
 _TIMES = _DRAW.integers(0, 2**32, HASHES, np.uint32) | np.uint32(1)
@@ -141,8 +143,12 @@ def across(rest, docs, key, nodes, percent):
     out = rest.where("out")
     hopeful = out.alias("x").join(rest.alias("y"), maybe, "left_semi").union(rest.alias("y").join(out.alias("x"), maybe, "left_semi")).distinct()
     hopeful = written(hopeful, "hopeful")
-    cells = hopeful.join(full_sets(hopeful.select("class").distinct(), docs, key, nodes), "class")
-    pairs = cells.where("out").alias("x").join(cells.alias("y"), maybe & similar(F.col("x.found"), F.col("y.found"), percent))
+    # A bucket's outer classes are split into parts of about PART, each of which meets the whole bucket in a task of its own.
+    parts = hopeful.where("out").groupBy("bucket").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    cells = hopeful.join(parts, "bucket").join(full_sets(hopeful.select("class").distinct(), docs, key, nodes), "class")
+    left = cells.where("out").withColumn("part", F.pmod(F.xxhash64("class"), "parts").cast("int")).repartition("bucket", "part")
+    right = cells.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).repartition("bucket", "part")
+    pairs = left.alias("x").join(right.alias("y"), maybe & F.expr("x.part = y.part") & similar(F.col("x.found"), F.col("y.found"), percent))
     return written(pairs.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")), "late_links")
 
 
