@@ -1,4 +1,6 @@
-"""Small helpers shared by the operators: free column names, written tables and their removal."""
+"""Small helpers shared by the operators: free column names, written tables and their removal, a worker's cache."""
+
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
@@ -7,7 +9,8 @@ from ..sources import scratch
 #: The white space of the word rules: space and U+0009 to U+000D.
 WORD_SPACE = r"[\x20\x09-\x0D]+"
 
-_WRITTEN = []
+#: Scratch tables of the pipeline stage that runs or ran last.
+_STAGE = {"running": False, "paths": []}
 
 
 def free_name(df, name):
@@ -32,15 +35,24 @@ def written(df, name):
     spark = df.sparkSession
     path = scratch.fresh(spark, name)
     df.write.parquet(path)
-    _WRITTEN.append(path)
+    if _STAGE["running"]:
+        _STAGE["paths"].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove_written(spark):
-    """Delete the tables that written() has made so far; only for when their results are stored elsewhere."""
-    while _WRITTEN:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+@contextmanager
+def stage(spark):
+    """A pipeline stage: what the stage before it wrote to scratch is deleted, since its result has been stored by now.
+
+    Tables that queries write outside of stages are left alone."""
+    while _STAGE["paths"]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGE["paths"].pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _STAGE["running"] = True
+    try:
+        yield
+    finally:
+        _STAGE["running"] = False
 
 
 class Remembered(dict):
@@ -66,7 +78,7 @@ class Remembered(dict):
 
 
 def stored(df, name):
-    """df written to the scratch folder and read again; remove_written() leaves it."""
+    """df written to the scratch folder and read again; stages leave it."""
     path = scratch.fresh(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

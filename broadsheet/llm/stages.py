@@ -11,32 +11,32 @@ WORD_BPE = "word_bpe_49k.json"
 
 def quality(spark, docs, sf_dir):
     """Documents that pass the quality rules."""
-    frames.remove_written(spark)
-    return quality_rules.keep_good(docs)
+    with frames.stage(spark):
+        return quality_rules.keep_good(docs)
 
 
 def dedup(spark, docs, sf_dir):
     """One document of each group of near copies."""
-    frames.remove_written(spark)
-    return minhash.one_per_group(docs)
+    with frames.stage(spark):
+        return minhash.one_per_group(docs)
 
 
 def redact(spark, docs, sf_dir):
     """Texts with personal data replaced by its kind."""
-    frames.remove_written(spark)
-    return pii.redacted(docs)
+    with frames.stage(spark):
+        return pii.redacted(docs)
 
 
 def mix(spark, docs, sf_dir):
     """A row for every time the mix takes a document."""
-    frames.remove_written(spark)
-    return mixing.mixed(docs)
+    with frames.stage(spark):
+        return mixing.mixed(docs)
 
 
 def encode(spark, docs, sf_dir):
     """Documents with token ids, their number and the decoded text."""
-    frames.remove_written(spark)
-    return bpe.encode_documents(docs, public_tokenizers.path(WORD_BPE))
+    with frames.stage(spark):
+        return bpe.encode_documents(docs, public_tokenizers.path(WORD_BPE))
 
 
 def run(spark, sf_dir, steps):
