@@ -11,6 +11,7 @@ from ..functions import text as tx
 from ..functions.expr import c, first_filled, nz, strip, text
 from ..functions.scoring import score_items
 from ..operators import joins as jn
+from ..operators import review as rv
 from ..operators import rollups as ru
 from ..operators import segment as sg
 from ..sources import scratch
@@ -157,12 +158,32 @@ def build_context(spark, items, focus=None):
     return scored, ru.category_counts(scored), ru.bank_summary(scored), ru.batch_totals(scored)
 
 
-def weekly_run(spark, articles, notices, webpages, label, archive_root=None, archive_time=None):
-    """The whole chain: union, score, enrich, noise filter, manifest, archive. Returns (items, manifest).
+def split_articles(spark, articles, article_blocks):
+    """(articles that stay whole, items of the others' topics): articles with blocks are cut at topic starts where the
+    signals make them candidates. articles has article_id, title, url, author, publish_time."""
+    signs = sg.multi_topic_signals(article_blocks).filter("is_candidate").select("article_id")
+    some = article_blocks.join(signs, "article_id", "left_semi")
+    envelope = articles.select("article_id", text("title").alias("raw_title"), "url", text("author").alias("publisher_name"), "publish_time")
+    topics = scratch.cut_lineage(spark, sg.segment_topics(some, envelope).filter("is_split"), "topics")
+    return articles.join(topics.select("article_id").distinct(), "article_id", "left_anti"), topic_items(topics, envelope)
 
+
+def weekly_run(spark, articles, notices, webpages, label, archive_root=None, archive_time=None, article_blocks=None, corrections=None):
+    """The whole chain: split topics, union, correct, score, enrich, noise filter, manifest, archive. Returns (items, manifest).
+
+    article_blocks (article_id, pos, type, text, is_heading_like) lets articles with several topics become several items;
+    corrections (item_id, category, bank, title) are accepted review suggestions. review_of(items) gives the review queue.
     Items are written between the stages: five consumers read them, and no later filter reopens the expressions.
     """
-    items = scratch.cut_lineage(spark, union_sources(articles, notices, webpages).withColumn("batch_label", F.lit(label)), "items")
+    topics = None
+    if article_blocks is not None:
+        articles, topics = split_articles(spark, articles, article_blocks)
+    items = union_sources(articles, notices, webpages)
+    if topics is not None:
+        items = items.unionByName(topics, allowMissingColumns=True)
+    items = scratch.cut_lineage(spark, items.withColumn("batch_label", F.lit(label)), "items")
+    if corrections is not None:
+        items = scratch.cut_lineage(spark, jn.apply_corrections(items, corrections), "corrected")
     scored = scratch.cut_lineage(spark, score_items(items), "scored")
     rich = scored.withColumn("highlight_summary", first_filled(
         fd.highlight_summary("category", "structured", "structured", "raw_title", "raw_text", "bank", "key_benefits", "fee_assessment"), F.array_join(F.slice("key_benefits", 1, 3), "、"), F.substring("title", 1, 80)))
@@ -170,3 +191,8 @@ def weekly_run(spark, articles, notices, webpages, label, archive_root=None, arc
     if archive_root:
         sk.write_archive(final, archive_root, archive_time)
     return final, sk.archive_manifest(final, archive_time or "")
+
+
+def review_of(items):
+    """The review queue of a run's items."""
+    return rv.review_queue(items)
