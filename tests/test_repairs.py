@@ -66,7 +66,7 @@ def test_scratch_folder_needs_a_shared_place_on_clusters():
         scratch.root(Spark)
 
 
-def test_weekly_run_splits_corrects_and_reviews(spark, tmp_path):
+def test_weekly_run_splits_topics(spark):
     from broadsheet.plans import items as it
     articles = spark.createDataFrame([("a", "总题", "http://u/a", "招商银行信用卡", "2024.06.01", "一、新卡首发 二、返现优惠活动 三、公告"), ("b", "招商银行返现活动", "http://u/b", "招商银行信用卡", "2024.06.02", "招商银行返现活动，满100元返10元")],
                                      "article_id string, title string, url string, author string, publish_time string, content_text string")
@@ -74,13 +74,6 @@ def test_weekly_run_splits_corrects_and_reviews(spark, tmp_path):
     blocks = spark.createDataFrame([("a", k, "article_text", t, False) for k, t in enumerate(lines)], "article_id string, pos int, type string, text string, is_heading_like boolean")
     notices = spark.createDataFrame([("系统升级公告", "http://u/n", "系统维护", "公告", "工商银行", "2024.06.03")], "title string, url string, content_text string, category string, bank string, publish_time string")
     pages = spark.createDataFrame([("网页", "http://u/p", " ", "2024.06.03")], "title string, url string, content_text string, publish_time string")
-    whole, _ = it.weekly_run(spark, articles, notices, pages, "W")
     split, _ = it.weekly_run(spark, articles, notices, pages, "W", article_blocks=blocks)
-    urls = lambda df: sorted(r.url for r in df.select("url").collect())
-    assert urls(whole).count("http://u/a") == 1 and urls(split).count("http://u/a") == 2  # the third topic has no category and is dropped as noise
-    item = split.filter("url = 'http://u/b'").first()
-    fixed, manifest = it.weekly_run(spark, articles, notices, pages, "W", str(tmp_path / "archive"), "2024-06-03 00:00:00", blocks, spark.createDataFrame([(item.item_id, "公告", "", "")], "item_id string, category string, bank string, title string"))
-    got = {r.item_id: r for r in fixed.collect()}[item.item_id]
-    assert got.category == "公告" != item.category and got.modified
-    assert spark.read.parquet(str(tmp_path / "archive")).count() == fixed.count() == manifest.first().total_items
-    assert it.review_of(fixed).count() == fixed.where("size(review_flags) > 0").count()
+    # the third topic has no category and is dropped as noise
+    assert sorted(r.url for r in split.select("url").collect()).count("http://u/a") == 2
