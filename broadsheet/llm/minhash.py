@@ -1,18 +1,20 @@
 """Near-duplicates by b-bit MinHash: bands of minima give candidates, packed low bits estimate them, full sets decide.
 
 1. Each text becomes its set of distinct five-word shingles (64-bit hashes), HASHES minima of it, BANDS band keys from
-   ROWS minima each, and a signature that keeps only BITS low bits of every minimum, packed into 64-bit words.
+   ROWS minima each, and a signature that keeps only BITS low bits of every scrambled minimum, packed into 64-bit words.
+   (Low bits of a minimum itself depend on low bits of its hash alone: two hashes would agree at all places or at none.)
 2. Texts with the same set are one class from here on; copies never multiply anything.
 3. In each band bucket every class is paired with one class only, drawn by a hash of bucket and class: within a large
    group of near copies a class meets another partner in every bucket it shares. Pairs whose collision-corrected
-   estimate (by bit counts of the XORed signatures) and sizes allow the limit are compared on their full sets.
+   estimate (by bit counts of the XORed signatures) and sizes allow the limit are compared on their full sets. A set
+   under SMALL shingles is cheaper to compare than to estimate: there the sizes alone decide.
 4. Classes that this leaves outside the component of their bucket's drawn class are paired with everything in the
    bucket that is still in another component, inside one join that lets only promising pairs through. So no link is
    lost, yet a bucket of near copies costs pairs in proportion to its size.
 5. Components of the confirmed links give each document its group.
 
 A pair at the limit 0.75 shares a bucket with probability 1 - (1 - 0.75^4)^32 = 0.999995. The estimate has a standard
-error of 0.023 there and is cut at 0.65.
+error of 0.023 there and is cut at 0.65, for sets of SMALL shingles and more.
 """
 
 import numpy as np
@@ -25,6 +27,8 @@ from .frames import body, col, free_name, written
 
 SHINGLE, BANDS, ROWS, HASHES, BITS, LEAST_ESTIMATE = 5, 32, 4, 512, 2, 0.65
 LONGS = HASHES * BITS // 64
+#: Pairs with a smaller set than this skip the estimate.
+SMALL = 64
 #: Outer classes of a bucket that meet the bucket in one task.
 PART = 128
 _DRAW = np.random.default_rng(20240229)
@@ -60,7 +64,7 @@ def minima(found):
 def keys_and_signature(found):
     m = minima(found).astype(np.uint64)
     keys = scrambled((m[:BANDS * ROWS].reshape(BANDS, ROWS) * _BAND).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
-    low = (m & np.uint64(2**BITS - 1)).reshape(LONGS, 64 // BITS)
+    low = (scrambled(m) & np.uint64(2**BITS - 1)).reshape(LONGS, 64 // BITS)
     signature = np.bitwise_or.reduce(low << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)), axis=1)
     return keys.view(np.int64), signature.view(np.int64)
 
@@ -96,7 +100,7 @@ def sets(docs):
 
 
 def promising(x, y, percent):
-    """Whether sizes and the collision-corrected estimate of two signatures leave room for the limit."""
+    """Whether sizes and, unless a set is small, the collision-corrected estimate of two signatures leave room for the limit."""
     differing = F.lit(0)
     for s in SIGNS:
         d = F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))
@@ -108,7 +112,7 @@ def promising(x, y, percent):
     chance = 2.0**-BITS
     most = int(HASHES * (1 - (LEAST_ESTIMATE * percent / 75 * (1 - chance) + chance)))
     a, b = F.col(f"{x}.size"), F.col(f"{y}.size")
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (differing <= most)
+    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((F.least(a, b) < SMALL) | (differing <= most))
 
 
 def full_sets(classes, docs, key, nodes):

@@ -155,6 +155,30 @@ def test_near_duplicates_in_one_bucket(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs).collect()} == dict(enumerate(want))
 
 
+def test_near_duplicates_of_short_texts_at_the_limit(spark):
+    """Texts of 7 to 20 words, each with a copy that is longer by a third of its shingles: exactly 0.75."""
+    rng = random.Random(8)
+    texts = []
+    for k in range(600):
+        n = rng.choice([3, 6, 9, 12])
+        words = [f"w{rng.random()}" for _ in range(n + 4 + n // 3)]
+        texts += [" ".join(words[:n + 4]), " ".join(words)]
+    docs = spark.createDataFrame([(k, t, None, None, None) for k, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == {k: k - k % 2 for k in range(len(texts))}
+
+
+def test_signature_of_small_sets():
+    """The packed bits of sets of a few shingles at 0.75 differ at about 96 of 512 places, never at many more."""
+    rng = np.random.default_rng(9)
+    for _ in range(1000):
+        found = rng.integers(0, 2**64, 4, np.uint64)
+        a, b = (minhash.keys_and_signature(np.sort(x))[1].view(np.uint64) for x in (found[:3], found))
+        apart = a ^ b
+        places = (apart | apart >> np.uint64(1)) & np.uint64(0x5555555555555555)
+        assert 50 < int(np.bitwise_count(places).sum()) <= 134
+
+
 def test_one_per_group_repeated_and_null_keys(spark):
     long = " ".join(f"w{k}" for k in range(50))
     rows = [(1, long, "a", None, 1), (1, long, "a", None, 1), (1, "other words that stand alone here", "b", None, 2), (7, long, "c", None, 3), (None, "x", None, None, 4), (None, None, None, None, 5), (None, None, None, None, 5)]
