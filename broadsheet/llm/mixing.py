@@ -105,11 +105,15 @@ def split_quotas(plan, shards):
 
 
 def draws(plan, shards):
-    """(source_, block, draws): an array of (turn, shard, part) per block, part true for a block that is drawn in part."""
+    """(source_, block, draws): an array of (turn, shard, part) per block, part true for a block that is drawn in part.
+
+    The broken pass numbers only the blocks that give something, as its quota counts only these."""
     none = F.array().cast("array<int>")
     turns = F.concat(F.when(F.col("passes") > 0, F.sequence(F.lit(1), "passes")).otherwise(none), F.when(F.col("given") > 0, F.array(F.col("passes") + 1)).otherwise(none))
     part = (F.col("turn") > F.col("passes")) & (F.col("given") < F.col("words"))
-    each = plan.withColumn("turn", F.explode(turns)).select(F.col("source_").alias("s"), F.col("block").alias("b"), "turn", part.alias("part"), ((F.col("turn") - 1) * F.col("present") + F.col("rank")).alias("place"))
+    giving = F.sum((F.col("given") > 0).cast("int")).over(Window.partitionBy("source_").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    place = (F.col("turn") - 1) * F.col("present") + F.when(F.col("turn") > F.col("passes"), F.col("giving")).otherwise(F.col("rank"))
+    each = plan.withColumn("giving", giving).withColumn("turn", F.explode(turns)).select(F.col("source_").alias("s"), F.col("block").alias("b"), "turn", part.alias("part"), place.alias("place"))
     dealt = split_quotas(plan, shards)
     placed = each.join(dealt, F.col("s").eqNullSafe(F.col("source_")) & (F.col("place") == F.col("number")))
     return placed.groupBy(F.col("s").alias("source_"), F.col("b").alias("block")).agg(F.array_sort(F.collect_list(F.struct("turn", "shard", "part"))).alias("draws"))

@@ -295,6 +295,22 @@ def test_splitting_tree_keeps_quotas(spark):
     assert set(per_shard) == set(range(6)) and max(per_shard.values()) - min(per_shard.values()) <= 2
 
 
+def mixing_shortfalls(docs):
+    """Per source: target less words taken, and the mix struct of each row."""
+    found, name = mixing.drawn(docs, carry=["doc_id", "source"])
+    by = {}
+    for r in found.collect():
+        by.setdefault(r.source, []).append(r[name])
+    return {s: (rows[0].target - sum(m.size * len(m.draws) for m in rows), rows) for s, rows in by.items()}
+
+
+def test_mixing_draws_beside_blocks_without_words(spark):
+    """Long texts among many blank ones: some blocks have no words, and no drawn block loses its turn for that."""
+    rows = [(k, "w " * 60_000 if k % 80 == 0 else None, None, "a" if k < 1600 else "b", None) for k in range(2400)]
+    short = mixing_shortfalls(spark.createDataFrame(rows, DOCS))
+    assert set(short) == {"a", "b"} and all(0 <= left < 60_000 for left, _ in short.values())
+
+
 def brute_table(names, slots):
     number = lambda salt, n: int(hashlib.md5(f"{salt}:{n}".encode()).hexdigest()[:8], 16)
     ways = [[(number("offset", n) % slots + k * (number("step", n) % (slots - 1) + 1)) % slots for k in range(slots)] for n in names]
