@@ -4,7 +4,8 @@
    source, and what is cut off goes to the others by weight (closed form over the sources in order of size by weight).
 2. Rows fall by the hash of their key into BUCKETS per source, neighbouring buckets form blocks of about one BLOCKS-th
    of all words (LEAST_BLOCK at least). A source takes whole passes over its blocks, then further blocks in permuted order up to its target;
-   of the last block it takes rows in permuted order that still fit.
+   of the last block it takes rows in permuted order that still fit. What is then left of the target goes to the blocks
+   behind it in the same way, until no row of a block behind fits.
 3. The numbers of blocks drawn per source are the quotas. A binary tree over the output shards splits them: in each node
    the anonymous draws are ranked by a hash and the first go left, so the counts per source follow the multivariate
    hypergeometric distribution and every shard gets its exact number of blocks. A source's permuted draws are then
@@ -49,13 +50,13 @@ def targets(sources):
 def block_plan(rows):
     """Buckets with their block, and per source and block: words, rank in the permutation, whole passes over the source's
     blocks, and how many words of the last, broken pass the block gives (given)."""
-    buckets = written(rows.groupBy("source_", "bucket_").agg(F.sum("size_").alias("words")), "bucket_sizes")
+    buckets = written(rows.groupBy("source_", "bucket_").agg(F.sum("size_").alias("words"), F.min(F.when(F.col("size_") > 0, F.col("size_"))).alias("least")), "bucket_sizes")
     aims = written(targets(buckets.groupBy("source_").agg(F.sum("words").alias("source_size_"))), "targets")
     total = F.sum("source_size_").over(Window.partitionBy())
     aims = aims.withColumn("blocks", F.least(F.lit(BUCKETS), F.greatest(F.lit(1), F.ceil(F.col("source_size_") / F.greatest(total / BLOCKS, F.lit(LEAST_BLOCK))))).cast("int"))
     named = buckets.join(aims.withColumnRenamed("source_", "s"), F.col("source_").eqNullSafe(F.col("s"))).drop("s")
     named = written(named.withColumn("block", F.floor(F.col("bucket_") * F.col("blocks") / BUCKETS).cast("int")), "buckets")
-    plan = named.groupBy("source_", "source_size_", "target_", "block").agg(F.sum("words").alias("words"))
+    plan = named.groupBy("source_", "source_size_", "target_", "block").agg(F.sum("words").alias("words"), F.min("least").alias("least"))
     order = F.md5(F.concat_ws(":", F.lit(SEED), F.coalesce("source_", F.lit("")), F.col("block").cast("string")))
     group = Window.partitionBy("source_")
     upto = group.orderBy(order, "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -66,12 +67,12 @@ def block_plan(rows):
     return named.select("source_", "bucket_", "block"), written(plan.withColumn("given", given), "plan")
 
 
-def cuts(rows, named, plan):
-    """(source_, block, steps) of each source's last block: the ranges of permutation keys whose rows up to a size go.
+def cuts(rows, named, last):
+    """(source_, block, steps, left) of each source's block in last (source_, block, given): the ranges of permutation
+    keys whose rows up to a size go, and how many words of given are left.
 
-    A row that no longer fits is passed over and smaller ones behind it get their turn, ROUNDS times; so a source ends
-    short of its target by less than the last row that was passed over."""
-    last = plan.where("given > 0 and given < words").select(F.col("source_").alias("s"), F.col("block").alias("b"), F.col("given").alias("left"))
+    A row that no longer fits is passed over and smaller ones behind it get their turn, ROUNDS times."""
+    last = last.select(F.col("source_").alias("s"), F.col("block").alias("b"), F.col("given").alias("left"))
     of = named.join(last, named["source_"].eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))).select(F.col("s").alias("rs"), F.col("bucket_").alias("rb"))
     some = written(rows.join(of, F.col("source_").eqNullSafe(F.col("rs")) & (F.col("bucket_") == F.col("rb"))).where("size_ > 0").select("rs", "perm_", "size_"), "last_rows")
     state = last.select("s", "b", "left", F.lit("").alias("cut"), F.array().cast("array<struct<from:string,to:string,size:bigint>>").alias("steps"))
@@ -82,7 +83,35 @@ def cuts(rows, named, plan):
         step = F.struct(F.col("cut").alias("from"), F.coalesce("to", "cut").alias("to"), F.col("left").alias("size"))
         state = written(state.join(taken, F.col("s").eqNullSafe(F.col("ts")), "left").select(
             "s", "b", (F.col("left") - F.coalesce("took", F.lit(0))).alias("left"), F.coalesce("to", "cut").alias("cut"), F.array_append("steps", step).alias("steps")), "cuts")
-    return state.select(F.col("s").alias("source_"), F.col("b").alias("block"), "steps")
+    return state.select(F.col("s").alias("source_"), F.col("b").alias("block"), "steps", "left")
+
+
+def filled(rows, named, plan):
+    """plan with given also for the blocks behind a source's broken block, and the steps of every broken block.
+
+    What a broken block leaves goes to the blocks behind it that have a row small enough: whole ones first, then the next
+    broken one. Every turn gives at least a row (or passes a block of repeated rows), so a source ends short by less than
+    the smallest row of the blocks behind its last broken one."""
+    broken = plan.where("given > 0 and given < words").select("source_", "block", "rank", "given")
+    steps, extra = None, None
+    upto = Window.partitionBy("source_").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    while True:
+        cut = cuts(rows, named, broken)
+        steps = cut.drop("left") if steps is None else steps.union(cut.drop("left"))
+        over = cut.select(F.col("source_").alias("os"), F.col("block").alias("ob"), F.col("left").alias("over")).where("over > 0")
+        over = over.join(broken, F.col("os").eqNullSafe(F.col("source_")) & (F.col("ob") == F.col("block"))).select("os", "over", F.col("rank").alias("behind"))
+        behind = plan.join(over, F.col("source_").eqNullSafe(F.col("os"))).where("rank > behind and least <= over").withColumn("seen", F.sum("words").over(upto))
+        more = behind.withColumn("given", F.least(F.col("words"), F.col("over") - (F.col("seen") - F.col("words")))).where("given > 0")
+        more = written(more.select("source_", "block", "rank", "given", "words"), "behind")
+        if more.isEmpty():
+            break
+        extra = more if extra is None else extra.union(more)
+        broken = more.where("given < words").drop("words")
+    if extra is not None:
+        extra = extra.select(F.col("source_").alias("es"), F.col("block").alias("eb"), F.col("given").alias("also"))
+        plan = plan.join(extra, F.col("source_").eqNullSafe(F.col("es")) & (F.col("block") == F.col("eb")), "left")
+        plan = written(plan.withColumn("given", F.coalesce("also", "given")).drop("es", "eb", "also"), "plan")
+    return plan, steps
 
 
 def split_quotas(plan, shards):
@@ -122,8 +151,9 @@ def draws(plan, shards):
 def bucket_plan(rows, shards):
     """Per source and bucket: source_size_, target_, draws and steps (null where the block is whole or not drawn)."""
     named, plan = block_plan(rows)
+    plan, steps = filled(rows, named, plan)
     out = named
-    for more in (plan.select("source_", "block", "source_size_", "target_"), written(draws(plan, shards), "draws"), cuts(rows, named, plan)):
+    for more in (plan.select("source_", "block", "source_size_", "target_"), written(draws(plan, shards), "draws"), steps):
         more = more.withColumnRenamed("source_", "ms").withColumnRenamed("block", "mb")
         out = out.join(more, F.col("source_").eqNullSafe(F.col("ms")) & (F.col("block") == F.col("mb")), "left").drop("ms", "mb")
     return written(out.select(F.col("source_").alias("ps"), F.col("bucket_").alias("pb"), "source_size_", "target_", "draws", "steps"), "bucket_plan")

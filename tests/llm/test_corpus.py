@@ -311,6 +311,20 @@ def test_mixing_draws_beside_blocks_without_words(spark):
     assert set(short) == {"a", "b"} and all(0 <= left < 60_000 for left, _ in short.values())
 
 
+def test_mixing_goes_on_behind_a_giant_text(spark):
+    """A text of 150,000 words breaks its source's block near the cut; the blocks behind it give the words it has no room for."""
+    rng, giant = random.Random(12), 150_000
+    sizes = [rng.randint(200, 1000) for _ in range(2000)]
+    blocks = -(-(sum(sizes) + giant) // mixing.LEAST_BLOCK)
+    md5 = lambda *x: hashlib.md5(":".join(map(str, (mixing.SEED, *x))).encode()).hexdigest()
+    breaks = sorted(range(blocks), key=lambda k: md5("b", k))[round(0.85 * blocks)]
+    at = next(k for k in itertools.count(10_000) if int(md5(k, giant)[:8], 16) % mixing.BUCKETS * blocks // mixing.BUCKETS == breaks)
+    rows = [(k + 2000 * i, s, n) for i, s in enumerate("abc") for k, n in enumerate(sizes)] + [(at, "b", giant), (at + 100_000, "a", giant), (at + 200_000, "c", giant)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, n int").select("doc_id", "source", F.expr("repeat('w ', n)").alias("text"))
+    left, rows = mixing_shortfalls(docs)["b"]
+    assert rows[0].target < rows[0].source_size - giant and 0 <= left < 1000
+
+
 def brute_table(names, slots):
     number = lambda salt, n: int(hashlib.md5(f"{salt}:{n}".encode()).hexdigest()[:8], 16)
     ways = [[(number("offset", n) % slots + k * (number("step", n) % (slots - 1) + 1)) % slots for k in range(slots)] for n in names]
