@@ -94,10 +94,8 @@ def duplicate_report(df, url="url", title="title", ident="item_id", source="sour
 
 
 def content_hash(x):
-    """SHA-256 of the first 64 KB and the last 4 KB; files below 4 KB are hashed whole."""
-    b = c(x)
-    tail = F.when(F.octet_length(b) >= 4096, F.substring(b, F.octet_length(b) - 4095, F.lit(4096))).otherwise(F.lit(b""))
-    return F.sha2(F.concat(F.substring(b, 1, 65536), tail), 256)
+    """SHA-256 of all bytes; null stays null."""
+    return F.sha2(c(x), 256)
 
 
 def content_hash_dedup(df, content="content", order="ord"):

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from broadsheet.operators import joins, retrieval
+from broadsheet.operators import dedup, joins, retrieval
 from broadsheet.sources import scratch, sinks
 from broadsheet.streaming import jobs
 
@@ -77,3 +77,10 @@ def test_weekly_run_splits_topics(spark):
     split, _ = it.weekly_run(spark, articles, notices, pages, "W", article_blocks=blocks)
     # the third topic has no category and is dropped as noise
     assert sorted(r.url for r in split.select("url").collect()).count("http://u/a") == 2
+
+
+def test_content_hash_sees_the_middle_of_long_files(spark):
+    long = "a" * 100_000
+    rows = [(1, long), (2, long[:80_000] + "b" + long[80_001:]), (3, long + "a"), (4, long), (5, ""), (6, "")]
+    files = spark.createDataFrame(rows, "ord long, content string").withColumn("content", F.encode("content", "utf-8"))
+    assert sorted(r.ord for r in dedup.content_hash_dedup(files).collect()) == [1, 2, 3, 5]
