@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from broadsheet.plans import catalog
 from checks import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -23,7 +24,9 @@ def con():
 
 
 def test_catalogue_shape():
-    assert len(QUERIES) > 200 and set(SQL) <= set(QUERIES) and len(QUERIES) - len(SQL) < 6
+    queries, sql = catalog.load()
+    assert len(queries) > 200 and set(sql) <= set(queries) and len(queries) - len(sql) < 6
+    assert set(queries) <= set(QUERIES) and set(sql) <= set(SQL) and set(SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
