@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
 
-from .frames import Remembered
+from .frames import Remembered, free_name, kept
 
 #: Stands for the word-end mark inside the encoder; no byte is shown as this character.
 END = "\x00"
@@ -158,9 +158,8 @@ class Decoder:
         return self.blob[np.repeat(self.start[ids] - ends + size, size) + np.arange(ends[-1])][:-1].tobytes()
 
 
-@functools.lru_cache(maxsize=2)
 def encoder_of(spec):
-    return Encoder(spec)
+    return kept(("bpe encoder", spec), lambda: Encoder(spec))
 
 
 @functools.lru_cache(maxsize=2)
@@ -175,6 +174,12 @@ def shared_spec(spark, path):
         return spark.sparkContext.broadcast(f.read())
 
 
+def lists_of(rows):
+    """An array<int> column from the packed ids of each row."""
+    ends = np.cumsum([0, *(len(r) // 4 for r in rows)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+
+
 def encode(spark, text, path):
     """A column of token ids (array<int>) of the whole text; null and empty texts give an empty array.
 
@@ -184,9 +189,7 @@ def encode(spark, text, path):
     @F.arrow_udf("array<int>")
     def ids_of(texts: pa.Array) -> pa.Array:
         encoder = encoder_of(spec.value)
-        rows = [encoder.encode(t.as_py() or "") for t in texts]
-        ends = np.cumsum([0, *(len(r) // 4 for r in rows)], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+        return lists_of([encoder.encode(t.as_py() or "") for t in texts])
 
     return ids_of(text)
 
@@ -204,9 +207,25 @@ def decode(spark, ids, path):
     return text_of(ids)
 
 
+def encode_and_decode(spark, text, path):
+    """A column of (ids, decoded): encode and decode of a text in one pass. Two chained UDFs would encode it twice."""
+    spec = shared_spec(spark, path)
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both_of(texts: pa.Array) -> pa.Array:
+        encoder, decoder = encoder_of(spec.value), decoder_of(spec.value)
+        rows = [encoder.encode(t.as_py() or "") for t in texts]
+        decoded = pa.array((decoder.decode(np.frombuffer(r, np.int32)) for r in rows), pa.binary()).cast(pa.string())
+        return pa.StructArray.from_arrays([lists_of(rows), decoded], ["ids", "decoded"])
+
+    return both_of(text)
+
+
 def encode_documents(docs, path, text="text"):
     """docs with ids (array<int>), n_tokens and decoded; columns of these names in docs are replaced.
 
     Null texts count as empty: no ids, decoded ''. Repeated rows each get their result; an empty table stays empty."""
-    spark = docs.sparkSession
-    return docs.withColumn("ids", encode(spark, F.col(text), path)).withColumn("n_tokens", F.size("ids").cast("long")).withColumn("decoded", decode(spark, F.col("ids"), path))
+    both = free_name(docs, "coded")
+    coded = docs.withColumn(both, encode_and_decode(docs.sparkSession, F.col(text), path))
+    coded = coded.withColumn("ids", F.col(both)["ids"]).withColumn("n_tokens", F.size("ids").cast("long")).withColumn("decoded", F.col(both)["decoded"])
+    return coded.drop(both)

@@ -12,6 +12,9 @@ WORD_SPACE = r"[\x20\x09-\x0D]+"
 #: Scratch tables of the pipeline stage that runs or ran last.
 _STAGE = {"running": False, "paths": []}
 
+#: Bytes of a row group of written tables: what a writer holds in memory at most, long texts included.
+ROW_GROUP = 16 << 20
+
 
 def free_name(df, name):
     """name, with underscores appended until no column of df is called so (case ignored)."""
@@ -34,7 +37,7 @@ def written(df, name):
     """df as a table in the shared scratch folder: later steps start from files that survive a lost executor."""
     spark = df.sparkSession
     path = scratch.fresh(spark, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     if _STAGE["running"]:
         _STAGE["paths"].append(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -55,6 +58,24 @@ def stage(spark):
         _STAGE["running"] = False
 
 
+_KEPT = {}
+
+
+def kept(key, make):
+    """make(), kept by this worker for as long as it works for the same key: one such object at a time.
+
+    A worker that goes on with another operator thereby frees the caches of the one before."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release():
+    """Frees what this worker keeps; operators that keep nothing call it, so that no cache of another one stays beside them."""
+    _KEPT.clear()
+
+
 class Remembered(dict):
     """make(key) for every key asked for, in a worker's bounded memory: the latest two generations of size entries.
 
@@ -66,8 +87,9 @@ class Remembered(dict):
 
     def __missing__(self, key):
         value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
+        return self.keep(key, self.make(key) if value is None else value)
+
+    def keep(self, key, value):
         if len(key) <= self.long:
             if len(self) >= self.size + len(self.fixed):
                 self.old = dict(self)
@@ -80,5 +102,5 @@ class Remembered(dict):
 def stored(df, name):
     """df written to the scratch folder and read again; stages leave it."""
     path = scratch.fresh(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
