@@ -3,9 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import ann_forest, bpe, chat, licenses, minhash, mixing, pii, quality_rules, sharding, sql, token_counts
+from . import alignment, ann_forest, bpe, centroids, chat, licenses, minhash, mixing, pii, quality_rules, sharding, sql, syncmers, token_counts
 
-BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def table(spark, sf_dir, name):
@@ -80,7 +80,21 @@ def op10_licenses(spark, sf_dir):
     return found.select("doc_id", "path", *[F.col(name)[c].alias(c) for c in ("licence", "score", "how", "from_dir")])
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_token_counts, op3_quality_rules, op4_bpe, op5_sharding, op6_minhash, op7_ann_forest, op8_chat, op9_mixing, op10_licenses)}
+def op11_syncmers(spark, sf_dir):
+    return syncmers.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
-#: Counts of tokens, token ids, learned patterns and a forest search cannot be put in SQL.
-SQL = {"op3_quality_rules": sql.OP3, "op5_sharding": sql.OP5, "op6_minhash": sql.OP6, "op8_chat": sql.OP8, "op9_mixing": sql.OP9, "op10_licenses": sql.op10(STATED)}
+
+def op12_centroids(spark, sf_dir):
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.compare(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_token_counts, op3_quality_rules, op4_bpe, op5_sharding, op6_minhash, op7_ann_forest, op8_chat, op9_mixing, op10_licenses, op11_syncmers, op12_centroids, op13_alignment)}
+
+#: Counts of tokens, token ids and their alignment, learned patterns and a forest search cannot be put in SQL.
+SQL = {"op3_quality_rules": sql.OP3, "op5_sharding": sql.OP5, "op6_minhash": sql.OP6, "op8_chat": sql.OP8, "op9_mixing": sql.OP9, "op10_licenses": sql.op10(STATED),
+       "op11_syncmers": sql.OP11, "op12_centroids": sql.OP12}

@@ -1,6 +1,6 @@
 """The operators in DuckDB SQL, where SQL can say them."""
 
-from . import chat, licenses, mixing, quality_rules, sharding
+from . import centroids, chat, licenses, mixing, quality_rules, sharding, syncmers
 
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -132,3 +132,39 @@ SELECT doc_id, f.path, coalesce(ow.licence, ih.licence) AS licence, ow.score AS
        CASE WHEN ow.licence IS NULL THEN from_dir END AS from_dir
 FROM f LEFT JOIN ow USING (path) LEFT JOIN ih ON ih.dir = regexp_replace(f.path, '/?[^/]*$', '')
 """
+
+_K, _S, _HEX = syncmers.K, syncmers.S, syncmers.HEX
+OP11 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id DESC NULLS LAST) AS r FROM documents),
+n AS (SELECT *, length(t) AS n, coalesce(lead(t) OVER (ORDER BY r), first_value(t) OVER (ORDER BY r)) AS nt FROM d),
+e AS (SELECT *, left(t, n - n // 2) || left(nt, n // 2) AS et FROM n),
+x AS (SELECT r, 'own' AS what, t FROM e UNION ALL SELECT r, 'new', et FROM e),
+w AS (SELECT r, what, list_filter(string_split_regex(t, '{SPACE}'), lambda v: v <> '') AS ws FROM x),
+h AS (SELECT *, list_transform(range(1, len(ws)), lambda i: md5(ws[i] || ' ' || ws[i + 1])) AS h FROM w),
+p AS (SELECT *, list_filter(range(1, len(ws) - {_K - 2}), lambda i: least(h[i], h[i + {_K - _S}]) <= least({', '.join(f'h[i + {k}]' for k in range(1, _K - _S))})) AS p FROM h),
+a AS (SELECT r, what, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {_K} THEN [substr(md5(array_to_string(ws, ' ')), 1, {_HEX}) || '0']
+      ELSE list_transform(p, lambda i, n: substr(md5(array_to_string(ws[i:i + {_K - 1}], ' ')), 1, {_HEX}) || CASE WHEN n = 1 THEN 0 ELSE least(i - p[n - 1], 9) END) END AS a FROM p),
+b AS (SELECT e.doc_id, e.r, n, et, o.a AS o, c.a AS c FROM e JOIN a o ON o.r = e.r AND o.what = 'own' JOIN a c ON c.r = e.r AND c.what = 'new'),
+m AS (SELECT *, coalesce(lead(o) OVER (ORDER BY r), first_value(o) OVER (ORDER BY r)) AS z FROM b)
+SELECT doc_id, n AS n_chars, sha256(et) AS edited_sha256, array_to_string(o, '') AS fingerprint, array_to_string(c, '') AS edited_fingerprint,
+       CASE WHEN len(o) + len(c) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(o, c)) / (len(list_distinct(o)) + len(list_distinct(c))) END AS near_edited,
+       CASE WHEN len(o) + len(z) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(o, z)) / (len(list_distinct(o)) + len(list_distinct(z))) END AS near_next
+FROM m
+"""
+
+_C = centroids
+_ROUNDS = "".join(f"""
+a{k} AS (SELECT rid, min_by(k, (d, k)) AS k, min(d) AS d FROM (SELECT rid, k, sum((x - c) * (x - c))::BIGINT AS d FROM e JOIN c{k} USING (j) GROUP BY ALL) GROUP BY 1),""" + (f"""
+s{k} AS (SELECT k, j, sum(x)::BIGINT AS s, count(*) AS n FROM e JOIN a{k} USING (rid) GROUP BY ALL),
+c{k + 1} AS (SELECT k, j, coalesce((s - (s % n + n) % n) // n, c)::BIGINT AS c FROM c{k} LEFT JOIN s{k} USING (k, j)),""" if k < _C.ROUNDS else "") for k in range(_C.ROUNDS + 1))
+
+OP12 = f"""
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor({_C.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+      WHERE len(embedding) = {_C.SIZE} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {_C.SIZE}),
+e AS (SELECT rid, unnest(range(1, {_C.SIZE + 1})) AS j, unnest(v) AS x FROM v),
+f AS (SELECT v, row_number() OVER (ORDER BY sha256('{_C.SEED}:' || coalesce(vec_id::VARCHAR, '')), vec_id, v) - 1 AS k FROM v),
+c0 AS (SELECT k, unnest(range(1, {_C.SIZE + 1})) AS j, unnest(v) AS c FROM f WHERE k < {_C.CENTROIDS}),{_ROUNDS}
+l AS (SELECT k, sha256(string_agg(c::VARCHAR, ',' ORDER BY j)) AS sha FROM c{_C.ROUNDS} GROUP BY 1)
+SELECT vec_id, k::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, sha AS centroid_sha256
+FROM v JOIN a{_C.ROUNDS} USING (rid) JOIN l USING (k)
+"""
