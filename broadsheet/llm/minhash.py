@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from .components import connected
-from .frames import body, col, free_name, written
+from .frames import body, col, free_name, release, written
 
 SHINGLE, BANDS, ROWS, HASHES, BITS, LEAST_ESTIMATE = 5, 32, 4, 512, 2, 0.65
 LONGS = HASHES * BITS // 64
@@ -78,6 +78,7 @@ def sign(docs, key):
     kind = docs.schema[0].dataType.simpleString()
 
     def each(batches):
+        release()
         for batch in batches:
             rows = [shingles(t.as_py()) for t in batch.column(1).cast(pa.binary())]
             marks = [keys_and_signature(r) if len(r) else (None, None) for r in rows]
@@ -92,6 +93,7 @@ def sign(docs, key):
 def sets(docs):
     """class and sorted shingle hashes of each row of (key, text)."""
     def each(batches):
+        release()
         for batch in batches:
             rows = [r for r in (shingles(t.as_py()) for t in batch.column(1).cast(pa.binary())) if len(r)]
             yield pa.RecordBatch.from_arrays([pa.array([fingerprint(r) for r in rows], pa.binary()), pa.array([r.view(np.int64) for r in rows], pa.list_(pa.int64()))], ["class", "found"])

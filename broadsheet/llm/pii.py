@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import body, col, free_name, written
+from .frames import body, col, free_name, release, written
 
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT, PRECISION, ACCEPT, ROUNDS = 5, 0.8, 0.8, 3
@@ -105,6 +105,7 @@ def found_in(texts: pa.Array) -> pa.Array:
     """Base spans and mentions of each text, as FOUND."""
     kind = pa.struct([("base", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))), ("mentions", pa.list_(pa.struct([
         ("start", pa.int32()), ("end", pa.int32()), ("instance", pa.string()), ("kind", pa.string()), ("patterns", pa.list_(pa.string()))])))])
+    release()
     rows = []
     for t in texts:
         t = t.as_py() or ""

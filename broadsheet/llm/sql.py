@@ -142,7 +142,7 @@ x AS (SELECT r, 'own' AS what, t FROM e UNION ALL SELECT r, 'new', et FROM e),
 w AS (SELECT r, what, list_filter(string_split_regex(t, '{SPACE}'), lambda v: v <> '') AS ws FROM x),
 h AS (SELECT *, list_transform(range(1, len(ws)), lambda i: md5(ws[i] || ' ' || ws[i + 1])) AS h FROM w),
 p AS (SELECT *, list_filter(range(1, len(ws) - {_K - 2}), lambda i: least(h[i], h[i + {_K - _S}]) <= least({', '.join(f'h[i + {k}]' for k in range(1, _K - _S))})) AS p FROM h),
-a AS (SELECT r, what, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {_K} THEN [substr(md5(array_to_string(ws, ' ')), 1, {_HEX}) || '0']
+a AS (SELECT r, what, CASE WHEN len(ws) = 0 THEN [] WHEN len(p) = 0 THEN [substr(md5(array_to_string(ws, ' ')), 1, {_HEX}) || '0']
       ELSE list_transform(p, lambda i, n: substr(md5(array_to_string(ws[i:i + {_K - 1}], ' ')), 1, {_HEX}) || CASE WHEN n = 1 THEN 0 ELSE least(i - p[n - 1], 9) END) END AS a FROM p),
 b AS (SELECT e.doc_id, e.r, n, et, o.a AS o, c.a AS c FROM e JOIN a o ON o.r = e.r AND o.what = 'own' JOIN a c ON c.r = e.r AND c.what = 'new'),
 m AS (SELECT *, coalesce(lead(o) OVER (ORDER BY r), first_value(o) OVER (ORDER BY r)) AS z FROM b)

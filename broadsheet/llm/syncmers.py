@@ -45,7 +45,7 @@ def with_anchors(df, text, name):
     df = df.select("*", F.when(enough, F.filter(F.sequence(F.lit(0), F.size(w) - K), lambda i: edges(i) <= least(i))).alias(places))
     anchors = F.transform(p, lambda i, n: F.concat(mark(window(i, K)), gap(i, n)))
     short = F.when(F.size(w) > 0, F.array(F.concat(mark(F.array_join(w, " ")), F.lit("0")))).otherwise(F.array().cast("array<string>"))
-    return df.select(*map(col, own), F.when(enough, anchors).otherwise(short).alias(name))
+    return df.select(*map(col, own), F.when(F.size(p) > 0, anchors).otherwise(short).alias(name))
 
 
 def likeness(a, b):
@@ -105,8 +105,8 @@ def fingerprints(docs, key="doc_id", text="text"):
 
     The edited text is the text with its last floor(n_chars / 2) code points replaced by as many first ones of the next
     document by descending key (all, if it has fewer; after the last comes the first). Null texts count as empty; texts
-    without words have the fingerprint '' and are as like as 1 to each other, as 0 to others; a text of fewer than K words
-    is one anchor. Null keys come last; rows that share a key follow each other by a hash of the text. An empty table stays empty.
+    without words have the fingerprint '' and are as like as 1 to each other, as 0 to others; a text of few words without
+    an anchor, always below K, is one anchor itself. Null keys come last; rows that share a key follow each other by a hash of the text. An empty table stays empty.
 
     Words are runs without white space: a text without any is one word, whatever its length."""
     rows = beside_next(docs, key, text)

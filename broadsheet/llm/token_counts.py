@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import functions as F
 
 from .bpe import SPACE
-from .frames import Remembered
+from .frames import Remembered, kept, release
 
 FREQUENT, PER_TASK, SHORT, COUNTERS, CACHE, PRE_CACHE = 16_384, 2_048, 24, 100_000, 80_000, 200_000
 #: The pre-token pattern of byte-level files, with the library's white space written out.
@@ -73,20 +73,15 @@ class Lengths:
         return len(parts) - 1 + sum(self.of_segment(p) for p in parts if p)
 
 
-_CACHES = {}
-
-
 def lengths_of(spec, table, run):
     """The lookup of this worker and run; it lives as long as the worker works on the run."""
-    if run not in _CACHES:
-        _CACHES.clear()
-        _CACHES[run] = Lengths(spec, table)
-    return _CACHES[run]
+    return kept(("token lengths", run), lambda: Lengths(spec, table))
 
 
 def frequent_lengths(docs, path, text="text"):
     """The first tier: the most frequent pieces of the whole corpus with their length in tokens (a dict)."""
     def count(batches):
+        release()
         seen = Counter()
         for batch in batches:
             for t in batch.column(0):
