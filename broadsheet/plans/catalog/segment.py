@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ... import lexicon as lx
-from ...functions.expr import strip
+from ...functions.expr import any_of, strip
 from ...operators import segment as sg
 from ...sources import scratch
 from .base import WS, notices, q, sql_any, sql_count, sql_filled, sql_hits, sql_lines, sql_list, sql_map, sql_over_notices, sql_strip, table
@@ -187,12 +187,42 @@ def q_raw(spark, sf):
     return s.select("doc_id", "topic_no", "headline", "body", F.array_join("bank_hints", ",").alias("bank_hints"))
 
 
+WSC = r"[\s\x0b\x85\p{Z}]"
+OPENING = f"(?:{any_of(lx.HINT_BANKS)})(?:{any_of(lx.BOUNDARY_ACTIONS)})"
+
+
+def split_raw_sql(src, name="rw"):
+    """CTEs ending in {name}(id, topic_no, headline, body, bank_hints) over src(id, raw); every fold is a list_reduce whose
+    accumulator has the type of its elements."""
+    gaps = lambda parts: f"list_transform(range(1, len({parts})), lambda i: list_sum(list_transform({parts}[1:i], lambda x: length(x)))::BIGINT)"
+    stops = ", ".join(f"instr(snip, {q(m)}) - 1" for m in lx.BOUNDARY_STOPS)
+    cut20 = "CASE WHEN length(h) <= 20 THEN h WHEN regexp_matches(substr(h, 20, 1), '[一-鿿]') THEN substr(h, 1, 20) ELSE substr(h, 1, 18) END"
+    lead_heading = f"""list_transform([substr(raw, p + 1, 60)], lambda snip: list_transform([rtrim({sql_strip(f"substr(snip, 1, coalesce(list_min(list_filter([{stops}], lambda s: s > 0 AND s >= length(regexp_extract(snip, {q('^' + WSC + '*(' + OPENING + ')')}, 1)) AND s < 60)), CASE WHEN instr(snip, '。') - 1 BETWEEN 1 AND 59 THEN instr(snip, '。') - 1 END, least(30, length(snip))))")}, '。，')], lambda h: {cut20})[1])[1]"""
+    found = ", ".join(f"list_transform([string_split(raw, {q(k)})], lambda ps: list_transform({gaps('ps')}, lambda g, i: {{'n': {n}, 'k': {q(k)}, 'p': g + (i - 1) * {len(k)}, 'low': 0::BIGINT, 'bounds': CAST([] AS STRUCT(place BIGINT, heading VARCHAR)[])}}))[1]" for n, k in enumerate(lx.BOUNDARY_HEADINGS))
+    low = "(CASE WHEN a.n <> o.n THEN CASE WHEN len(a.bounds) > 0 THEN 100 ELSE 0 END ELSE a.low END)"
+    snip = "substr(raw, greatest(0, o.p - 15) + 1, 60)"
+    end = f"least(CASE WHEN instr({snip}, '。') > 0 THEN instr({snip}, '。') - 1 ELSE 60 END, CASE WHEN instr({snip}, chr(10)) > 0 THEN instr({snip}, chr(10)) - 1 ELSE 60 END)"
+    grown = f"list_sort(list_append(a.bounds, {{'place': greatest(0, o.p - 15), 'heading': CASE WHEN {end} > 0 THEN {sql_strip(f'substr({snip}, 1, {end} + 1)')} ELSE o.k END}}))"
+    return f"""{name}1 AS (SELECT id, replace(raw, chr(0), '') AS raw FROM {src}), {name}2 AS (SELECT id, raw, string_split(regexp_replace(raw, {q('([。？！' + chr(10) + '])(' + WSC + '*' + OPENING + ')')}, '\\1' || chr(1) || '\\2', 'g'), chr(1)) AS ps FROM {name}1 WHERE length(raw) >= 200),
+ {name}3 AS (SELECT id, raw, list_transform({gaps('ps')}, lambda p: [p]) AS lp FROM {name}2), {name}4 AS (SELECT id, raw, CASE WHEN len(lp) = 0 THEN [] ELSE list_reduce(lp, lambda a, b: CASE WHEN b[1] - a[-1] > 50 THEN list_concat(a, b) ELSE a END) END AS lp FROM {name}3),
+ {name}5 AS (SELECT id, raw, list_transform(lp, lambda p: {{'place': p, 'heading': {lead_heading}}}) AS leads, flatten([{found}]) AS fo FROM {name}4),
+ {name}6 AS (SELECT id, raw, list_reduce(list_prepend({{'n': -1, 'k': '', 'p': 0::BIGINT, 'low': 0::BIGINT, 'bounds': leads}}, fo), lambda a, o: {{'n': o.n, 'k': o.k, 'p': o.p, 'low': CASE WHEN o.p >= {low} THEN o.p + 100 ELSE {low} END,
+   'bounds': CASE WHEN o.p >= {low} AND (len(a.bounds) = 0 OR abs(o.p - a.bounds[-1].place) >= 50) THEN {grown} ELSE a.bounds END}}).bounds AS bs FROM {name}5),
+ {name}7 AS (SELECT id, raw, CASE WHEN len(bs) = 0 THEN [] ELSE list_reduce(list_transform(bs, lambda b: [b]), lambda a, b: CASE WHEN b[1].place - a[-1].place > 80 THEN list_concat(a, b) ELSE a END) END AS far FROM {name}6),
+ {name}8 AS (SELECT id, list_transform(far, lambda b, i: {{'headline': rtrim({sql_strip('b.heading')}, '。，'), 'body': {sql_strip('substr(raw, b.place + 1, coalesce(far[i + 1].place, length(raw)) - b.place)')}}}) AS pc FROM {name}7 WHERE len(far) >= 2),
+ {name}9 AS (SELECT id, list_transform(pc, lambda p: [{{'headline': p.headline, 'body': p.body, 'hints': {sql_hits('substr(p.body, 1, 200)', lx.HINT_BANKS)}}}]) AS pc FROM {name}8),
+ {name}10 AS (SELECT id, list_reduce(pc, lambda a, b: CASE WHEN length(b[1].body) < 60 THEN list_append(a[:-2], {{'headline': a[-1].headline, 'body': a[-1].body || chr(10) || b[1].body, 'hints': list_concat(a[-1].hints, list_filter(b[1].hints, lambda h: NOT list_contains(a[-1].hints, h)))}}) ELSE list_concat(a, b) END) AS tp FROM {name}9),
+ {name} AS (SELECT id, i::INTEGER AS topic_no, tp[i].headline AS headline, tp[i].body AS body, tp[i].hints AS bank_hints FROM {name}10, unnest(range(1, len(tp) + 1)) AS u(i) WHERE len(tp) >= 2)"""
+
+
+SQL_RAW = f", rs AS (SELECT doc_id AS id, regexp_replace(body, '。[A-Z][a-z]+ ', '。招行新增', 'g') AS raw FROM notices), {split_raw_sql('rs')} SELECT id AS doc_id, topic_no, headline, body, array_to_string(bank_hints, ',') AS bank_hints FROM rw"
+
 ENTRIES = {
     "topic_starts": (lambda s, d: sg.topic_starts(blocks(s, d)).select("article_id", F.col("pos").cast("bigint").alias("pos"), "is_start"), sql_over_notices(f"SELECT article_id, pos, {START} AS is_start FROM bk", SQL_BLOCKS)),
     "multi_topic_signals": (q_signals, sql_over_notices("", SIGNALS)),
     "segment_topics": (q_topics, sql_over_notices("SELECT * FROM ou", TOPICS)),
     "merge_small_topics": (q_merge_small, SQL_MERGE_SMALL),
-    "split_raw_text": (q_raw, None),
+    "split_raw_text": (q_raw, sql_over_notices("", SQL_RAW)),
     "headings_to_items": (q_items, sql_over_notices("", SQL_ITEMS)),
     "parse_modes": (lambda s, d: sg.parse_modes(paragraphs(s, d)), sql_over_notices("SELECT file, mode FROM md", SQL_MODES)),
     "styled_digest_items": (q_styled, sql_over_notices("", SQL_STYLED)),
