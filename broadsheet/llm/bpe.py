@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .frames import Remembered, free_name, kept
+from .frames import Remembered, body, col, free_name, kept
 
 #: Stands for the word-end mark inside the encoder; no byte is shown as this character.
 END = "\x00"
@@ -207,25 +208,25 @@ def decode(spark, ids, path):
     return text_of(ids)
 
 
-def encode_and_decode(spark, text, path):
-    """A column of (ids, decoded): encode and decode of a text in one pass. Two chained UDFs would encode it twice."""
-    spec = shared_spec(spark, path)
-
-    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
-    def both_of(texts: pa.Array) -> pa.Array:
-        encoder, decoder = encoder_of(spec.value), decoder_of(spec.value)
-        rows = [encoder.encode(t.as_py() or "") for t in texts]
-        decoded = pa.array((decoder.decode(np.frombuffer(r, np.int32)) for r in rows), pa.binary()).cast(pa.string())
-        return pa.StructArray.from_arrays([lists_of(rows), decoded], ["ids", "decoded"])
-
-    return both_of(text)
-
-
-def encode_documents(docs, path, text="text"):
+def encode_documents(docs, path, text="text", rows=500):
     """docs with ids (array<int>), n_tokens and decoded; columns of these names in docs are replaced.
 
-    Null texts count as empty: no ids, decoded ''. Repeated rows each get their result; an empty table stays empty."""
-    both = free_name(docs, "coded")
-    coded = docs.withColumn(both, encode_and_decode(docs.sparkSession, F.col(text), path))
-    coded = coded.withColumn("ids", F.col(both)["ids"]).withColumn("n_tokens", F.size("ids").cast("long")).withColumn("decoded", F.col(both)["decoded"])
-    return coded.drop(both)
+    One pass encodes and decodes. A batch is worked on and handed back in parts of so many rows, so that a task never holds
+    the ids of a whole batch of long texts. Null texts count as empty: no ids, decoded ''. Repeated rows each get their
+    result; an empty table stays empty."""
+    spec = shared_spec(docs.sparkSession, path)
+    kept_columns = [c for c in docs.columns if c.lower() not in ("ids", "n_tokens", "decoded")]
+    given = docs.select(*map(col, kept_columns), body(text).alias(free_name(docs, "body")))
+
+    def each(batches):
+        encoder, decoder = encoder_of(spec.value), decoder_of(spec.value)
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows):
+                part = whole.slice(at, rows)
+                packed = [encoder.encode(t.as_py()) for t in part.column(part.num_columns - 1)]
+                decoded = pa.array((decoder.decode(np.frombuffer(r, np.int32)) for r in packed), pa.binary()).cast(pa.string())
+                counts = pa.array([len(r) // 4 for r in packed], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists_of(packed), counts, decoded], [*part.schema.names[:-1], "ids", "n_tokens", "decoded"])
+
+    fields = [f for f in docs.schema.fields if f.name in kept_columns]
+    return given.mapInArrow(each, T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.StringType())]))
