@@ -369,6 +369,7 @@ BOUNDARY_HEADINGS = [
     "下架提醒", "卡片下线", "公告通知",
 ]
 BOUNDARY_STOPS = ["活动时间", "活动内容", "活动对象", "适用人群", "参与方式", "年费：", "权益：", "活动说明", "优惠内容"]
+RAW_SPLIT_CONFIDENCE = 0.75
 CTA_WORDS = ["扫码", "申请", "下载", "点击", "立即", "开通", "办理"]
 IMAGE_NOISE_WORDS = ["图片为", "图（", "picture", "插画", "背景图", "示意图"]
 FACT_TYPES = ["article_text", "ocr_fact"]

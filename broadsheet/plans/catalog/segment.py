@@ -25,15 +25,19 @@ def articles(spark, sf):
 
 TEMPLATE = " OR ".join(f"({sql_count('t', g)} >= 2)" for g in lx.TEMPLATE_GROUPS)
 START = f"(hl OR numbered OR {TEMPLATE} OR ({sql_any('t', lx.HINT_BANKS)} AND {sql_any('t', lx.TOPIC_ACTIONS)}))"
-SQL_BLOCKS = f""", bk AS (SELECT article_id, pos, t, hl, {KINDS} AS type, regexp_matches(t, {q(lx.NUMBERED_PREFIX)}) AS numbered FROM (SELECT CAST(doc_id AS VARCHAR) AS article_id, i - 1 AS pos, {sql_strip('v')} AS t, starts_with(v, '#') AS hl FROM (
- SELECT doc_id, unnest(ps) AS v, generate_subscripts(ps, 1) AS i FROM (SELECT doc_id, regexp_split_to_array(body, '[。\\n]') AS ps FROM notices))))"""
+def blocks_sql(view="notices"):
+    return f""", bk AS (SELECT article_id, pos, t, hl, {KINDS} AS type, regexp_matches(t, {q(lx.NUMBERED_PREFIX)}) AS numbered FROM (SELECT CAST(doc_id AS VARCHAR) AS article_id, i - 1 AS pos, {sql_strip('v')} AS t, starts_with(v, '#') AS hl FROM (
+ SELECT doc_id, unnest(ps) AS v, generate_subscripts(ps, 1) AS i FROM (SELECT doc_id, regexp_split_to_array(body, '[。\\n]') AS ps FROM {view}))))"""
+
+
+SQL_BLOCKS = blocks_sql()
 
 drop = lambda e: f"list_filter({e}, lambda k: k NOT IN ('扫码申卡', '主题信用卡', '信用卡', '银行卡', '借记卡') AND NOT contains(k, '扫码') AND NOT contains(k, '主题'))"
 RAWB = r"regexp_extract_all(t, '(?:Visa|MasterCard|银联|JCB|美国运通)[^\s\x0b，。]{0,6}(?:卡|版)')"
 PLAIN = drop(r"regexp_extract_all(t, '[^\s\x0b，。]{4,10}(?:卡|版)')")
 ACTS = r"list_filter(regexp_extract_all(t, '[^\s\x0b，。]{2,6}(?:活动|优惠|返现|赠)'), lambda a: length(rtrim(a, '活动优惠返现赠')) >= 2)"
 FIELDS = sorted({f for g in lx.TEMPLATE_GROUPS for f in g})
-SIGNALS = SQL_BLOCKS + f""", tb AS (SELECT *, (hl OR numbered) AS heading, {RAWB} AS rawb, {PLAIN} AS plain, {ACTS} AS acts FROM bk),
+SIGNAL_STEPS = f""", tb AS (SELECT *, (hl OR numbered) AS heading, {RAWB} AS rawb, {PLAIN} AS plain, {ACTS} AS acts FROM bk),
  tt AS (SELECT *, list_distinct(list_concat(CASE WHEN len(rawb) > 0 THEN {drop('rawb')} ELSE plain END, acts)) AS terms FROM tb),
  tw AS (SELECT *, sum(heading::INT) OVER (PARTITION BY article_id ORDER BY pos) AS section, coalesce(sum(heading::INT) OVER (PARTITION BY article_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM tt),
  ne AS (SELECT article_id, terms, lag(terms) OVER (PARTITION BY article_id ORDER BY pos) AS prev FROM tt WHERE t <> ''),
@@ -45,12 +49,13 @@ SIGNALS = SQL_BLOCKS + f""", tb AS (SELECT *, (hl OR numbered) AS heading, {RAWB
  fl AS (SELECT ag.article_id, numbered >= 2 AS s1, coalesce(se.n, 0) >= 2 AS s2, headings >= 2 AND len(coalesce(ht, [])) >= 2 AS s3, coalesce(sq.n, 0) >= 2 AS s4, list_distinct(list_concat(CASE WHEN brand THEN branded ELSE plain END, acts)) AS names, actions >= 3 AS w3, coalesce(sw.n, 0) >= 2 AS w4
    FROM ag LEFT JOIN se USING (article_id) LEFT JOIN sq USING (article_id) LEFT JOIN sw USING (article_id)),
  sg AS (SELECT article_id, list_filter([CASE WHEN s1 THEN '{sg.STRONG[0]}' END, CASE WHEN s2 THEN '{sg.STRONG[1]}' END, CASE WHEN s3 THEN '{sg.STRONG[2]}' END, CASE WHEN s4 THEN '{sg.STRONG[3]}' END], lambda x: x IS NOT NULL) AS s,
-   list_filter([CASE WHEN len(names) >= 3 THEN '{sg.WEAK[0]}' END, CASE WHEN len(list_filter(names, lambda x: contains(x, '卡') OR contains(x, '版'))) >= 2 THEN '{sg.WEAK[1]}' END, CASE WHEN w3 THEN '{sg.WEAK[2]}' END, CASE WHEN w4 THEN '{sg.WEAK[3]}' END], lambda x: x IS NOT NULL) AS w FROM fl)
+   list_filter([CASE WHEN len(names) >= 3 THEN '{sg.WEAK[0]}' END, CASE WHEN len(list_filter(names, lambda x: contains(x, '卡') OR contains(x, '版'))) >= 2 THEN '{sg.WEAK[1]}' END, CASE WHEN w3 THEN '{sg.WEAK[2]}' END, CASE WHEN w4 THEN '{sg.WEAK[3]}' END], lambda x: x IS NOT NULL) AS w FROM fl)"""
+SIGNALS = SQL_BLOCKS + SIGNAL_STEPS + """
  SELECT article_id, CASE WHEN len(s) > 0 OR len(w) >= 2 THEN array_to_string(list_concat(s, w), ',') ELSE '' END AS signals, len(s) > 0 OR len(w) >= 2 AS is_candidate,
   round(CASE WHEN len(s) > 0 THEN least(0.95, 0.7 + 0.1 * least(len(s), 3)) WHEN len(w) >= 2 THEN least(0.75, 0.5 + 0.1 * least(len(w), 3)) ELSE 0 END::DOUBLE, 4) AS split_confidence FROM sg"""
 
 HINT = f"CASE WHEN {sql_count('bt', lx.HINT_CARD)} >= 2 THEN '新卡' WHEN {sql_count('bt', lx.HINT_PROMO)} >= 2 THEN '活动' WHEN {sql_any('bt', lx.HINT_CHANGE)} THEN '权益变更' WHEN {sql_any('bt', lx.HINT_NOTICE)} THEN '公告' ELSE '' END"
-TOPICS = SQL_BLOCKS + f""", st AS (SELECT *, sum({START}::INT) OVER (PARTITION BY article_id ORDER BY pos) AS seg FROM bk),
+TOPIC_STEPS = f""", st AS (SELECT *, sum({START}::INT) OVER (PARTITION BY article_id ORDER BY pos) AS seg FROM bk),
  sx AS (SELECT article_id, seg, min(pos) AS sb, max(pos) AS eb, count(*) AS n, arg_min(t, pos) AS h, string_agg(t, chr(10) ORDER BY pos) AS bt FROM st WHERE seg > 0 GROUP BY article_id, seg),
  sy AS (SELECT article_id, seg, sb, eb, n, coalesce(nullif(h, ''), a.title) AS headline, {HINT} AS hint, a.title AS title FROM sx JOIN (SELECT CAST(doc_id AS VARCHAR) AS article_id, title FROM notices) a USING (article_id)),
  fo AS (SELECT * FROM (WITH RECURSIVE f(article_id, seg, grp, hint, fresh) AS (SELECT article_id, seg, 1, hint, true FROM sy WHERE seg = 1 UNION ALL
@@ -60,6 +65,7 @@ TOPICS = SQL_BLOCKS + f""", st AS (SELECT *, sum({START}::INT) OVER (PARTITION B
  cn AS (SELECT n.article_id, n.title, count(gp.grp) AS k, (SELECT count(*) FROM bk WHERE bk.article_id = n.article_id) AS nb FROM (SELECT CAST(doc_id AS VARCHAR) AS article_id, title FROM notices) n LEFT JOIN gp USING (article_id) GROUP BY n.article_id, n.title),
  ou AS (SELECT gp.article_id, gp.article_id || '_t' || grp AS topic_id, start_block, end_block, gp.headline, type_hint, n_blocks, 0.8::DOUBLE AS split_confidence, 'heading_marker' || repeat(',merged', merged::INT) AS signals FROM gp JOIN cn USING (article_id) WHERE k > 1
   UNION ALL SELECT article_id, article_id || '_t1', 0, nb - 1, title, '', nb, 1.0, CASE WHEN k = 0 THEN 'single_topic_fallback:no_topic_starts' ELSE 'single_topic_fallback:merged_to_single' END FROM cn WHERE k <= 1)"""
+TOPICS = SQL_BLOCKS + TOPIC_STEPS
 
 
 def q_signals(spark, sf):

@@ -11,6 +11,7 @@ from ..functions import text as tx
 from ..functions.expr import c, first_filled, nz, strip, text
 from ..functions.scoring import score_items
 from ..operators import joins as jn
+from ..operators import retrieval as rt
 from ..operators import review as rv
 from ..operators import rollups as ru
 from ..operators import segment as sg
@@ -158,22 +159,69 @@ def build_context(spark, items, focus=None):
     return scored, ru.category_counts(scored), ru.bank_summary(scored), ru.batch_totals(scored)
 
 
+def raw_text_items(articles, confidence=lx.RAW_SPLIT_CONFIDENCE):
+    """Items of articles (article_id, title, url, author, publish_time, content_text, images) whose bare text holds
+    several topics: title, text and institution of each topic, the article's envelope, and trace fields."""
+    body = first_filled(*[text(_column(articles, k, F.lit(""))) for k in ("content_text", "full_text", "text")])
+    a = articles.select("article_id", text("title").alias("source_article_title"), text("url").alias("url"), first_filled(text(_column(articles, "account_name", F.lit(""))), text("author"), F.lit("未知公众号")).alias("author"),
+                        text("publish_time").alias("publish_time"), F.coalesce(_column(articles, "images", F.lit(None)).cast(STRINGS), F.array().cast(STRINGS)).alias("images"))
+    topics = sg.split_raw_text(articles.select("article_id", body.alias("text")), "article_id")
+    t = topics.join(a, "article_id").select(
+        "article_id", F.concat("article_id", F.lit("_r"), F.col("topic_no").cast("string")).alias("topic_id"), "source_article_title", F.col("headline").alias("title"), F.col("body").alias("content_text"), "url", "author",
+        "publish_time", "images", F.coalesce(F.try_element_at("bank_hints", F.lit(1)), F.lit("")).alias("bank"), F.lit(True).alias("is_split"), F.lit(confidence).alias("split_confidence"))
+    return normalize_items(t, source="wechat")
+
+
 def split_articles(spark, articles, article_blocks):
-    """(articles that stay whole, items of the others' topics): articles with blocks are cut at topic starts where the
-    signals make them candidates. articles has article_id, title, url, author, publish_time."""
+    """(articles that stay whole, items of the others' topics).
+
+    Articles with blocks are cut at topic starts where the signals make them candidates; articles without blocks at
+    boundaries of their text. articles: article_id, title, url, author, publish_time, content_text, images.
+    """
     signs = sg.multi_topic_signals(article_blocks).filter("is_candidate").select("article_id")
     some = article_blocks.join(signs, "article_id", "left_semi")
     envelope = articles.select("article_id", text("title").alias("raw_title"), "url", text("author").alias("publisher_name"), "publish_time")
-    topics = scratch.cut_lineage(spark, sg.segment_topics(some, envelope).filter("is_split"), "topics")
-    return articles.join(topics.select("article_id").distinct(), "article_id", "left_anti"), topic_items(topics, envelope)
+    topics = scratch.cut_lineage(spark, sg.segment_topics(some, envelope), "topics")
+    bare = articles.join(article_blocks.select("article_id").distinct(), "article_id", "left_anti")
+    raw = scratch.cut_lineage(spark, raw_text_items(bare), "raw_topics")
+    split = topics.select("article_id").union(raw.select("article_id")).distinct()
+    return articles.join(split, "article_id", "left_anti"), topic_items(topics, envelope).unionByName(raw, allowMissingColumns=True)
 
 
-def weekly_run(spark, articles, notices, webpages, label, archive_root=None, archive_time=None, article_blocks=None, corrections=None):
+def corrected(items, corrections):
+    """Items after accepted corrections (item_id, category, bank, title): what shows them is made anew for the changed ones.
+
+    Title (unless it was corrected itself), summary, confidence and flags follow the new category and bank; the bank counts
+    as unconfirmed.
+    """
+    d = jn.apply_corrections(items, corrections)
+    d = d.withColumn("_d", fd.display_title("bank", "category", "structured", "raw_title"))
+    own = F.try_element_at("evidence", F.lit("title")).isNotNull()
+    d = d.withColumns({"_title": F.when(own, F.col("title")).otherwise(F.col("_d.title")), "_confidence": ql.confidence("candidates", F.lit(0.0), F.col("_d.title_source"), "raw_title", "structured", "category")})
+    split = {k: _column(d, k, None) for k in ("is_split", "split_confidence")}
+    new = {"title": F.col("_title"), "title_source": F.col("_d.title_source"), "confidence": F.col("_confidence"),
+           "highlight_summary": fd.highlight_summary("category", "structured", "structured_clean", "raw_title", first_filled("raw_text"), "bank"),
+           "review_flags": ql.review_flags("_confidence", "candidates", "_title", "raw_title", "structured", "publish_time", **split)}
+    return d.select(*[F.when(F.col("modified"), new[k]).otherwise(F.col(k)).alias(k) if k in new else F.col(k) for k in [*items.columns, "modified"]])
+
+
+def enriched(scored, scores, fields=("target_audience", "key_benefits", "fee_assessment", "priority")):
+    """Scored items with the fields of a score table (item_id, title, ord, fields) where it has them: by id, else by title."""
+    found = jn.enrich_from_scores(scored.drop(*fields), scores, fields)
+    both = found.select(F.col("item_id").alias("_id"), F.col("title").alias("_title"), *[F.col(k).alias(f"_{k}") for k in fields], "matched").distinct()
+    j = scored.join(both, (F.col("item_id") == F.col("_id")) & F.col("title").eqNullSafe(F.col("_title")))
+    filled = lambda k: F.size(f"_{k}") > 0 if k == "key_benefits" else text(f"_{k}") != ""
+    return j.select(*[F.when(filled(k), F.col(f"_{k}")).otherwise(F.col(k)).alias(k) if k in fields else F.col(k) for k in scored.columns], "matched")
+
+
+def weekly_run(spark, articles, notices, webpages, label, archive_root=None, archive_time=None, article_blocks=None, corrections=None, scores=None):
     """The whole chain: split topics, union, correct, score, enrich, noise filter, manifest, archive. Returns (items, manifest).
 
-    article_blocks (article_id, pos, type, text, is_heading_like) lets articles with several topics become several items;
-    corrections (item_id, category, bank, title) are accepted review suggestions. review_of(items) gives the review queue.
-    Items are written between the stages: five consumers read them, and no later filter reopens the expressions.
+    article_blocks (article_id, pos, type, text, is_heading_like) lets articles with several topics become several items,
+    those without blocks by their text; corrections (item_id, category, bank, title) are accepted review suggestions;
+    scores overrides the rules' score fields. review_of(items) gives the review queue, references_of(items, ...) the
+    knowledge-base references. Items are written between the stages: several consumers read them, and no later filter
+    reopens the expressions.
     """
     topics = None
     if article_blocks is not None:
@@ -183,8 +231,10 @@ def weekly_run(spark, articles, notices, webpages, label, archive_root=None, arc
         items = items.unionByName(topics, allowMissingColumns=True)
     items = scratch.cut_lineage(spark, items.withColumn("batch_label", F.lit(label)), "items")
     if corrections is not None:
-        items = scratch.cut_lineage(spark, jn.apply_corrections(items, corrections), "corrected")
+        items = scratch.cut_lineage(spark, corrected(items, corrections), "corrected")
     scored = scratch.cut_lineage(spark, score_items(items), "scored")
+    if scores is not None:
+        scored = scratch.cut_lineage(spark, enriched(scored, scores), "enriched")
     rich = scored.withColumn("highlight_summary", first_filled(
         fd.highlight_summary("category", "structured", "structured", "raw_title", "raw_text", "bank", "key_benefits", "fee_assessment"), F.array_join(F.slice("key_benefits", 1, 3), "、"), F.substring("title", 1, 80)))
     final = scratch.cut_lineage(spark, gt.filter_noise(rich), "final")
@@ -193,6 +243,12 @@ def weekly_run(spark, articles, notices, webpages, label, archive_root=None, arc
     return final, sk.archive_manifest(final, archive_time or "")
 
 
+def references_of(items, postings, stats, k=3):
+    """(item_id, rank, doc_id, score, step): knowledge-base references of the highlighted items."""
+    asked = items.filter("is_highlight").groupBy("item_id").agg(F.min(F.struct("category", "bank", "title")).alias("i")).select(F.col("item_id").alias("qid"), "i.*")
+    return rt.suggestion_query(asked, postings, stats, k).select(F.col("qid").alias("item_id"), "rank", "doc_id", "score", "step")
+
+
 def review_of(items):
     """The review queue of a run's items."""
     return rv.review_queue(items)
