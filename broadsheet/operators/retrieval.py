@@ -1,7 +1,7 @@
 """Knowledge base tables and retrieval: chunks, BM25, cosine, rank fusion, context rows."""
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,15 +13,6 @@ from ..functions.text import strip_markdown
 from ..functions.tokens import chunk_text, tokenize_mixed
 from ..sources import scratch
 
-# a side is broadcast only when a bounded count proves it small
-BROADCAST_ROWS = 200_000
-
-
-def small_side(df, rows=BROADCAST_ROWS):
-    """df with a broadcast hint when it has at most `rows` rows; otherwise unchanged (shuffled join, AQE skew split)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 # ---- knowledge base ---------------------------------------------------------------
 
 def kb_chunks(articles, size=500, overlap=100, shortest=30):
@@ -82,82 +73,182 @@ def bm25_stats(docs, postings, id_col="doc_id", text_col="text"):
 
 
 def bm25_terms(postings, n):
-    """(term, df, idf); n is a Column (scalar subquery) or a number."""
-    d = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    """(term, df, idf) of postings or of a table that has df already; n is a Column (scalar subquery) or a number."""
+    d = postings if "df" in postings.columns else postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return d.withColumn("idf", F.ln(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)))
 
 
+# buckets of documents with their own score bounds; slack of sums in double precision
+BOUND_BUCKETS, SLACK = 64, 1e-7
+
+
+def _questions(queries):
+    """(qid, q) and (q, term, qtf): questions with the same tokens, in any order, are one."""
+    spark = queries.sparkSession
+    t = queries.select("qid", F.array_sort(tokenize_mixed("text")).alias("ts"))
+    t = scratch.cut_lineage(spark, t.select("qid", F.md5(F.array_join("ts", "\x1f")).alias("q"), "ts"), "questions")
+    each = t.groupBy("q").agg(F.first("ts").alias("ts")).select("q", F.explode("ts").alias("term"))
+    return t.select("qid", "q"), each.groupBy("q", "term").agg(F.count(F.lit(1)).alias("qtf"))
+
+
 def bm25_search(postings, stats, queries, k=5, k1=1.5, b=0.75):
     """(qid, doc_id, score, rank): top k documents with score > 0 per question; ties by doc_id.
 
-    queries: (qid, text). Repeated query terms add repeatedly. Postings are cut to the query terms before anything is
-    shuffled; scores are compared at nine decimals, so that summation order cannot reorder equal documents.
+    queries: (qid, text). Repeated query terms add repeatedly; scores are compared at nine decimals, so that summation
+    order cannot reorder equal documents.
+
+    Exact, without scoring every pair of a question and a document that share a term. The most a term can add to a score
+    bounds it. A question's heaviest terms, up to half of what all its terms can add, are scored first: the k-th best of
+    these partial scores is a floor under the final k-th best. Only documents with one of so many heaviest terms that the
+    others together stay under the floor can be among the best; of these, only those whose partial score and the most the
+    other terms can add in the document's bucket reach the floor are looked up for the other terms.
     """
-    q = queries.select("qid", F.explode(tokenize_mixed("text")).alias("term")).groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    terms = q.select("term").distinct()
-    hit = postings.join(small_side(terms), "term", "left_semi")
+    spark = queries.sparkSession
+    cut = lambda df, name: scratch.cut_lineage(spark, df, name)
+    asked, wanted = _questions(queries)
+    wanted = cut(wanted, "question_terms")
     n, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()
-    idf = bm25_terms(hit, n).filter("idf > 0").select("term", "idf")
-    qw = q.join(idf, "term").select("qid", "term", (F.col("qtf") * F.col("idf")).alias("w"))
-    part = F.col("w") * (F.col("tf") * (k1 + 1)) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / avgdl))
-    s = hit.join(small_side(qw), "term").groupBy("qid", "doc_id").agg(F.round(F.sum(part), 9).alias("score")).filter("score > 0")
-    w = W.partitionBy("qid").orderBy(F.desc("score"), "doc_id")
-    return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    part = (F.col("tf") * (k1 + 1)) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / avgdl))
+    hit = postings.join(wanted.select("term").distinct(), "term", "left_semi")
+    hit = cut(hit.select("doc_id", "term", part.alias("part"), F.pmod(F.xxhash64("doc_id"), F.lit(BOUND_BUCKETS)).cast("int").alias("bucket")), "hits")
+    most = cut(hit.groupBy("term", "bucket").agg(F.max("part").alias("most"), F.count(F.lit(1)).alias("n")), "bounds")
+    terms = bm25_terms(most.groupBy("term").agg(F.max("most").alias("most"), F.sum("n").alias("df")), n).filter("idf > 0")
+    w = W.partitionBy("q")
+    q = wanted.join(terms, "term").select("q", "term", (F.col("qtf") * F.col("idf")).alias("w"), (F.col("qtf") * F.col("idf") * F.col("most")).alias("bound"))
+    # left: what this term and those behind it can add; at most a question's own terms in a window
+    q = q.withColumns({"left": F.sum("bound").over(w.orderBy("w", F.desc("term"))), "total": F.sum("bound").over(w)})
+    q = cut(q.select("q", "term", "w", "bound", "left", (2 * F.col("left") > F.col("total")).alias("first")), "weights")
+
+    def scored(some):
+        return hit.join(some.select("q", "term", "w"), "term").groupBy("q", "doc_id", "bucket").agg(F.sum(F.col("w") * F.col("part")).alias("score"))
+
+    start = cut(scored(q.filter("first")), "first_scores")
+    best = start.withColumn("rank", F.row_number().over(w.orderBy(F.desc("score")))).filter(F.col("rank") <= k)
+    floor = best.groupBy("q").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(0.0).alias("floor"))
+    q = cut(q.join(floor, "q", "left").withColumns({"floor": F.coalesce("floor", F.lit(0.0)), "need": F.col("first") | (F.col("left") >= F.coalesce("floor", F.lit(0.0)) - SLACK)}), "essential")
+    both = start.unionByName(scored(q.filter("need AND NOT first"))).groupBy("q", "doc_id", "bucket").agg(F.sum("score").alias("score"))
+    rest = q.filter("NOT need")
+    room = rest.select("q", "term", "w").join(most, "term").groupBy("q", "bucket").agg(F.sum(F.col("w") * F.col("most")).alias("room"))
+    both = both.join(q.select("q", "floor").distinct(), "q").join(room, ["q", "bucket"], "left")
+    some = cut(both.filter(F.col("score") + F.coalesce("room", F.lit(0.0)) >= F.col("floor") - SLACK).select("q", "doc_id", "score"), "candidates")
+    more = some.select("q", "doc_id").join(rest.select("q", "term", "w"), "q").join(hit.select("doc_id", "term", "part"), ["doc_id", "term"])
+    more = more.groupBy("q", "doc_id").agg(F.sum(F.col("w") * F.col("part")).alias("more"))
+    full = some.join(more, ["q", "doc_id"], "left").select("q", "doc_id", F.round(F.col("score") + F.coalesce("more", F.lit(0.0)), 9).alias("score")).filter("score > 0")
+    top = full.withColumn("rank", F.row_number().over(w.orderBy(F.desc("score"), "doc_id"))).filter(F.col("rank") <= k)
+    return asked.join(top, "q").select("qid", "doc_id", "score", "rank")
 
 
 # ---- cosine ---------------------------------------------------------------------------
 
-VEC = "qid long, vec_id long, score double"
-
-
-def _best(qids, m, ids, vecs, k):
-    """Rows of the k best positive cosines per question within one batch."""
-    v = np.stack(vecs).astype(np.float64)
-    nv, nq = np.linalg.norm(v, axis=1), np.linalg.norm(m, axis=1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        s = np.nan_to_num((m @ v.T) / (nq[:, None] * nv[None, :]))
-    s[nq < 1e-8] = 0.0
-    s = np.round(s, 9)
-    out = []
-    for i, qid in enumerate(qids):
-        keep = np.lexsort((ids, -s[i]))[:k]
-        keep = keep[s[i][keep] > 0]
-        out.append(pd.DataFrame({"qid": qid, "vec_id": ids[keep], "score": s[i][keep]}))
-    return pd.concat(out) if out else pd.DataFrame({"qid": [], "vec_id": [], "score": []})
-
-
-def vector_topk(vectors, queries, k=5, block=1024):
+# directions that vectors are dealt to (a bounded sample of the vectors), vectors and questions of one cell
+PIVOTS, CELL_VECTORS, CELL_QUESTIONS = 64, 8192, 1024
+FOUND = "qid long, vec_id long, score double"
+
+
+def _matrix(column):
+    values = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(values), -1)
+
+
+def _usable(df, key):
+    """(key, v, size) of the rows whose vector is finite and not zero."""
+    v = c("embedding").cast("array<double>")
+    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: F.abs(x) > 1e-8)
+    return df.select(c(key).cast("long").alias(key), v.alias("v"), F.size(v).alias("size")).filter(F.coalesce(fine, F.lit(False)))
+
+
+def _angles(v, pivots):
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    return np.arccos(np.clip(u @ pivots.T, -1, 1))
+
+
+def _placed(rows, pivots):
+    """rows (key, v, size) with bucket, the nearest pivot of their size, and the angle to it."""
+    key = rows.columns[0]
+
+    def place(batches):
+        for batch in batches:
+            sizes = batch.column("size").to_numpy()
+            for size in np.unique(sizes):
+                part = batch.filter(pa.array(sizes == size))
+                far = _angles(_matrix(part.column("v")), pivots[size])
+                at = far.argmin(axis=1)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(at.astype(np.int32)), pa.array(far[np.arange(len(at)), at])], [*part.schema.names, "bucket", "angle"])
+    return rows.mapInArrow(place, f"{key} long, v array<double>, size int, bucket int, angle double")
+
+
+def _reached(asks, pivots, cones):
+    """(qid, v, size, bucket) for every bucket but the home one whose cone may hold a vector as near as the floor."""
+    def reach(batches):
+        for batch in batches:
+            sizes = batch.column("size").to_numpy()
+            for size in np.unique(sizes):
+                part = batch.filter(pa.array(sizes == size))
+                widest = np.array([cones.get((size, b), -1.0) for b in range(len(pivots[size]))])
+                best = np.cos(np.maximum(0, _angles(_matrix(part.column("v")), pivots[size]) - widest - 1e-9))
+                floor = part.column("floor").to_numpy()[:, None]
+                wanted = (widest >= 0) & (best > 0) & (best >= floor - 1e-8) & (np.arange(len(widest)) != part.column("bucket").to_numpy()[:, None])
+                row, bucket = np.nonzero(wanted)
+                yield pa.RecordBatch.from_arrays([*[part.column(k).take(pa.array(row)) for k in ("qid", "v", "size")], pa.array(bucket.astype(np.int32))], ["qid", "v", "size", "bucket"])
+    return asks.select("qid", "v", "size", "bucket", "floor").mapInArrow(reach, "qid long, v array<double>, size int, bucket int")
+
+
+def _cell(k):
+    """The k best positive cosines per question between the questions and the vectors of one cell."""
+    def near(asks, vectors):
+        if not len(asks) or not len(vectors):
+            return pa.table({"qid": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        m, v, ids = _matrix(asks.column("v")), _matrix(vectors.column("v")), vectors.column("vec_id").to_numpy()
+        s = np.round((m @ v.T) / (np.linalg.norm(m, axis=1)[:, None] * np.linalg.norm(v, axis=1)[None, :]), 9)
+        order = np.stack([np.lexsort((ids, -row))[:k] for row in s])
+        top = np.take_along_axis(s, order, axis=1)
+        good = top > 0
+        return pa.table({"qid": np.repeat(asks.column("qid").to_numpy(), good.sum(axis=1)), "vec_id": ids[order[good]], "score": top[good]})
+    return near
+
+
+def _met(asks, placed, sizes, k):
+    """The best of each question among the vectors of the buckets it asks: cells of bounded size, met by cogroup.
+
+    sizes: vectors per (size, bucket). A bucket's vectors are dealt to parts, its questions to blocks."""
+    counts = {(r["size"], r["bucket"]): r["n"] for r in asks.groupBy("size", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most PIVOTS rows a vector size
+    cells = asks.sparkSession.createDataFrame([(*at, -(-sizes[at] // CELL_VECTORS), -(-n // CELL_QUESTIONS)) for at, n in counts.items() if at in sizes], "size int, bucket int, parts int, blocks int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+    keys = ["size", "bucket", "part", "block"]
+    left = asks.join(cells, ["size", "bucket"]).select("size", "bucket", every("parts").alias("part"), own("qid", "blocks").alias("block"), "qid", "v")
+    right = placed.join(cells, ["size", "bucket"]).select("size", "bucket", own("vec_id", "parts").alias("part"), every("blocks").alias("block"), "vec_id", "v")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_cell(k), FOUND)
+
+
+def vector_topk(vectors, queries, k=5):
     """(qid, vec_id, score, rank): k nearest by cosine > 0; zero-norm questions give none.
 
-    vectors: (vec_id, embedding); queries: (qid, embedding). Up to `block` questions travel with the tasks as one matrix;
-    each Arrow batch of vectors is reduced to k rows per question before the shuffle. More questions are cut into blocks
-    of that size in Spark, and every block meets the vectors through a shuffled join on the block number.
+    vectors: (vec_id, embedding); queries: (qid, embedding). Exact, one plan for every size: vectors are dealt to the
+    nearest of PIVOTS directions, a bucket is the cone of its widest vector. Questions search the bucket of their own
+    direction first; their k-th best there is a floor, and they go on only to buckets whose cone comes near enough.
     """
-    n = queries.limit(block + 1).count()
-    if n == 0:
-        return queries.sparkSession.createDataFrame([], VEC + ", rank int")
-    if n <= block:
-        rows = queries.select("qid", "embedding").collect()
-        qids, m = [r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.float64)
-
-        def near(batches):
-            for pdf in batches:
-                if len(pdf):
-                    yield _best(qids, m, pdf["vec_id"].to_numpy(), pdf["embedding"].tolist(), k)
-        cand = vectors.select(F.col("vec_id").cast("long"), "embedding").mapInPandas(near, VEC)
-    else:
-        blocks = -(-queries.count() // block)
-        qb = queries.withColumn("blk", F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int")).groupBy("blk").agg(F.collect_list(F.struct("qid", "embedding")).alias("qs"))
-        vb = vectors.select(F.col("vec_id").cast("long"), "embedding", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("blk"))
-
-        def near(batches):
-            for pdf in batches:
-                for _, g in pdf.groupby("blk"):
-                    qs = g["qs"].iloc[0]
-                    yield _best([q["qid"] for q in qs], np.array([q["embedding"] for q in qs], dtype=np.float64), g["vec_id"].to_numpy(), g["embedding"].tolist(), k)
-        cand = vb.join(qb, "blk").mapInPandas(near, VEC)
+    spark = vectors.sparkSession
+    cut = lambda df, name: scratch.cut_lineage(spark, df, name)
     w = W.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    best = lambda df: df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    good, asked = _usable(vectors, "vec_id"), _usable(queries, "qid")
+    drawn = W.partitionBy("size").orderBy(F.xxhash64("vec_id", "v"))
+    some = good.withColumn("n", F.row_number().over(drawn)).filter(F.col("n") <= PIVOTS).select("size", "v").collect()  # PIVOTS rows a vector size
+    pivots = {}
+    for r in some:
+        pivots.setdefault(r["size"], []).append(r["v"])
+    pivots = {size: (p := np.array(vs)) / np.linalg.norm(p, axis=1, keepdims=True) for size, vs in pivots.items()}
+    if not pivots:
+        return spark.createDataFrame([], FOUND + ", rank int")
+    placed = cut(_placed(good, pivots), "placed")
+    stats = placed.groupBy("size", "bucket").agg(F.max("angle").alias("angle"), F.count(F.lit(1)).alias("n")).collect()  # PIVOTS rows a vector size
+    cones, sizes = {(r["size"], r["bucket"]): r["angle"] for r in stats}, {(r["size"], r["bucket"]): r["n"] for r in stats}
+    asks = cut(_placed(asked.filter(F.col("size").isin(*pivots)), pivots), "asked")
+    home = cut(best(_met(asks, placed, sizes, k)), "home")
+    floor = home.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(0.0).alias("floor"))
+    reached = cut(_reached(asks.join(floor, "qid", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0))), pivots, cones), "reached")
+    return best(home.drop("rank").unionByName(_met(reached, placed, sizes, k)))
 
 
 def rrf_fuse(lexical, vector, k=5, rrf_k=60, weights=(0.5, 0.5)):

@@ -108,12 +108,78 @@ def test_bm25_against_formula(spark):
     assert got == pytest.approx(want)
 
 
-def test_vector_blocks_agree(spark):
-    v = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0]), (3, [0.0, 0.0])], "vec_id long, embedding array<float>")
-    q = spark.createDataFrame([(0, [1.0, 0.1]), (1, [0.0, 0.0]), (2, [0.2, 1.0])], "qid long, embedding array<float>")
-    rows = lambda d: sorted((r.qid, r.vec_id, r.rank, round(r.score, 6)) for r in d.collect())
-    small = rows(rt.vector_topk(v, q, 2))
-    assert small == rows(rt.vector_topk(v, q, 2, block=1)) and [r[:2] for r in small] == [(0, 0), (0, 2), (2, 1), (2, 2)]
+def plain_topk(vectors, asked, k):
+    import numpy as np
+    out = []
+    for qid, q in asked:
+        if q is None or not np.linalg.norm(q) > 1e-8:
+            continue
+        near = [(-round(float(np.dot(q, v) / (np.linalg.norm(q) * np.linalg.norm(v))), 9), i) for i, v in vectors if v is not None and len(v) == len(q) and np.isfinite(v).all() and np.linalg.norm(v) > 1e-8]
+        out += [(qid, i, n + 1, round(-s, 7)) for n, (s, i) in enumerate(sorted(near)[:k]) if s < 0]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("pivots, cell", [(64, (8192, 1024)), (3, (7, 4)), (1, (1000, 1000))])
+def test_vector_topk_against_every_pair(spark, monkeypatch, pivots, cell):
+    import numpy as np
+    monkeypatch.setattr(rt, "PIVOTS", pivots)
+    monkeypatch.setattr(rt, "CELL_VECTORS", cell[0])
+    monkeypatch.setattr(rt, "CELL_QUESTIONS", cell[1])
+    rng = np.random.default_rng(3)
+    middles = rng.normal(size=(4, 6))
+    vectors = [(k, (middles[k % 4] + rng.normal(scale=0.3, size=6)).round(2).tolist()) for k in range(120)]
+    vectors += [(200, [0.0] * 6), (201, None), (202, [float("nan")] * 6), (203, [1.0, 2.0]), (204, vectors[5][1]), (205, vectors[5][1]), (206, [-x for x in vectors[5][1]])]
+    asked = [(k, v) for k, v in vectors[::3]] + [(1000, [0.0] * 6), (1001, [2.0, 1.0]), (1002, [5.0] * 3), (1003, None)]
+    kind = "{} long, embedding array<double>"
+    got = rt.vector_topk(spark.createDataFrame(vectors, kind.format("vec_id")), spark.createDataFrame(asked, kind.format("qid")), 5).collect()
+    assert sorted((r.qid, r.vec_id, r["rank"], round(r.score, 7)) for r in got) == plain_topk(vectors, asked, 5)
+    assert rt.vector_topk(spark.createDataFrame([], kind.format("vec_id")), spark.createDataFrame(asked, kind.format("qid")), 5).collect() == []
+
+
+def test_far_buckets_are_not_searched(spark):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    rows = [(k, (np.eye(8)[k % 8] * 10 + rng.normal(scale=0.1, size=8)).tolist()) for k in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    pivots = {8: np.eye(8)}
+    placed = rt._placed(rt._usable(df, "vec_id"), pivots)
+    cones = {(r["size"], r["bucket"]): r["angle"] for r in placed.collect()}
+    asks = placed.withColumnRenamed("vec_id", "qid").selectExpr("*", "0.9D AS floor")
+    assert rt._reached(asks, pivots, cones).count() == 0 and rt._reached(asks.selectExpr("* EXCEPT (floor)", "0D AS floor"), pivots, cones).count() > 0
+
+
+def test_bm25_prunes_without_loss(spark):
+    import math
+    import random
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(120)]
+    text = lambda n: " ".join(words[min(119, int(rng.expovariate(0.05)))] for _ in range(n))
+    docs = [(k, text(rng.randint(0, 60))) for k in range(300)]
+    docs += [(300 + k, docs[k][1]) for k in range(20)]  # equal documents: ties by id
+    asked = [(k, text(rng.choice([0, 1, 2, 8, 20]))) for k in range(40)] + [(100 + k, " ".join(docs[k][1].split()[:12])) for k in range(20)] + [(200, "w3 w5 w3"), (201, "w5 w3 w3")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    postings = rt.bm25_postings(df)
+    got = rt.bm25_search(postings, rt.bm25_stats(df, postings), spark.createDataFrame(asked, "qid long, text string"), 4).collect()
+    split = {k: t.split() for k, t in docs}
+    avg, n = sum(map(len, split.values())) / len(split), len(split)
+    df_of = {x: sum(x in ts for ts in split.values()) for x in words}
+    want = []
+    for qid, q in asked:
+        score = {}
+        for d, ts in split.items():
+            s = sum(math.log(1 + (n - df_of[x] + .5) / (df_of[x] + .5)) * ts.count(x) * 2.5 / (ts.count(x) + 1.5 * (.25 + .75 * len(ts) / avg)) for x in q.split() if x in ts)
+            if round(s, 9) > 0:
+                score[d] = round(s, 9)
+        want += [(qid, d, r + 1) for r, (d, _) in enumerate(sorted(score.items(), key=lambda x: (-x[1], x[0]))[:4])]
+    assert sorted((r.qid, r.doc_id, r["rank"]) for r in got) == sorted(want)
+
+
+def test_fusion_keeps_lexical_ranks_without_vectors(spark):
+    kind = "qid long, doc_id long, score double, rank int"
+    lexical = spark.createDataFrame([(1, 10, 3.0, 1), (1, 11, 2.0, 2), (2, 10, 5.0, 1)], kind)
+    vector = spark.createDataFrame([(1, 11, 0.9, 1)], kind)
+    got = sorted(tuple(r) for r in rt.rrf_fuse(lexical, vector).collect())
+    assert got == [(1, 10, round(0.5 / 61, 9), 2), (1, 11, round(0.5 / 62 + 0.5 / 61, 9), 1), (2, 10, 5.0, 1)]
 
 
 def test_number_rows(spark):
