@@ -39,7 +39,9 @@ def render(x):
 
 
 def notices(spark, sf):
-    """doc_id, source, lang, title, body, url, author, publish_time, raw_category, images, n_chars (of the raw text).
+    """doc_id, source, lang, title, headline, body, url, author, publish_time, raw_category, images, n_chars (of the raw text).
+
+    headline is the whole first sentence, title the first 40 characters of it.
 
     Rendered once per application into a written table, so that every query starts from a pruned columnar scan.
     """
@@ -54,7 +56,7 @@ def _render_notices(spark, sf):
     p2 = lambda x: F.lpad(x.cast("string"), 2, "0")
     digest = F.md5("text")
     return d.select(
-        "doc_id", "source", "lang", "n_chars", F.substring(first, 1, 40).alias("title"), "body",
+        "doc_id", "source", "lang", "n_chars", F.substring(first, 1, 40).alias("title"), first.alias("headline"), "body",
         F.concat(F.lit("https://"), "source", F.lit(".example.com/n/"), F.substring(digest, 1, 8)).alias("url"),
         F.when(F.col("source") == "src1", "招商银行信用卡").when(F.col("source") == "src2", "工银信用卡")
          .when(F.col("source") == "src3", "平安信用卡小助手").when(F.col("source") == "src4", "未知公众号").otherwise("").alias("author"),
@@ -112,7 +114,7 @@ def _sql_render(e):
 
 
 SQL_NOTICES = f"""notices AS (
- SELECT doc_id, source, lang, n_chars, substr(string_split(string_split(body, chr(10))[1], '。')[1], 1, 40) AS title, body,
+ SELECT doc_id, source, lang, n_chars, substr(string_split(string_split(body, chr(10))[1], '。')[1], 1, 40) AS title, string_split(string_split(body, chr(10))[1], '。')[1] AS headline, body,
   'https://' || source || '.example.com/n/' || substr(md5(text), 1, 8) AS url,
   CASE source WHEN 'src1' THEN '招商银行信用卡' WHEN 'src2' THEN '工银信用卡' WHEN 'src3' THEN '平安信用卡小助手' WHEN 'src4' THEN '未知公众号' ELSE '' END AS author,
   CASE WHEN n_chars % 5 = 0 THEN '' ELSE '2024.' || lpad(CAST(n_chars % 12 + 1 AS VARCHAR), 2, '0') || '.' || lpad(CAST(n_chars % 28 + 1 AS VARCHAR), 2, '0') END AS publish_time,

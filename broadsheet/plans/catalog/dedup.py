@@ -21,13 +21,14 @@ COMMENT = "CASE lang WHEN 'en' THEN '' ELSE body END"
 
 
 def merge_input(spark, sf):
-    """Short titles in blocks by source, so that copies and near copies meet."""
+    """Whole first sentences in blocks by language."""
     d = notices(spark, sf)
-    return d.select(F.col("doc_id").alias("ord"), F.substring("title", 1, 24).alias("title"), F.col("lang").alias("bank"), F.col("body").alias("raw_text"), "url", "source",
+    return d.select(F.col("doc_id").alias("ord"), F.col("headline").alias("title"), F.col("lang").alias("bank"), F.col("body").alias("raw_text"), "url", "source",
                     fd.extract_kv_fields("body").alias("structured"), "images")
 
 
-MERGE_IN = ", mi AS (SELECT doc_id AS ord, substr(title, 1, 24) AS title, lang AS bank, body AS raw_text, url, source, images FROM notices)"
+SIMILAR = 0.85  # the operators' default
+MERGE_IN = ", mi AS (SELECT doc_id AS ord, headline AS title, lang AS bank, body AS raw_text, url, source, images FROM notices)"
 GRAMS = "list_distinct(list_filter(list_transform(range(1, length(title)), lambda i: substr(title, i, 2)), lambda g: NOT starts_with(g, ' ')))"
 TITLES = MERGE_IN + f", ti AS (SELECT bank, title, {GRAMS} AS g, min(ord) AS first_ord FROM mi GROUP BY bank, title)"
 JAC = "len(list_intersect(a.g, b.g))::DOUBLE / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g)))"
@@ -42,20 +43,20 @@ def clusters_sql(th):
  cl AS (SELECT mi.*, CASE WHEN len(ti.g) = 0 THEN mi.ord ELSE least(ti.first_ord, coalesce(rc.lo, ti.first_ord)) END AS cluster FROM mi JOIN ti USING (bank, title) LEFT JOIN rc ON rc.a = ti.first_ord)"""
 
 
-MERGED = clusters_sql(0.6) + """, mg AS (SELECT *, count(*) OVER (PARTITION BY cluster) AS members, row_number() OVER (PARTITION BY cluster ORDER BY length(raw_text) DESC, ord) AS rn FROM cl)"""
+MERGED = clusters_sql(SIMILAR) + """, mg AS (SELECT *, count(*) OVER (PARTITION BY cluster) AS members, row_number() OVER (PARTITION BY cluster ORDER BY length(raw_text) DESC, ord) AS rn FROM cl)"""
 
 
 def q_pairs(spark, sf):
-    p = sm.title_similarity_pairs(merge_input(spark, sf), 0.4)
+    p = sm.title_similarity_pairs(merge_input(spark, sf))
     return p.select("block", F.least("title_a", "title_b").alias("title_a"), F.greatest("title_a", "title_b").alias("title_b"), F.round("score", 6).alias("score"))
 
 
 def q_merge(spark, sf):
-    return sm.near_dup_merge(spark, merge_input(spark, sf), 0.6).select("ord", "title", "bank", "cluster", "members")
+    return sm.near_dup_merge(spark, merge_input(spark, sf)).select("ord", "title", "bank", "cluster", "members")
 
 
 def q_clustered(spark, sf):
-    return dd.merge_clustered_items(sm.near_dup_clusters(spark, merge_input(spark, sf), 0.6))
+    return dd.merge_clustered_items(sm.near_dup_clusters(spark, merge_input(spark, sf)))
 
 
 
@@ -66,7 +67,7 @@ def kv_cte():
                                                                         ", kv AS (SELECT doc_id AS ord, key, coalesce(arg_min(v, i) FILTER (v <> ''), '') AS value FROM s GROUP BY doc_id, key)")
 
 
-CLUSTERED = kv_cte() + clusters_sql(0.6) + """ SELECT cluster, 'raw_text' AS field, ord, 0::BIGINT AS i, raw_text AS value FROM cl WHERE raw_text <> ''
+CLUSTERED = kv_cte() + clusters_sql(SIMILAR) + """ SELECT cluster, 'raw_text' AS field, ord, 0::BIGINT AS i, raw_text AS value FROM cl WHERE raw_text <> ''
  UNION ALL SELECT cluster, 'image', ord, i - 1, v FROM (SELECT cluster, ord, unnest(images) AS v, generate_subscripts(images, 1) AS i FROM cl)
  UNION ALL SELECT cluster, 'structured.' || key, min(ord), 0, arg_min(value, ord) FROM (SELECT cl.cluster, cl.ord, kv.key, kv.value FROM cl JOIN kv USING (ord) WHERE kv.value <> '') GROUP BY cluster, key
  UNION ALL SELECT cluster, 'url', min(ord), 0, arg_min(url, ord) FROM cl GROUP BY cluster"""
@@ -82,33 +83,34 @@ def q_history(spark, sf):
 def q_match(spark, sf):
     n = notices(spark, sf)
     # altered titles: cut, re-sourced or with a changed end
-    t = F.when(F.col("lang") == "de", F.substring("title", 4, 12)).when(F.col("lang") == "fr", F.concat("title", F.lit("补充"))).when(F.col("lang") == "es", F.concat(F.lit("另有"), "title", F.lit("的很多其他说明文字在后面"))).otherwise(F.col("title"))
+    t = F.col("headline")
+    t = F.when(F.col("lang") == "de", F.concat_ws(" ", F.slice(F.split(t, " "), F.lit(1), F.greatest(F.lit(1), F.size(F.split(t, " ")) - 2)))).when(F.col("lang") == "fr", F.concat(t, F.lit("补充"))).when(F.col("lang") == "es", F.concat(F.lit("另有"), t, F.lit("的很多其他说明文字在后面"))).otherwise(t)
     b = F.when(F.col("source").isin("src1", "src2"), "src0").otherwise(F.col("source"))
-    return sm.match_original(n.select(F.col("doc_id").alias("qid"), t.alias("title"), b.alias("bank")), n.select(F.col("doc_id").alias("ord"), "title", F.col("source").alias("bank"))).select("qid", "step", "ord")
+    return sm.match_original(n.select(F.col("doc_id").alias("qid"), t.alias("title"), b.alias("bank")), n.select(F.col("doc_id").alias("ord"), F.col("headline").alias("title"), F.col("source").alias("bank"))).select("qid", "step", "ord")
 
 
 def grams(e):
     return f"list_distinct(list_filter(list_transform(range(1, length({e})), lambda i: substr({e}, i, 2)), lambda g: NOT starts_with(g, ' ')))"
 
 
-SQL_MATCH = f""", qq AS (SELECT doc_id AS qid, trim(CASE lang WHEN 'de' THEN substr(title, 4, 12) WHEN 'fr' THEN title || '补充' WHEN 'es' THEN '另有' || title || '的很多其他说明文字在后面' ELSE title END) AS title, CASE WHEN source IN ('src1', 'src2') THEN 'src0' ELSE source END AS bank FROM notices),
- q2 AS (SELECT *, {grams('title')} AS g FROM qq), o AS (SELECT trim(title) AS title, source AS bank, min(doc_id) AS ord, {grams('trim(title)')} AS g FROM notices GROUP BY trim(title), source),
+SQL_MATCH = f""", qq AS (SELECT doc_id AS qid, trim(CASE lang WHEN 'de' THEN array_to_string(string_split(headline, ' ')[1:greatest(1, len(string_split(headline, ' ')) - 2)], ' ') WHEN 'fr' THEN headline || '补充' WHEN 'es' THEN '另有' || headline || '的很多其他说明文字在后面' ELSE headline END) AS title, CASE WHEN source IN ('src1', 'src2') THEN 'src0' ELSE source END AS bank FROM notices),
+ q2 AS (SELECT *, {grams('title')} AS g FROM qq), o AS (SELECT trim(headline) AS title, source AS bank, min(doc_id) AS ord, {grams('trim(headline)')} AS g FROM notices GROUP BY trim(headline), source),
  hits AS (SELECT a.qid, CASE WHEN a.title = b.title AND a.bank = b.bank THEN 1 WHEN a.title = b.title THEN 2 WHEN len(a.g) > 0 AND len(b.g) > 0 AND {JAC} >= 0.6::DOUBLE THEN 3 WHEN a.bank = b.bank AND (contains(a.title, b.title) OR contains(b.title, a.title)) THEN 4 END AS step, b.ord FROM q2 a, o b)
  SELECT qid, CAST(min(step) AS INTEGER) AS step, min(ord) FILTER (step = ms) AS ord FROM (SELECT *, min(step) OVER (PARTITION BY qid) AS ms FROM hits WHERE step IS NOT NULL) GROUP BY qid"""
 
 
 def q_best(spark, sf):
     n = notices(spark, sf)
-    items = n.select(F.col("doc_id").alias("ord"), F.concat(F.substring("title", 1, 20), F.lit("续")).alias("title"))
-    heads = n.select(F.col("doc_id").alias("ord"), F.substring("title", 1, 20).alias("title"))
+    items = n.select(F.col("doc_id").alias("ord"), F.concat("headline", F.lit("续")).alias("title"))
+    heads = n.select(F.col("doc_id").alias("ord"), F.col("headline").alias("title"))
     return sm.best_title_match(items, heads, 0.75).select("ord", "heading_ord", F.round("score", 6).alias("score"))
 
 
-SQL_BEST = f""", a0 AS (SELECT DISTINCT substr(title, 1, 20) || '续' AS title FROM notices), a AS (SELECT title, {grams('title')} AS g FROM a0),
- b AS (SELECT substr(title, 1, 20) AS title, min(doc_id) AS ord, {grams('substr(title, 1, 20)')} AS g FROM notices GROUP BY substr(title, 1, 20)),
+SQL_BEST = f""", a0 AS (SELECT DISTINCT headline || '续' AS title FROM notices), a AS (SELECT title, {grams('title')} AS g FROM a0),
+ b AS (SELECT headline AS title, min(doc_id) AS ord, {grams('headline')} AS g FROM notices GROUP BY headline),
  p AS (SELECT a.title, b.ord, {JAC} AS score FROM a JOIN b ON len(a.g) > 0 AND len(b.g) > 0 AND {JAC} >= 0.75::DOUBLE),
  m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY score DESC, ord) AS rn FROM p) WHERE rn = 1)
- SELECT n.doc_id AS ord, m.ord AS heading_ord, round(m.score, 6) AS score FROM notices n JOIN m ON m.title = substr(n.title, 1, 20) || '续'"""
+ SELECT n.doc_id AS ord, m.ord AS heading_ord, round(m.score, 6) AS score FROM notices n JOIN m ON m.title = n.headline || '续'"""
 
 FILES = lambda s, d: notices(s, d).select(F.col("doc_id").alias("ord"), F.encode(F.concat("source", F.repeat("body", (F.col("n_chars") % 3).cast("int"))), "utf-8").alias("content"))
 
@@ -124,9 +126,9 @@ ENTRIES = {
                                             f"coalesce(arg_min(cm, doc_id) FILTER (cm <> ''), '') AS comment FROM (SELECT *, {KEY} AS key, {COMMENT} AS cm FROM notices) GROUP BY key")),
     "title_key_sources": (lambda s, d: dd.title_key_sources(keyed(s, d)), sql_over_notices(f"SELECT {KEY} AS key, doc_id AS ord, source AS file, url FROM notices")),
     "title_bigrams": column_query(lambda: F.array_join(F.array_sort(sm.title_bigrams("title")), "|"), f"array_to_string(list_sort({GRAMS}), '|')"),
-    "title_similarity_pairs": (q_pairs, sql_over_notices("SELECT block, title_a, title_b, round(score, 6) AS score FROM pr", pairs_sql(0.4))),
+    "title_similarity_pairs": (q_pairs, sql_over_notices("SELECT block, title_a, title_b, round(score, 6) AS score FROM pr", pairs_sql(SIMILAR))),
     "near_dup_merge": (q_merge, sql_over_notices("SELECT ord, title, bank, cluster, members FROM mg WHERE rn = 1", MERGED)),
-    "near_dup_stats": (lambda s, d: sm.merge_stats(sm.near_dup_merge(s, merge_input(s, d), 0.6)),
+    "near_dup_stats": (lambda s, d: sm.merge_stats(sm.near_dup_merge(s, merge_input(s, d))),
                        sql_over_notices("SELECT count(*) AS total_in, count(*) FILTER (rn = 1) AS total_out, count(*) FILTER (rn > 1) AS dropped FROM mg", MERGED)),
     "merge_clustered_items": (q_clustered, sql_over_notices("", CLUSTERED)),
     "duplicate_report": (lambda s, d: dd.duplicate_report(notices(s, d).withColumn("item_id", F.substring("url", -8, 8)), "url", "title", "item_id", "source"),
