@@ -1,10 +1,13 @@
 """Incremental jobs on Structured Streaming: arrival, URL memory, late rows, weekly counts, upserts, scoring, archive.
 
-Keyed tables are kept as versions (one folder per micro-batch) under a target folder; a repeated batch rewrites its own
-version, so a restart after a lost executor or driver gives the same result.
+What has to be remembered is Spark's own keyed state, checkpointed with the query; batches cost what arrives in them.
 """
 
+from contextlib import contextmanager
+
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions.expr import strip, text
 from ..operators.dedup import url_md5
@@ -43,63 +46,99 @@ def stream_weekly_counts(df, keys, ts="ts", delay="7 days"):
     return g.select(F.col("window.start").alias("week_start"), *keys, "n")
 
 
-class VersionedTable:
-    """A table as folders v<batch>; reading gives the newest version below a batch id (or the newest of all)."""
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-    def __init__(self, spark, path):
-        self.spark, self.path = spark, path
 
-    def _versions(self):
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = p.getFileSystem(conf)
-        if not fs.exists(p):
-            return []
-        done = lambda s: fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
-        return sorted(int(s.getPath().getName()[1:]) for s in fs.listStatus(p) if s.getPath().getName().startswith("v") and done(s))
+@contextmanager
+def rocksdb_state(spark):
+    """Queries started inside keep their state in RocksDB, which processors with map state need."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
-    def read(self, below=None):
-        v = [x for x in self._versions() if below is None or x < below]
-        return self.spark.read.parquet(f"{self.path}/v{v[-1]}") if v else None
 
-    def write(self, df, batch):
-        df.write.mode("overwrite").parquet(f"{self.path}/v{batch}")
+class NewestUrls(StatefulProcessor):
+    """Per (feed, bucket): the n most lately seen URL hashes with their last place in the stream.
 
+    Rows of unseen hashes come out. The map is cut back to n once it holds slack times as many: oldest first, ties by hash."""
 
-def stream_history_lru(stream, table, fresh_path, feed="feed", url="url", seq="seq", n=5000):
-    """Writer that emits rows with unseen URLs and keeps the newest n hashes per feed.
+    def __init__(self, n, slack=1.25):
+        self.n, self.slack = n, slack
 
-    The history is a keyed table, not per-feed Python state: one feed may be a third of the stream, and the bounded
-    top-n per feed keeps at most n rows per task and feed.
-    """
-    def batch(df, i):
-        b = df.withColumn("url_md5", url_md5(url)).groupBy(feed, "url_md5").agg(F.min(seq).alias(seq))
-        old = table.read(below=i)
-        new = b if old is None else b.join(old.select(feed, "url_md5"), [feed, "url_md5"], "left_anti")
-        new.write.mode("overwrite").parquet(f"{fresh_path}/batch={i}")
-        new = df.sparkSession.read.parquet(f"{fresh_path}/batch={i}")
-        all_ = new if old is None else old.unionByName(new)
-        table.write(topk_per_group(all_, feed, [F.desc(seq), F.col("url_md5")], n).drop("rank"), i)
-    return stream.writeStream.foreachBatch(batch)
+    def init(self, handle):
+        self.seen = handle.getMapState("seen", "url_md5 string", "seq long")
+        self.size = handle.getValueState("size", "n long")
 
+    def handleInputRows(self, key, rows, timerValues):
+        size = self.size.get()[0] if self.size.exists() else 0
+        fresh = {}
+        for batch in rows:
+            found = batch.groupby("url_md5")["seq"].agg(["min", "max"])
+            for url, least, most in found.itertuples():
+                held = (url,)
+                old = self.seen.getValue(held)[0] if self.seen.containsKey(held) else None
+                if old is None:
+                    size += 1
+                    fresh[url] = least
+                elif url in fresh:
+                    fresh[url] = min(fresh[url], least)
+                self.seen.updateValue(held, (int(most if old is None else max(old, most)),))
+        if size > self.n * self.slack:
+            every = sorted(((v[0], k[0]) for k, v in self.seen.iterator()), key=lambda x: (-x[0], x[1]))
+            for _, url in every[self.n:]:
+                self.seen.removeKey((url,))
+            size = self.n
+        self.size.update((size,))
+        yield pd.DataFrame({"feed": key[0], "url_md5": list(fresh), "seq": list(fresh.values())}).astype({"feed": "object", "url_md5": "object", "seq": "int64"})
 
-def stream_upsert_latest(stream, table, key="url", ts="ts", columns=("title", "body")):
-    """Writer that keeps, per key and column, the latest filled value (an empty one only where none is filled).
+    def close(self):
+        pass
 
-    Each column keeps the time of its value (<column>_ts), so a late arrival is judged by when its value was written, not
-    by when the key was last seen: the result does not depend on how rows are dealt into batches. Ties of time go to the
-    greater value."""
-    held = lambda k: F.struct((text(k) != "").alias("filled"), F.col(f"{k}_ts").alias("at"), F.col(k).alias("value"))
 
-    def merge(df):
-        best = df.groupBy(key).agg(*[F.max(held(k)).alias(k) for k in columns], F.max(ts).alias(ts))
-        return best.select(key, ts, *[x for k in columns for x in (F.col(k)["value"].alias(k), F.col(k)["at"].alias(f"{k}_ts"))])
+def stream_history_lru(stream, feed="feed", url="url", seq="seq", n=5000, buckets=16):
+    """(feed, url_md5, seq) of rows with URLs that the history does not hold; the history keeps the n last seen per feed.
 
-    def batch(df, i):
-        new = df.select(key, ts, *columns, *[F.col(ts).alias(f"{k}_ts") for k in columns])
-        old = table.read(below=i)
-        table.write(merge(new if old is None else old.unionByName(new)), i)
-    return stream.writeStream.foreachBatch(batch)
+    A feed's hashes are spread over buckets, each with its own state, so that a feed that is a third of the stream is no
+    single task; each bucket keeps its n newest, hence all of the feed's n newest. history_of reads them. Start the query
+    inside rocksdb_state. Evicted URLs count as unseen when they come again, and the history after a run is the same
+    however rows are dealt to batches."""
+    d = stream.select(F.col(feed).alias("feed"), url_md5(url).alias("url_md5"), F.col(seq).cast("long").alias("seq"))
+    d = d.withColumn("bucket", F.pmod(F.xxhash64("url_md5"), F.lit(buckets)).cast("int"))
+    return d.groupBy("feed", "bucket").transformWithStateInPandas(NewestUrls(n), "feed string, url_md5 string, seq long", "append", "none")
+
+
+def history_of(spark, checkpoint, n=5000):
+    """(feed, url_md5, seq): the n last seen of each feed, from the state of a stopped or running stream_history_lru."""
+    state = spark.read.format("statestore").option("stateVarName", "seen").load(checkpoint)
+    held = state.select(F.col("key.feed").alias("feed"), F.col("user_map_key.url_md5").alias("url_md5"), F.col("user_map_value.seq").alias("seq"))
+    return topk_per_group(held, "feed", [F.desc("seq"), F.col("url_md5")], n).drop("rank")
+
+
+def stream_upsert_latest(stream, key="url", ts="ts", columns=("title", "body")):
+    """Changed rows (key, ts, columns): per key and column the latest filled value (an empty one only where none is filled).
+
+    The table is the state of a running aggregate; write it in update mode (upsert_changes). Each column carries the time of
+    its value, so a late arrival is judged by when its value was written, not by when the key was last seen: the result
+    does not depend on how rows are dealt into batches. Ties of time go to the greater value."""
+    held = lambda k: F.struct((text(k) != "").alias("filled"), F.col(ts).alias("at"), F.col(k).alias("value"))
+    best = stream.groupBy(key).agg(*[F.max(held(k)).alias(k) for k in columns], F.max(ts).alias(ts))
+    return best.select(key, ts, *[F.col(k)["value"].alias(k) for k in columns])
+
+
+def upsert_changes(changed, path):
+    """Writer of changed rows, a folder per batch; a repeated batch rewrites its own."""
+    return changed.writeStream.outputMode("update").foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(f"{path}/batch={i}"))
+
+
+def upserted(spark, path, key="url"):
+    """The table that the changes lead to: the last change of each key."""
+    d = spark.read.option("basePath", path).parquet(path)
+    rest = [k for k in d.columns if k not in (key, "batch")]
+    return d.groupBy(key).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(key, "r.*")
 
 
 def stream_score_enrich(stream, out_path, references=None, source="wechat"):

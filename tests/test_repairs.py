@@ -1,5 +1,7 @@
 """Operators on the cases that once went wrong: failing writes, late arrivals, equal rows, far requests."""
 
+import collections
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,10 +28,10 @@ def upserted(spark, tmp_path, name, batches):
     for k, batch in enumerate(batches):
         data = [("u", t, v) for t, v in batch]
         spark.createDataFrame(data, "url string, t long, title string").select("url", F.timestamp_seconds("t").alias("ts"), "title").coalesce(1).write.mode("append").parquet(str(source))
-    table = jobs.VersionedTable(spark, str(tmp_path / f"{name}-table"))
     stream = spark.readStream.schema(rows).option("maxFilesPerTrigger", 1).parquet(str(source))
-    jobs.run_available(jobs.stream_upsert_latest(stream, table, columns=("title",)), str(tmp_path / f"{name}-cp"))
-    r = table.read().first()
+    changes = str(tmp_path / f"{name}-changes")
+    jobs.run_available(jobs.upsert_changes(jobs.stream_upsert_latest(stream, columns=("title",)), changes), str(tmp_path / f"{name}-cp"))
+    r = jobs.upserted(spark, changes).first()
     return r.title, r.ts.timestamp()
 
 
@@ -40,6 +42,43 @@ def test_upsert_judges_late_values_by_their_time(spark, tmp_path):
     assert upserted(spark, tmp_path, "older", [[(9, "Z")], [(2, "A")]]) == ("Z", 9.0)
 
 
+def test_upsert_writes_changed_rows_only(spark, tmp_path):
+    source, kind = str(tmp_path / "in"), "url string, ts timestamp, title string"
+    for batch in ([("a", 1, "A"), ("b", 1, "B")], [("a", 2, "A2")], [("b", 0, "old"), ("c", 1, None)]):
+        spark.createDataFrame(batch, "url string, t long, title string").select("url", F.timestamp_seconds("t").alias("ts"), "title").coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(source)
+    jobs.run_available(jobs.upsert_changes(jobs.stream_upsert_latest(stream, columns=("title",)), str(tmp_path / "c")), str(tmp_path / "cp"))
+    sizes = spark.read.option("basePath", str(tmp_path / "c")).parquet(str(tmp_path / "c")).groupBy("batch").count().orderBy("batch").collect()
+    assert [r["count"] for r in sizes] == [2, 1, 2]
+    assert sorted((r.url, r.title) for r in jobs.upserted(spark, str(tmp_path / "c")).collect()) == [("a", "A2"), ("b", "B"), ("c", None)]
+
+
+def history(spark, tmp_path, name, batches, n):
+    source, kind = str(tmp_path / f"{name}-in"), "feed string, url string, seq long"
+    for batch in batches:
+        spark.createDataFrame(batch, kind).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(source)
+    with jobs.rocksdb_state(spark):
+        jobs.run_available(jobs.stream_history_lru(stream, n=n, buckets=2).writeStream.format("parquet").option("path", str(tmp_path / f"{name}-out")), str(tmp_path / f"{name}-cp"))
+    held = jobs.history_of(spark, str(tmp_path / f"{name}-cp"), n)
+    return sorted(map(tuple, held.collect())), sorted(map(tuple, spark.read.parquet(str(tmp_path / f"{name}-out")).collect()))
+
+
+def test_history_keeps_the_last_seen_however_rows_are_dealt(spark, tmp_path):
+    import hashlib
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    rows = [("f", f"u{(k * 7) % 23}", k) for k in range(60)] + [("g", "v", 100), ("g", "v", 101)]
+    last = {}
+    for feed, url, seq in rows:
+        last[feed, md5(url)] = seq
+    want = sorted((f, u, s) for f in "fg" for (_, u), s in sorted(((k, s) for k, s in last.items() if k[0] == f), key=lambda x: -x[1])[:4])
+    once, _ = history(spark, tmp_path, "once", [rows], 4)
+    many, fresh = history(spark, tmp_path, "many", [rows[:20], rows[20:25], rows[25:]], 4)
+    assert once == many == want
+    came = collections.Counter(u for f, u, _ in fresh if f == "f")
+    assert set(came) == {u for f, u in last if f == "f"} and max(came.values()) > 1  # evicted ones came anew
+
+
 def test_freshness_sees_a_change_in_equal_rows(spark):
     key = lambda x: tuple(retrieval.index_freshness(spark.createDataFrame([(1, x), (1, x)], "id long, text string")).first())
     assert key("a") != key("b") and key("a") == key("a")
