@@ -75,7 +75,7 @@ def q_decode(spark, sf):
     def gbk(batches):
         for pdf in batches:
             yield pdf[["doc_id"]].assign(content=[t.encode("gb18030") for t in pdf["t"]])
-    t = F.concat(F.lit("银行"), "title", "source")
+    t = F.concat(F.lit("银行"), "title", "source", "body")
     bad = d.filter("lang = 'de'").select("doc_id", t.alias("t")).mapInPandas(gbk, "doc_id long, content binary")
     good = d.filter("lang <> 'de'").select("doc_id", F.encode(F.concat(F.when(F.col("lang") == "fr", "﻿").otherwise(""), t), "utf-8").alias("content"))
     return rd.decode_fallback(good.unionByName(bad)).select("doc_id", F.col("text").alias("out"))
@@ -109,7 +109,7 @@ def q_rss(spark, sf):
     """Every file part is one well-formed feed."""
     d = notices(spark, sf)
     safe = lambda x: F.regexp_replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "")
-    item = F.concat(F.lit("<item><title>"), safe(F.concat(F.col("doc_id").cast("string"), F.lit(" "), "source")), F.lit("</title><link>"), "url", F.lit("</link><pubDate>"), "publish_time", F.lit("</pubDate><guid>"), F.col("doc_id").cast("string"), F.lit("</guid></item>"))
+    item = F.concat(F.lit("<item><title>"), safe(F.concat(F.col("doc_id").cast("string"), F.lit(" "), "source")), F.lit("</title><link>"), "url", F.lit("</link><pubDate>"), "publish_time", F.lit("</pubDate><description>"), safe(F.col("body")), F.lit("</description><guid>"), F.col("doc_id").cast("string"), F.lit("</guid></item>"))
 
     def feed(batches):
         yield pd.DataFrame({"value": ["<rss><channel>"]})
@@ -117,7 +117,7 @@ def q_rss(spark, sf):
             yield pdf[["value"]]
         yield pd.DataFrame({"value": ["</channel></rss>"]})
     path = staged_text(spark, sf, "rss", lambda: d.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id").select(item.alias("value")).mapInPandas(feed, "value string"))
-    return rd.read_rss_items(spark, path).select("title", "url", F.col("pub_date").alias("pub_date"), F.col("guid"))
+    return rd.read_rss_items(spark, path).select("title", "url", "pub_date", "guid", F.coalesce("description", F.lit("")).alias("description"))
 
 
 def q_kb(spark, sf):
@@ -250,14 +250,18 @@ def q_stats(spark, sf):
 
 
 def q_image(spark, sf):
+    """A header per bulletin: PNG, JPEG with two segments before its frame, extended WebP, GIF, by language."""
     d = notices(spark, sf)
-    w, h = F.col("n_chars").cast("int"), (F.col("doc_id") % 4000 + 1).cast("int")
-    x32 = lambda v: F.lpad(F.hex(v), 8, "0")
-    le = lambda v: F.concat(F.substring(F.lpad(F.hex(v % 65536), 4, "0"), 3, 2), F.substring(F.lpad(F.hex(v % 65536), 4, "0"), 1, 2))
-    png = F.unhex(F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), x32(w), x32(h), F.lit("08000000")))
-    gif = F.unhex(F.concat(F.lit("474946383961"), le(w), le(h), F.lit("00")))
-    m = rd.image_meta(d.select("doc_id", F.when(F.col("lang") == "en", png).otherwise(gif).alias("content")))
-    return m.select("doc_id", "format", "width", "height", F.col("bytes").cast("int").alias("bytes"))
+    w, h = (F.col("n_chars") % 65535 + 1).cast("int"), (F.col("doc_id") % 4000 + 1).cast("int")
+    hx = lambda v, n: F.lpad(F.hex(v), 2 * n, "0")
+    le = lambda v, n: F.concat(*[F.substring(hx(v, n), 2 * i + 1, 2) for i in reversed(range(n))])
+    png = F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), hx(w, 4), hx(h, 4), F.lit("0802000000"))
+    jpeg = F.concat(F.lit("FFD8FFE000104A46494600010100000100010000FFFFDB0004C0FFFFC2001108"), hx(h, 2), hx(w, 2), F.lit("03011100021100031100FFDA"))
+    webp = F.concat(F.lit("524946460000000057454250565038580A00000010000000"), le(w - 1, 3), le(h - 1, 3))
+    gif = F.concat(F.lit("474946383961"), le(w, 2), le(h, 2), F.lit("00"))
+    bytes_ = F.when(F.col("lang") == "en", png).when(F.col("lang") == "fr", jpeg).when(F.col("lang") == "de", webp).otherwise(gif)
+    m = rd.image_meta(d.select("doc_id", F.unhex(bytes_).alias("content")))
+    return m.select("doc_id", "format", "mode", "width", "height", F.col("bytes").cast("int").alias("bytes"))
 
 
 def q_tables(spark, sf):
@@ -275,10 +279,10 @@ ENTRIES = {
     "read_raw_articles": (q_raw, sql_over_notices("SELECT url, title, body AS text, author FROM notices")),
     "read_notices": (q_notices, sql_over_notices("SELECT title, url, body AS content, publish_time FROM notices")),
     "read_notice_api_json": (q_api, sql_over_notices(f"SELECT {TITLE_RULE(sql_strip('regexp_replace(title, ' + q(WS + '+') + ', ' + q(' ') + ', ' + q('g') + ')'))} AS title, replace(publish_time, '.', '-') AS date, 'https://x.example.com/contentDetail?id=' || doc_id || '&menuId=9999&listId=9999' AS link, source AS body FROM notices WHERE title <> '' AND publish_time <> ''")),
-    "decode_fallback": (q_decode, sql_over_notices("SELECT doc_id, '银行' || title || source AS out FROM notices")),
+    "decode_fallback": (q_decode, sql_over_notices("SELECT doc_id, '银行' || title || source || body AS out FROM notices")),
     "read_markdown_items": (q_md, sql_over_notices("", MD)),
     "read_front_matter": (q_fm, sql_over_notices(f"SELECT doc_id, {'regexp_replace(title, ' + q('[' + chr(10) + chr(34) + chr(39) + ']') + ', ' + q('') + ', ' + q('g') + ')'} AS title, publish_time AS date, lang || ',' || source AS tags, lang = 'es' AS draft FROM notices")),
-    "read_rss_items": (q_rss, sql_over_notices("SELECT doc_id || ' ' || source AS title, url, publish_time AS pub_date, doc_id::VARCHAR AS guid FROM notices")),
+    "read_rss_items": (q_rss, sql_over_notices("SELECT doc_id || ' ' || source AS title, url, publish_time AS pub_date, doc_id::VARCHAR AS guid, regexp_replace(regexp_replace(body, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g'), '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g') AS description FROM notices")),
     "read_kb": (q_kb, sql_over_notices("SELECT 'a' || doc_id AS id, source AS article_id, body AS text, title FROM notices")),
     "html_pages_to_text": (q_pages_text, SQL_PAGES),
     "html_article_fields": (q_fields, SQL_FIELDS),
@@ -289,6 +293,7 @@ ENTRIES = {
     "read_docx_tables": (q_docx_tables, sql_over_notices("SELECT doc_id::VARCHAR AS path, 0::BIGINT AS tbl, 0::BIGINT AS row, c::BIGINT AS cell, CASE c WHEN 0 THEN source ELSE doc_id::VARCHAR END AS text FROM notices, (VALUES (0), (1)) t(c)")),
     "read_docx_images": (q_docx_images, sql_over_notices("SELECT path, rid, substr(digest, 1, 12) || CASE rid WHEN 'rId2' THEN '.png' ELSE '.gif' END AS name, digest FROM (SELECT doc_id::VARCHAR AS path, 'rId2' AS rid, md5(unhex('89504e470d0a1a0a') || encode(title)) AS digest FROM notices UNION ALL SELECT doc_id::VARCHAR, 'rId3', md5('GIF89a' || source) FROM notices)")),
     "docx_stats": (q_stats, sql_over_notices("SELECT path, count(*) AS paragraphs, count(*) FILTER (starts_with(style, 'Heading')) AS heading, count(*) FILTER (style = 'ListBullet') AS listbullet, count(*) FILTER (style = 'normal') AS normal, 1::BIGINT AS tables, 2::BIGINT AS images FROM dp GROUP BY path", DOCX)),
-    "image_meta": (q_image, sql_over_notices("SELECT doc_id, CASE lang WHEN 'en' THEN 'PNG' ELSE 'GIF' END AS format, CASE lang WHEN 'en' THEN n_chars ELSE n_chars % 65536 END::INTEGER AS width, (doc_id % 4000 + 1)::INTEGER AS height, CASE lang WHEN 'en' THEN 28 ELSE 11 END::INTEGER AS bytes FROM notices")),
+    "image_meta": (q_image, sql_over_notices("SELECT doc_id, CASE lang WHEN 'en' THEN 'PNG' WHEN 'fr' THEN 'JPEG' WHEN 'de' THEN 'WEBP' ELSE 'GIF' END AS format, CASE lang WHEN 'en' THEN 'RGB' WHEN 'fr' THEN 'RGB' WHEN 'de' THEN 'RGBA' ELSE 'P' END AS mode, "
+                                             "(n_chars % 65535 + 1)::INTEGER AS width, (doc_id % 4000 + 1)::INTEGER AS height, CASE lang WHEN 'en' THEN 29 WHEN 'fr' THEN 48 WHEN 'de' THEN 30 ELSE 11 END::INTEGER AS bytes FROM notices")),
     "markdown_tables": (q_tables, sql_over_notices("", SQL_TABLES)),
 }

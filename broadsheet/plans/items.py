@@ -95,10 +95,14 @@ def articles_to_items(articles):
     return d.select(F.lit("wechat").alias("source"), "category", "bank", "title", "url", tx.strip_bracket_marks("body").alias("raw_text"), "images", F.map_filter("structured", lambda k, v: (v != "") & (v != "[]")).alias("structured"), "author", "publish_time")
 
 
-def notices_to_items(notices, since=None, until=None, low_value=lx.LOW_VALUE_NOTICE, year=None):
-    """Notice rows (title, url, content, bank, publish_time, category) to items: low-value and date filters, class, fields."""
-    n = gt.filter_low_value(notices, "title", "content", low_value)
-    n = n.withColumn("_day", fd.parse_date_multi("publish_time", year))
+def notices_to_items(notices, since=None, until=None, low_value=lx.LOW_VALUE_NOTICE, year=None, skips=None):
+    """Notice rows (title, url, content, bank, publish_time, category) to items: low-value and date filters, class, fields.
+
+    skips, an Observation, gets low_value and out_of_range: how many rows each filter drops, counted in the same pass."""
+    n = notices.withColumns({"_low": gt.is_low_value("title", "content", low_value), "_day": fd.parse_date_multi("publish_time", year)})
+    if skips is not None:
+        n = n.observe(skips, F.count_if("_low").alias("low_value"), F.count_if(~F.col("_low") & _outside("_day", since, until)).alias("out_of_range"))
+    n = n.filter(~F.col("_low")).drop("_low")
     n = gt.filter_date_range(n, "_day", since and F.lit(since).cast("timestamp"), until and F.lit(until).cast("timestamp")) if (since or until) else n
     raw = text(_column(notices, "category", F.lit("")))
     n = n.withColumns({"category": F.when(raw == "", lb.classify_3tier("title", "content")["category"]).otherwise(lb.normalize_category(raw)),
@@ -106,16 +110,13 @@ def notices_to_items(notices, since=None, until=None, low_value=lx.LOW_VALUE_NOT
     return n.select(F.lit("website").alias("source"), "category", "bank", "title", "url", F.col("content").alias("raw_text"), fd.build_structured_notice("category", "title", "content", "publish_time", "bank").alias("structured"), "publish_time")
 
 
-def notice_skips(notices, since=None, until=None, low_value=lx.LOW_VALUE_NOTICE):
-    """One row: how many notices the low-value and the date filter drop."""
-    low = gt.is_low_value("title", "content", low_value)
-    d = fd.parse_date_multi("publish_time")
+def _outside(day, since, until):
     out = F.lit(False)
     if since:
-        out = out | (d < F.lit(since).cast("timestamp"))
+        out = out | (F.col(day) < F.lit(since).cast("timestamp"))
     if until:
-        out = out | (d > F.lit(until).cast("timestamp"))
-    return notices.agg(F.count_if(low).alias("low_value"), F.count_if(~low & F.coalesce(out, F.lit(False))).alias("out_of_range"))
+        out = out | (F.col(day) > F.lit(until).cast("timestamp"))
+    return F.coalesce(out, F.lit(False))
 
 
 def scrape_rows_to_items(list_rows, details, since=None, until=None, strict=lx.STRICT_DATE_SOURCES, low_value=lx.LOW_VALUE_LIST):

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import lexicon as lx
-from ..functions.expr import c, first_filled, nz, strip, text
+from ..functions.expr import c, first_filled, lit_map, nz, strip, text
 from ..functions.fields import doc_meta_values, extract_comment, extract_date, extract_date_loose
 from ..functions.text import clean_title, strip_heading_prefix, title_key
 
@@ -148,12 +148,13 @@ RSS = "title string, link string, pubDate string, description string, guid strin
 
 
 def read_rss_items(spark, path, limit=None):
-    """(feed, pos, title, url, pub_date, description, guid, author): <item> rows, first `limit` per feed file."""
+    """(feed, title, url, pub_date, description, guid, author): <item> rows; with a limit the first so many per feed file, with their pos."""
     r = spark.read.format("xml").option("rowTag", "item").schema(RSS).load(path)
     r = r.select(F.input_file_name().alias("feed"), F.monotonically_increasing_id().alias("_i"), "title", F.col("link").alias("url"), F.col("pubDate").alias("pub_date"), "description", "guid", "author")
+    if not limit:
+        return r.drop("_i")
     w = W.partitionBy("feed").orderBy("_i")
-    out = r.withColumn("pos", F.row_number().over(w))
-    return (out.filter(F.col("pos") <= limit) if limit else out).drop("_i")
+    return r.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= limit).drop("_i")
 
 
 def read_kb(spark, path, multi_line=True):
@@ -261,15 +262,53 @@ def docx_stats(paragraphs, tables, images, file="path"):
 
 # ---- images ---------------------------------------------------------------------------
 
+JPEG_FRAMES = [f"C{k}" for k in "012356789ABDEF"]  # start-of-frame markers
+JPEG_BARE = ["01", "D8", *[f"D{k}" for k in range(8)]]  # markers without a length
+JPEG_ENDS = ["D9", "DA"]  # behind these come pixels, or nothing
+PNG_MODES, JPEG_MODES = {0: "L", 2: "RGB", 3: "P", 4: "LA", 6: "RGBA"}, {1: "L", 3: "RGB", 4: "CMYK"}
+
+
+def _jpeg(x):
+    """struct(width, height, parts) of the first frame: a walk over the segments, a step per possible marker."""
+    at_hex = lambda at, n: F.hex(F.substring(x, at, F.lit(n)))
+    be2 = lambda at: F.conv(at_hex(at, 2), 16, 10).cast("int")
+    start = F.struct(F.lit(1).alias("at"), F.lit(None).cast("int").alias("width"), F.lit(None).cast("int").alias("height"), F.lit(None).cast("int").alias("parts"), F.lit(False).alias("done"))
+
+    def step(s, _):
+        at = s["at"]
+        mark = at_hex(at + 1, 1)
+        frame, none = mark.isin(*JPEG_FRAMES), F.lit(None).cast("int")
+        size = F.when(mark == "FF", 1).when(mark.isin(*JPEG_BARE), 2).otherwise(2 + F.coalesce(be2(at + 2), F.lit(0)))
+        over = (at_hex(at, 1) != "FF") | frame | mark.isin(*JPEG_ENDS) | (at + 4 > F.octet_length(x))
+        return F.when(s["done"], s).otherwise(F.struct((at + size).alias("at"), F.when(frame, be2(at + 7)).otherwise(none).alias("width"), F.when(frame, be2(at + 5)).otherwise(none).alias("height"),
+                                                       F.when(frame, F.conv(at_hex(at + 9, 1), 16, 10).cast("int")).otherwise(none).alias("parts"), over.alias("done")))
+    # every segment starts with a byte FF; runs of F hold at least as many pairs as such bytes
+    markers = F.floor((2 * F.octet_length(x) - F.length(F.replace(F.hex(x), F.lit("FF"), F.lit("")))) / 2).cast("int")
+    return F.aggregate(F.sequence(F.lit(0), markers), start, step)
+
+
 def image_meta(df, content="content"):
-    """df plus format, width, height, bytes from the header bytes (PNG, GIF, BMP); no decoding."""
+    """df plus format, mode, width, height, bytes from the header bytes (PNG, GIF, BMP, JPEG, WebP); no decoding.
+
+    Unknown or cut content has format '' or null sizes; mode is null where the header does not tell."""
     x = c(content)
-    be = lambda at: F.conv(F.hex(F.substring(x, at, 4)), 16, 10).cast("int")
-    le = lambda at, n: F.conv(F.concat(*[F.hex(F.substring(x, at + i, 1)) for i in reversed(range(n))]), 16, 10).cast("int")
+    number = lambda h: F.conv(h, 16, 10).cast("int")
+    be = lambda at, n=4: number(F.hex(F.substring(x, at, n)))
+    le = lambda at, n: number(F.concat(*[F.hex(F.substring(x, at + i, 1)) for i in reversed(range(n))]))
     h = F.hex(F.substring(x, 1, 4))
-    kind = F.when(h == "89504E47", "PNG").when(h == "47494638", "GIF").when(F.startswith(h, F.lit("424D")), "BMP").when(F.startswith(h, F.lit("FFD8FF")), "JPEG").otherwise("")
-    return df.withColumns({"format": kind, "width": F.when(kind == "PNG", be(17)).when(kind == "GIF", le(7, 2)).when(kind == "BMP", le(19, 4)),
-                           "height": F.when(kind == "PNG", be(21)).when(kind == "GIF", le(9, 2)).when(kind == "BMP", le(23, 4)), "bytes": F.octet_length(x)})
+    webp = (h == "52494646") & (F.hex(F.substring(x, 9, 4)) == "57454250")
+    kind = F.when(h == "89504E47", "PNG").when(h == "47494638", "GIF").when(F.startswith(h, F.lit("424D")), "BMP").when(F.startswith(h, F.lit("FFD8FF")), "JPEG").when(webp, "WEBP").otherwise("")
+    chunk = F.substring(x, 13, 4).cast("string")  # VP8 lossy, VP8L lossless, VP8X extended
+    low14 = lambda v: v.bitwiseAND(F.lit(0x3FFF)).cast("int")
+    wide = F.when(chunk == "VP8 ", low14(le(27, 2))).when(chunk == "VP8L", low14(le(22, 2)) + 1).when(chunk == "VP8X", le(25, 3) + 1)
+    tall = F.when(chunk == "VP8 ", low14(le(29, 2))).when(chunk == "VP8L", F.shiftright(le(23, 3), 6).bitwiseAND(F.lit(0x3FFF)) + 1).when(chunk == "VP8X", le(28, 3) + 1)
+    alpha = F.when(chunk == "VP8 ", F.lit(False)).when(chunk == "VP8L", be(25, 1).bitwiseAND(F.lit(0x10)) > 0).when(chunk == "VP8X", be(21, 1).bitwiseAND(F.lit(0x10)) > 0)
+    out = df.withColumn("_j", F.when(kind == "JPEG", _jpeg(x)))
+    mode = F.when(kind == "PNG", F.try_element_at(lit_map(PNG_MODES), be(26, 1))).when(kind == "GIF", "P").when(kind == "JPEG", F.try_element_at(lit_map(JPEG_MODES), F.col("_j.parts"))).when(
+        kind == "WEBP", F.when(alpha, "RGBA").otherwise("RGB")).when(kind == "BMP", F.when(le(29, 2) == 24, "RGB").when(le(29, 2) == 32, "RGBA").when(le(29, 2) == 8, "P"))
+    out = out.withColumns({"format": kind, "mode": mode, "width": F.when(kind == "PNG", be(17)).when(kind == "GIF", le(7, 2)).when(kind == "BMP", le(19, 4)).when(kind == "JPEG", F.col("_j.width")).when(kind == "WEBP", wide),
+                           "height": F.when(kind == "PNG", be(21)).when(kind == "GIF", le(9, 2)).when(kind == "BMP", le(23, 4)).when(kind == "JPEG", F.col("_j.height")).when(kind == "WEBP", tall), "bytes": F.octet_length(x)})
+    return out.drop("_j")
 
 
 def read_image_meta(spark, path):

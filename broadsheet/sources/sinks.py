@@ -24,8 +24,11 @@ def write_batch_json(items, path, generated_at, version="1.0"):
 
 def batch_documents(items, generated_at, size=200, version="1.0"):
     """One JSON text per batch part {header, items[]}, at most `size` items each, for consumers of single documents."""
-    w = W.partitionBy("batch_label", F.pmod(F.xxhash64("item_id"), F.lit(64))).orderBy("item_id")
-    part = items.withColumn("_part", F.concat_ws("-", F.pmod(F.xxhash64("item_id"), F.lit(64)).cast("string"), F.floor((F.row_number().over(w) - 1) / size).cast("string")))
+    # parts are dealt by hash into groups of some 50 documents, however large a batch is
+    groups = items.groupBy("batch_label").agg(F.ceil(F.count(F.lit(1)) / (50 * size)).alias("_groups"))
+    d = items.join(groups, "batch_label").withColumn("_group", F.pmod(F.xxhash64("item_id"), F.col("_groups"))).drop("_groups")
+    w = W.partitionBy("batch_label", "_group").orderBy("item_id")
+    part = d.withColumn("_part", F.concat_ws("-", F.col("_group").cast("string"), F.floor((F.row_number().over(w) - 1) / size).cast("string"))).drop("_group")
     row = F.struct(*[k for k in items.columns if k != "batch_label"])
     g = part.groupBy("batch_label", "_part").agg(F.collect_list(row).alias("items"))
     return g.select(F.to_json(F.struct(F.lit(version).alias("schema_version"), F.lit(generated_at).alias("generated_at"), "batch_label", F.size("items").alias("total"), "items")).alias("value"))
