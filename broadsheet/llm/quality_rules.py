@@ -3,26 +3,29 @@
 Every document gets a few integer measures. Their distributions are kept as mergeable quantile sketches: counts per
 bucket, a bucket holding the values with the same six leading bits after the first (relative error under 1/64), at most
 some 3,700 buckets however many documents there are. Sketches add up, so those of a (language, source) give those of the
-language and of everything, which stand in where a group is too small to have a distribution of its own. A document is
-rejected where a measure lies outside the fences of its group: quartile plus or minus REACH times the quartile distance
-(a floor per measure keeps fences of narrow groups apart). The fences are joined to the documents by language and source.
+language and of everything.
+
+The fences of a group lie REACH times the distance from its median to its outer tenth beyond that tenth, on either side.
+(Tenths, because junk may be some hundredths of a group and must not set its own fence. A least distance per measure, about
+its rounding on a short text, counts where nine tenths have the same value.) Small groups have no sure tails, so
+fences are shrunk: a language's toward everything's, a source's toward its language's, with the weight of PRIOR documents.
+The fences are joined to the documents by language and source.
 
 Only built-in functions run here. Windows of words are compared by 64-bit hashes within one text.
 """
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from .frames import WORD_SPACE, body, col, free_name, written
 
-REACH, LEAST_DOCS, WINDOW = 3, 100, 8
-#: Measure: what it is, and the least quartile distance that its fences count with.
+REACH, PRIOR, WINDOW = 6, 200, 8
+#: Measure: what it is, and the least distance from median to tenth that its fences count with.
 MEASURES = {
-    "symbols": ("1000 * symbols / characters of words", 40),
-    "word_length": ("100 * characters of words / words", 100),
-    "dup_lines": ("1000 * repeated lines / lines with a word", 100),
-    "repeats": ("1000 * words in repeated windows / words", 70),
-    "capitals": ("1000 * letters A-Z / characters of words", 100),
+    "symbols": ("1000 * symbols / characters of words", 5),
+    "word_length": ("100 * characters of words / words", 5),
+    "dup_lines": ("1000 * repeated lines / lines with a word", 50),
+    "repeats": ("1000 * words in repeated windows / words", 35),
+    "capitals": ("1000 * letters A-Z / characters of words", 5),
 }
 TWO_SIDED = ("word_length",)
 SPACES = " \t\n\x0b\f\r"
@@ -95,28 +98,40 @@ def sketches(found, name, lang, source):
     return fine.unionByName(wide).unionByName(every)
 
 
+def tenth(buckets, all_, k):
+    """The k-th tenth of sorted (bucket, n): the first bucket up to which k of ten documents lie."""
+    none = F.lit(None).cast("long")
+    step = lambda s, x: F.struct((s["seen"] + x["n"]).alias("seen"), F.coalesce(s["at"], F.when((s["seen"] + x["n"]) * 10 >= all_ * k, x["bucket"])).alias("at"))
+    return F.aggregate(buckets, F.struct(F.lit(0).cast("long").alias("seen"), none.alias("at")), step, lambda s: s["at"])
+
+
 def fences(sketch, reach=REACH):
-    """Lower and upper fence of every group and measure: level, g_lang, g_source, measure, low, high, n."""
-    group = Window.partitionBy("level", "g_lang", "g_source", "measure")
-    seen = F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = sketch.withColumn("seen", seen).withColumn("all", F.sum("n").over(group))
-    quart = ranked.groupBy("level", "g_lang", "g_source", "measure").agg(
-        F.min(F.when(F.col("seen") * 4 >= F.col("all"), F.col("bucket"))).alias("q1"), F.min(F.when(F.col("seen") * 4 >= F.col("all") * 3, F.col("bucket"))).alias("q3"), F.max("all").alias("n"))
-    floor = F.create_map(*[F.lit(x) for m, (_, least) in MEASURES.items() for x in (m, least)])
-    spread = F.greatest(F.col("q3") - F.col("q1"), floor[F.col("measure")].cast("long"))
-    low = F.when(F.col("measure").isin(*TWO_SIDED), F.col("q1") - reach * spread)
-    return quart.select("level", "g_lang", "g_source", "measure", low.alias("low"), (F.col("q3") + reach * spread).alias("high"), "n")
-
-
-def group_fences(sketch, reach=REACH, least_docs=LEAST_DOCS):
-    """One row per (lang, source): its fences as a map, from the finest level that has least_docs documents."""
-    flat = fences(sketch, reach).groupBy("level", "g_lang", "g_source").agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("measure", F.struct("low", "high")))).alias("fence"))
-    none = F.lit(None).cast("string")
-    ways = F.explode(F.array(F.struct(F.lit(2).alias("l"), F.col("g_lang").alias("a"), F.col("g_source").alias("b")), F.struct(F.lit(1).alias("l"), F.col("g_lang").alias("a"), none.alias("b")), F.struct(F.lit(0).alias("l"), none.alias("a"), none.alias("b"))))
-    tried = flat.where("level = 2").select("g_lang", "g_source", ways.alias("way")).select(F.col("g_lang").alias("f_lang"), F.col("g_source").alias("f_source"), "way.*")
-    both = tried.join(flat, (F.col("l") == F.col("level")) & F.col("a").eqNullSafe(F.col("g_lang")) & F.col("b").eqNullSafe(F.col("g_source")))
-    enough = (F.col("n") >= least_docs) | (F.col("level") == 0)
-    return both.groupBy("f_lang", "f_source").agg(F.max_by("fence", F.when(enough, F.col("level"))).alias("fence"))
+    """Lower and upper fence of every group and measure: level, g_lang, g_source, measure, low, high, n.
+
+    A group's buckets fit into a row: some 3,700 at most."""
+    rows = sketch.groupBy("level", "g_lang", "g_source", "measure").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("buckets"))
+    rows = rows.select("level", "g_lang", "g_source", "measure", "n", *[tenth(F.col("buckets"), F.col("n"), k).alias(f"q{k}") for k in (1, 5, 9)])
+    least = F.create_map(*[F.lit(x) for m, (_, least) in MEASURES.items() for x in (m, least)])[F.col("measure")].cast("long")
+    low = F.when(F.col("measure").isin(*TWO_SIDED), F.col("q1") - reach * F.greatest(F.col("q5") - F.col("q1"), least))
+    high = F.col("q9") + reach * F.greatest(F.col("q9") - F.col("q5"), least)
+    return rows.select("level", "g_lang", "g_source", "measure", low.alias("low"), high.alias("high"), "n")
+
+
+def shrunk(own, n, wide, prior):
+    """The mean of two fences, own with the weight of its n documents, wide with that of prior ones, rounded down."""
+    both = n * own + prior * wide
+    return F.floor((both - F.pmod(both, n + prior)) / (n + prior))
+
+
+def group_fences(sketch, reach=REACH, prior=PRIOR):
+    """One row per (lang, source): its fences as a map of measure to (low, high)."""
+    flat = fences(sketch, reach)
+    of = lambda level, tag: flat.where(f"level = {level}").select(F.col("g_lang").alias(f"l{tag}"), F.col("measure").alias(f"m{tag}"), F.col("low").alias(f"low{tag}"), F.col("high").alias(f"high{tag}"), F.col("n").alias(f"n{tag}"))
+    wide = of(1, "1").join(of(0, "0").drop("l0", "n0"), F.col("m1") == F.col("m0"))
+    wide = wide.select("l1", "m1", *[shrunk(F.col(f"{k}1"), F.col("n1"), F.col(f"{k}0"), prior).alias(f"w_{k}") for k in ("low", "high")])
+    fine = flat.where("level = 2").join(wide, F.col("g_lang").eqNullSafe(F.col("l1")) & (F.col("measure") == F.col("m1")))
+    fine = fine.select("g_lang", "g_source", "measure", F.struct(*[shrunk(F.col(k), F.col("n"), F.col(f"w_{k}"), prior).alias(k) for k in ("low", "high")]).alias("fence"))
+    return fine.groupBy(F.col("g_lang").alias("f_lang"), F.col("g_source").alias("f_source")).agg(F.map_from_entries(F.collect_list(F.struct("measure", "fence"))).alias("fence"))
 
 
 def base_failed(f):
@@ -133,7 +148,7 @@ def inside(f, fence):
     return ok
 
 
-def judge(docs, text="text", lang="lang", source="source", carry=None, reach=REACH, least_docs=LEAST_DOCS):
+def judge(docs, text="text", lang="lang", source="source", carry=None, reach=REACH, prior=PRIOR):
     """The columns of carry (default: all of docs), a struct of features, base_failed and kept. Returns (frame, names).
 
     names gives the three new columns' names (changed where docs has them already). The features are written once, with
@@ -145,7 +160,7 @@ def judge(docs, text="text", lang="lang", source="source", carry=None, reach=REA
     q, failed, kept = (free_name(docs, n) for n in ("quality", "base_failed", "kept"))
     need = list(dict.fromkeys([*carry, lang, source]))
     found = written(with_features(docs, text, need, q), "quality")
-    limits = written(group_fences(sketches(found, q, lang, source), reach, least_docs), "fences")
+    limits = written(group_fences(sketches(found, q, lang, source), reach, prior), "fences")
     f = col(q)
     joined = found.join(limits, col(lang).eqNullSafe(F.col("f_lang")) & col(source).eqNullSafe(F.col("f_source")), "left")
     verdict = ~base_failed(f) & inside(f, F.col("fence"))

@@ -23,14 +23,16 @@ m AS (SELECT rid, lang, source, base_failed, 'symbols' AS measure, CASE WHEN wor
       UNION ALL SELECT rid, lang, source, base_failed, 'capitals', CASE WHEN word_chars > 0 THEN 1000 * n_capitals // word_chars END FROM b),
 s AS (SELECT lang, source, measure, v - v % (1::BIGINT << greatest(length(bin(v)) - 7, 0)::INT) AS bucket FROM m WHERE NOT base_failed AND v IS NOT NULL),
 lv AS (SELECT 2 AS level, lang, source, measure, bucket FROM s UNION ALL SELECT 1, lang, NULL, measure, bucket FROM s UNION ALL SELECT 0, NULL, NULL, measure, bucket FROM s),
-q AS (SELECT level, lang, source, measure, quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.75) AS q3, count(*) AS n FROM lv GROUP BY ALL),
+bn AS (SELECT level, lang, source, measure, bucket, count(*) AS n FROM lv GROUP BY ALL),
+bc AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bucket) AS seen, sum(n) OVER (PARTITION BY level, lang, source, measure) AS al FROM bn),
+q AS (SELECT level, lang, source, measure, {', '.join(f'min(bucket) FILTER (seen * 10 >= al * {k}) AS q{k}' for k in (1, 5, 9))}, any_value(al)::BIGINT AS n FROM bc GROUP BY ALL),
 fl (measure, least, two) AS (VALUES {', '.join(f"('{m}', {least}, {m in quality_rules.TWO_SIDED})" for m, (_, least) in quality_rules.MEASURES.items())}),
-fe AS (SELECT level, lang, source, q.measure, CASE WHEN two THEN q1 - {quality_rules.REACH} * greatest(q3 - q1, least) END AS low, q3 + {quality_rules.REACH} * greatest(q3 - q1, least) AS high, max(n) OVER (PARTITION BY level, lang, source) AS n FROM q JOIN fl USING (measure)),
-bad AS (SELECT DISTINCT m.rid FROM m
-      LEFT JOIN fe f2 ON f2.level = 2 AND f2.measure = m.measure AND f2.lang IS NOT DISTINCT FROM m.lang AND f2.source IS NOT DISTINCT FROM m.source AND f2.n >= {quality_rules.LEAST_DOCS}
-      LEFT JOIN fe f1 ON f1.level = 1 AND f1.measure = m.measure AND f1.lang IS NOT DISTINCT FROM m.lang AND f1.n >= {quality_rules.LEAST_DOCS}
-      LEFT JOIN fe f0 ON f0.level = 0 AND f0.measure = m.measure
-      WHERE m.v > coalesce(f2.high, f1.high, f0.high) OR m.v < coalesce(f2.low, f1.low, f0.low))
+fe AS (SELECT level, lang, source, q.measure, CASE WHEN two THEN q1 - {quality_rules.REACH} * greatest(q5 - q1, least) END AS low, q9 + {quality_rules.REACH} * greatest(q9 - q5, least) AS high, n FROM q JOIN fl USING (measure)),
+f1 AS (SELECT a.lang, a.measure, floor((a.n * a.low + {quality_rules.PRIOR} * b.low) / (a.n + {quality_rules.PRIOR})) AS low, floor((a.n * a.high + {quality_rules.PRIOR} * b.high) / (a.n + {quality_rules.PRIOR})) AS high
+      FROM fe a JOIN fe b ON a.level = 1 AND b.level = 0 AND a.measure = b.measure),
+f2 AS (SELECT a.lang, a.source, a.measure, floor((a.n * a.low + {quality_rules.PRIOR} * b.low) / (a.n + {quality_rules.PRIOR})) AS low, floor((a.n * a.high + {quality_rules.PRIOR} * b.high) / (a.n + {quality_rules.PRIOR})) AS high
+      FROM fe a JOIN f1 b ON a.level = 2 AND a.measure = b.measure AND a.lang IS NOT DISTINCT FROM b.lang),
+bad AS (SELECT DISTINCT m.rid FROM m JOIN f2 ON f2.measure = m.measure AND f2.lang IS NOT DISTINCT FROM m.lang AND f2.source IS NOT DISTINCT FROM m.source WHERE m.v > f2.high OR m.v < f2.low)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rid NOT IN (SELECT rid FROM bad) AS kept FROM b
 """
 
