@@ -5,14 +5,15 @@
    with the word behind.
 2. Distinct (pattern, instance) pairs form a graph. Base instances are seeds of confidence 1. In each round Spark scores
    patterns by the confidence of their instances of one kind over all their instances, keeps those with enough support
-   and precision, and scores unknown instances by the patterns that point at them (noisy or). Accepted instances count in
-   the next round.
+   and precision, and scores unknown instances by the patterns that point at them (noisy or). Accepted instances stay and
+   count in the next rounds, until a round accepts nothing new.
 3. Every mention of an accepted instance becomes a span of that kind. Base spans stay as they are.
 
 All of step 2 works on counts of distinct pairs, aggregated before they are shuffled: a word that stands before a third
 of all identifiers is one pattern with a large count.
 """
 
+import hashlib
 import re
 
 import pyarrow as pa
@@ -22,8 +23,8 @@ from pyspark.sql import types as T
 from .frames import body, col, free_name, release, written
 
 KINDS = ("email", "ip", "card", "phone")
-SUPPORT, PRECISION, ACCEPT, ROUNDS = 5, 0.8, 0.8, 3
-#: Longer runs are data, not identifiers (base spans have no such bound); context is looked for this near.
+SUPPORT, PRECISION, ACCEPT = 5, 0.8, 0.8
+#: Longer instances go by their length and digest in the graph; context is looked for this near.
 LONGEST, NEAR = 128, 80
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -86,9 +87,14 @@ def patterns(text, start, end):
     return [*out, f"{before[-1]}<>{behind[0].lower()}"] if before and behind else out
 
 
+def name_of(run):
+    """What an instance is called in the graph."""
+    return run if len(run) <= LONGEST else f"{len(run)}:{hashlib.sha256(run.encode()).hexdigest()}"
+
+
 def mentions(text, spans):
-    """Base spans and other identifier-shaped runs with their patterns."""
-    found = [(s, e, text[s:e], k, patterns(text, s, e)) for k, s, e in spans if e - s <= LONGEST]
+    """Base spans and other identifier-shaped runs, of any length, with their patterns."""
+    found = [(s, e, name_of(text[s:e]), k, patterns(text, s, e)) for k, s, e in spans]
     taken = sorted((s, e) for _, s, e in spans)
     k = 0
     for m in SHAPED.finditer(text):
@@ -96,8 +102,8 @@ def mentions(text, spans):
         while k < len(taken) and taken[k][1] <= start:
             k += 1
         clear = k == len(taken) or taken[k][0] >= end
-        if clear and 4 <= end - start <= LONGEST and ("@" in m[0] or len(DIGIT.findall(m[0])) >= 4):
-            found.append((start, end, text[start:end], None, patterns(text, start, end)))
+        if clear and end > start and ("@" in m[0] or len(DIGIT.findall(m[0])) >= 4):
+            found.append((start, end, name_of(text[start:end]), None, patterns(text, start, end)))
     return found
 
 
@@ -117,24 +123,29 @@ def found_in(texts: pa.Array) -> pa.Array:
     return pa.array(rows, kind)
 
 
-def learned(each, support=SUPPORT, precision=PRECISION, accept=ACCEPT, rounds=ROUNDS):
-    """(instance, kind) of the unseen identifiers that the pattern graph supports; each: (instance, kind, patterns)."""
+def learned(each, support=SUPPORT, precision=PRECISION, accept=ACCEPT):
+    """(instance, kind) of the unseen identifiers that the pattern graph supports; each: (instance, kind, patterns).
+
+    An instance keeps the kind and trust it is accepted with, so every round but the last adds some: the loop ends. Of two
+    kinds with equal trust the later by name is taken."""
     edges = written(each.select("instance", "kind", F.explode("patterns").alias("pattern")).groupBy("pattern", "instance").agg(F.min("kind").alias("kind")), "edges")
-    seeds = edges.where("kind is not null").select("instance", "kind", F.lit(1.0).alias("trust")).groupBy("instance").agg(F.min("kind").alias("kind"), F.max("trust").alias("trust"))
+    seeds = edges.where("kind is not null").groupBy("instance").agg(F.min("kind").alias("kind"), F.lit(1.0).alias("trust"))
     known = seeds = written(seeds, "seeds")
-    for _ in range(rounds):
+    while True:
         scored = edges.select("pattern", "instance").join(known, "instance", "left")
         of_kind = [F.sum(F.when(F.col("kind") == k, F.col("trust"))).alias(k) for k in KINDS]
         counts = [F.count(F.when(F.col("kind") == k, 1)).alias("n_" + k) for k in KINDS]
         per = scored.groupBy("pattern").agg(F.count("*").alias("n"), *of_kind, *counts)
         best = F.greatest(*[F.when(F.col("n_" + k) >= support, F.struct((F.col(k) / F.col("n")).alias("score"), F.lit(k).alias("kind"))) for k in KINDS])
         good = written(per.select("pattern", best.alias("best")).where(F.col("best.score") >= precision).select("pattern", "best.score", "best.kind"), "patterns")
-        reached = edges.join(seeds, "instance", "left_anti").join(good.withColumnRenamed("kind", "as_kind"), "pattern")
+        reached = edges.select("pattern", "instance").join(known, "instance", "left_anti").join(good.withColumnRenamed("kind", "as_kind"), "pattern")
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-3)))))
         votes = reached.groupBy("instance", "as_kind").agg((1 - doubt).alias("trust"))
         top = votes.groupBy("instance").agg(F.max(F.struct("trust", F.col("as_kind").alias("kind"))).alias("top")).select("instance", "top.kind", "top.trust").where(F.col("trust") >= accept)
-        known = written(seeds.unionByName(top), "known")
-    return known.join(seeds, "instance", "left_anti").select("instance", "kind")
+        new = written(top, "accepted")
+        if new.isEmpty():
+            return known.join(seeds, "instance", "left_anti").select("instance", "kind")
+        known = written(known.unionByName(new), "known")
 
 
 def find(docs, text="text", carry=None):
