@@ -240,15 +240,23 @@ def first_sentence(x, markers=lx.SENTENCE_MARKERS):
     return strip(F.regexp_replace(s, r"^(尊敬的客户[：:]?|您好[！!]?|感谢您[^，,]*[，,]?)\s*", ""))
 
 
-def extract_change(x):
-    """'from ... to ...' wording by pattern order, else the first sentence.
+def _first_window(t, core, pattern, before=30, reach=140):
+    """Group 1 of the leftmost match of pattern, '' without one. pattern is up to `before` characters and then core.
 
-    A pattern is tried only on texts that hold the words it needs, which spares most texts the costly scan.
-    """
+    The first place where core matches is looked for from its literal on; the leftmost match starts at most `before`
+    characters ahead of it and ends within `reach`, so pattern runs on this window only: linear in the text."""
+    ahead = F.length(F.regexp_replace(t, f"(?s)(?:{core}).*$", ""))
+    window = let(ahead, lambda n: F.when(n < F.length(t), F.substring(t, F.greatest(F.lit(1), n + 1 - before), F.lit(reach))).otherwise(""))
+    return F.regexp_extract(window, pattern, 1)
+
+
+def extract_change(x):
+    """'from ... to ...' wording by pattern order, else the first sentence; only texts with the words are searched."""
     needs = [lambda t: has(t, "由") & has(t, "调整为"), lambda t: has(t, "从") & has(t, "调整为"), lambda t: has(t, "调整为"), lambda t: F.lit(True)]
 
     def body(t):
-        hit = F.coalesce(*[F.when(need(t), nz(F.regexp_extract(t, p, 1))) for need, p in zip(needs, lx.CHANGE_PATTERNS)], F.lit(""))
+        found = zip(needs, lx.CHANGE_CORES, lx.CHANGE_PATTERNS)
+        hit = F.coalesce(*[F.when(need(t), nz(_first_window(t, core, p))) for need, core, p in found], F.lit(""))
         return first_filled(collapse_ws(hit), first_sentence(t))
     return let(collapse_ws(x), body)
 

@@ -303,6 +303,8 @@ CHANGE_PATTERNS = [
     r"([^。；]{0,30}调整为[^。；]{1,40})",
     r"([^。；]{0,30}(?:取消|新增|下调|上调|优化|升级|缩减|变更)[^。；]{1,40})",
 ]
+# what each of them must contain behind its opening
+CHANGE_CORES = [r"由[^。；]{1,30}调整为[^。；]", r"从[^。；]{1,30}调整为[^。；]", r"调整为[^。；]", r"(?:取消|新增|下调|上调|优化|升级|缩减|变更)[^。；]"]
 ACTIVITY_PATTERNS = [
     r"((?:满|消费满)[^。；]{1,30}(?:减|返|立减|赠|抽|免|享)[^。；]{1,30})",
     r"((?:可享|即有机会享受|有机会享受)[^。；]{1,40})",

@@ -34,12 +34,19 @@ def topic_starts(blocks):
 
 
 def _terms(t):
-    """struct(branded, plain, acts): candidate card and activity names of a text."""
+    """struct(has_brand, branded, plain, acts): candidate card and activity names of a text.
+
+    The open-ended scans run only on texts that hold a word which every one of their matches needs."""
     drop = lambda ks: F.filter(ks, lambda k: ~k.isin("扫码申卡", "主题信用卡", "信用卡", "银行卡", "借记卡") & ~has_any(k, ["扫码", "主题"]))
-    raw = F.regexp_extract_all(t, F.lit(r"(?:Visa|MasterCard|银联|JCB|美国运通)[^\s，。]{0,6}(?:卡|版)"), 0)
-    acts = F.filter(F.regexp_extract_all(t, F.lit(r"[^\s，。]{2,6}(?:活动|优惠|返现|赠)"), 0), lambda a: F.length(rstrip_set(a, "活动优惠返现赠")) >= 2)
-    return F.struct((F.size(raw) > 0).alias("has_brand"), drop(raw).alias("branded"),
-                    drop(F.regexp_extract_all(t, F.lit(r"[^\s，。]{4,10}(?:卡|版)"), 0)).alias("plain"), acts.alias("acts"))
+    scan = lambda p, words: F.when(has_any(t, words), F.regexp_extract_all(t, F.lit(p), 0)).otherwise(F.array().cast("array<string>"))
+    raw = scan(r"(?:Visa|MasterCard|银联|JCB|美国运通)[^\s，。]{0,6}(?:卡|版)", ["Visa", "MasterCard", "银联", "JCB", "美国运通"])
+    acts = F.filter(scan(r"[^\s，。]{2,6}(?:活动|优惠|返现|赠)", ["活动", "优惠", "返现", "赠"]), lambda a: F.length(rstrip_set(a, "活动优惠返现赠")) >= 2)
+    return F.struct((F.size(raw) > 0).alias("has_brand"), drop(raw).alias("branded"), drop(scan(r"[^\s，。]{4,10}(?:卡|版)", ["卡", "版"])).alias("plain"), acts.alias("acts"))
+
+
+def _bits(t, words):
+    """A bit per word that occurs."""
+    return reduce(lambda x, y: x + y, [F.when(has(t, k), 1 << i).otherwise(0) for i, k in enumerate(words)])
 
 
 STRONG = ["multiple_numbered_headings", "repeated_activity_templates", "multiple_distinct_topics", "multiple_independent_sections"]
@@ -54,25 +61,25 @@ def multi_topic_signals(blocks):
     w = W.partitionBy("article_id").orderBy("pos")
     t = strip(text("text"))
     fields = sorted({f for g in lx.TEMPLATE_GROUPS for f in g})
-    b = blocks.select("article_id", "pos", "type", t.alias("text"), numbered_prefix(t).alias("numbered"), (c("is_heading_like") | numbered_prefix(t)).alias("heading"), _terms(t).alias("n"))
+    image = F.startswith("type", F.lit("image")) & (F.col("type") != "image_cta")
+    # flags, bits and terms are shuffled, texts are not
+    b = blocks.select("article_id", "pos", numbered_prefix(t).alias("numbered"), (c("is_heading_like") | numbered_prefix(t)).alias("heading"), (t != "").alias("filled"), image.alias("image"),
+                      ((F.col("type") == "article_text") & (t != "")).alias("words"), F.when(F.col("type").isin(*lx.FACT_TYPES), _bits(t, fields)).otherwise(0).alias("fields"), _bits(t, lx.TOPIC_ACTIONS).alias("actions"), _terms(t).alias("n"))
     b = b.withColumn("terms", F.array_union(F.when(F.col("n.has_brand"), F.col("n.branded")).otherwise(F.col("n.plain")), F.col("n.acts")))
     n_before = F.coalesce(F.sum(F.col("heading").cast("int")).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    filled = F.when(F.col("text") != "", F.col("terms"))
-    prev = F.last(filled, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
+    prev = F.last(F.when(F.col("filled"), F.col("terms")), ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
     b = b.withColumns({"section": F.sum(F.col("heading").cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)), "before": n_before, "prev": prev})
-    fact = F.col("type").isin(*lx.FACT_TYPES)
-    image = F.startswith("type", F.lit("image")) & (F.col("type") != "image_cta")
-    b = b.withColumn("switch", (F.col("text") != "") & (F.size("terms") > 0) & (F.coalesce(F.size("prev"), F.lit(0)) > 0) & ~F.coalesce(F.arrays_overlap("terms", "prev"), F.lit(True)))
-    sec = b.groupBy("article_id", "section").agg(*[F.bool_or(fact & has(F.col("text"), f)).alias(f"f{i}") for i, f in enumerate(fields)])
-    group_hit = reduce(lambda x, y: x | y, [reduce(lambda p, r: p + r, [F.col(f"f{fields.index(f)}").cast("int") for f in g]) >= 2 for g in lx.TEMPLATE_GROUPS])
+    b = b.withColumn("switch", F.col("filled") & (F.size("terms") > 0) & (F.coalesce(F.size("prev"), F.lit(0)) > 0) & ~F.coalesce(F.arrays_overlap("terms", "prev"), F.lit(True)))
+    sec = b.groupBy("article_id", "section").agg(F.bit_or("fields").alias("fields"))
+    group_hit = reduce(lambda x, y: x | y, [F.bit_count(F.col("fields").bitwiseAND(F.lit(sum(1 << fields.index(f) for f in g)))) >= 2 for g in lx.TEMPLATE_GROUPS])
     sec = sec.groupBy("article_id").agg(F.count_if(group_hit).alias("templates"))
-    seq = b.groupBy("article_id", "before").agg(F.bool_or(image).alias("img"), F.bool_or((F.col("type") == "article_text") & (F.col("text") != "")).alias("txt"))
+    seq = b.groupBy("article_id", "before").agg(F.bool_or("image").alias("img"), F.bool_or("words").alias("txt"))
     seq = seq.filter("before >= 1").groupBy("article_id").agg(F.count_if(F.col("img") & F.col("txt")).alias("sequences"))
     merged = lambda k: F.array_distinct(F.flatten(F.collect_list(k)))
     a = b.groupBy("article_id").agg(
         F.count_if("numbered").alias("numbered"), F.count_if("heading").alias("headings"), merged(F.when(F.col("heading"), F.col("terms"))).alias("head_terms"),
         F.bool_or("n.has_brand").alias("brand"), merged("n.branded").alias("branded"), merged("n.plain").alias("plain"), merged("n.acts").alias("acts"),
-        sum([F.bool_or(has(F.col("text"), k)).cast("int") for k in lx.TOPIC_ACTIONS], F.lit(0)).alias("actions"), F.count_if("switch").alias("switches"))
+        F.bit_count(F.bit_or("actions")).alias("actions"), F.count_if("switch").alias("switches"))
     a = a.join(sec, "article_id", "left").join(seq, "article_id", "left")
     names = F.array_union(F.when(F.col("brand"), F.col("branded")).otherwise(F.col("plain")), F.col("acts"))
     a = a.withColumn("names", names)
