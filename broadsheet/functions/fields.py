@@ -181,14 +181,6 @@ def parse_date_multi(x, year=None):
     return let(t, body)
 
 
-DAY_PATTERNS = [
-    r"(\d{4})[-/](\d{1,2})[-/](\d{1,2})",
-    r"(\d{4})年(\d{1,2})月(\d{1,2})日?",
-    r"(\d{4})\.(\d{1,2})\.(\d{1,2})",
-    r"(?:news[_-])?(\d{2})(\d{2})(\d{2})\.(?:shtml|html)(?:$|[?#])",
-]
-
-
 def extract_date(x, last=False):
     """yyyy-MM-dd of the first date (by pattern order) or of the last one (by position)."""
     def iso(s, pat, at):
@@ -197,8 +189,8 @@ def extract_date(x, last=False):
         p2 = lambda i: F.lpad(F.regexp_extract(s, pat, i).cast("int").cast("string"), 2, "0")
         return F.concat_ws("-", y, p2(at + 1), p2(at + 2))
     if not last:
-        return let(text(x), lambda s: F.coalesce(*[F.when(F.rlike(s, F.lit(p)), iso(s, p, 1)) for p in DAY_PATTERNS], F.lit("")))
-    tails = [f"(?s)^(.*){p}" for p in DAY_PATTERNS]
+        return let(text(x), lambda s: F.coalesce(*[F.when(F.rlike(s, F.lit(p)), iso(s, p, 1)) for p in lx.DAY_PATTERNS], F.lit("")))
+    tails = [f"(?s)^(.*){p}" for p in lx.DAY_PATTERNS]
     return let(text(x), lambda s: F.coalesce(F.array_max(F.array_compact(F.array(*[
         F.when(F.rlike(s, F.lit(p)), F.struct(F.length(F.regexp_extract(s, p, 1)).alias("at"), F.lit(-i).alias("o"), iso(s, p, 2).alias("day")))
         for i, p in enumerate(tails)])))["day"], F.lit("")))
@@ -478,14 +470,17 @@ def numbered_prefix(x):
     return F.rlike(text(x), F.lit(lx.NUMBERED_PREFIX))
 
 
+def term_names(t):
+    """struct(has_brand, branded, plain, acts): candidate card and activity names of a text.
+
+    The open-ended scans run only on texts that hold a word which every one of their matches needs."""
+    card = lambda ks: F.filter(ks, lambda k: ~k.isin(*lx.NOT_CARD_NAMES) & ~has_any(k, lx.NOT_IN_CARD_NAMES))
+    scan = lambda p, words: F.when(has_any(t, words), F.regexp_extract_all(t, F.lit(p), 0)).otherwise(F.array().cast("array<string>"))
+    branded = scan(lx.BRANDED_CARD, lx.CARD_BRANDS)
+    acts = F.filter(scan(lx.NAMED_ACTIVITY, lx.ACTIVITY_ENDS), lambda a: F.length(rstrip_set(a, lx.ACTIVITY_END_CHARS)) >= 2)
+    return F.struct((F.size(branded) > 0).alias("has_brand"), card(branded).alias("branded"), card(scan(lx.PLAIN_CARD, lx.CARD_ENDS)).alias("plain"), acts.alias("acts"))
+
+
 def named_terms(x):
-    """Distinct card and activity names in the text, noise words left out."""
-    def body(t):
-        branded = F.regexp_extract_all(t, F.lit(r"(?:Visa|MasterCard|银联|JCB|美国运通)[^\s，。]{0,6}(?:卡|版)"), 0)
-        plain = F.regexp_extract_all(t, F.lit(r"[^\s，。]{4,10}(?:卡|版)"), 0)
-        cards = let(branded, lambda b: F.when(F.size(b) > 0, b).otherwise(plain))
-        cards = F.filter(cards, lambda k: ~k.isin("扫码申卡", "主题信用卡", "信用卡", "银行卡", "借记卡") & ~has_any(k, ["扫码", "主题"]))
-        acts = F.filter(F.regexp_extract_all(t, F.lit(r"[^\s，。]{2,6}(?:活动|优惠|返现|赠)"), 0),
-                        lambda a: F.length(rstrip_set(a, "活动优惠返现赠")) >= 2)
-        return F.array_union(cards, acts)
-    return let(text(x), body)
+    """Distinct card and activity names in the text, noise words left out; plain cards only where none carries a brand."""
+    return let(term_names(text(x)), lambda n: F.array_union(F.when(n["has_brand"], n["branded"]).otherwise(n["plain"]), n["acts"]))

@@ -415,3 +415,24 @@ LOW_VALUE_LIST = [
     "暂停服务公告", "临时暂停服务",
     "暂停服务", "服务暂停", "临时暂停", "暂停办理",
 ]
+
+# ---- fixed values: field labels, days in texts, names of cards and activities ------
+FIELD_NAMES = [
+    "活动内容", "活动时间", "适用人群", "卡种", "卡亮点", "详情", "来源", "消息时间", "影响范围", "变更内容", "变更分析", "消息内容", "点评",
+    "卡组织", "发卡银行", "年费标准", "有效期限", "原文链接", "发布时间", "作者", "银行", "标题", "关键信息",
+]
+DAY_PATTERNS = [
+    r"(\d{4})[-/](\d{1,2})[-/](\d{1,2})",
+    r"(\d{4})年(\d{1,2})月(\d{1,2})日?",
+    r"(\d{4})\.(\d{1,2})\.(\d{1,2})",
+    r"(?:news[_-])?(\d{2})(\d{2})(\d{2})\.(?:shtml|html)(?:$|[?#])",
+]
+CARD_BRANDS = ["Visa", "MasterCard", "银联", "JCB", "美国运通"]
+BRANDED_CARD = r"(?:Visa|MasterCard|银联|JCB|美国运通)[^\s，。]{0,6}(?:卡|版)"
+PLAIN_CARD = r"[^\s，。]{4,10}(?:卡|版)"
+CARD_ENDS = ["卡", "版"]
+NAMED_ACTIVITY = r"[^\s，。]{2,6}(?:活动|优惠|返现|赠)"
+ACTIVITY_ENDS = ["活动", "优惠", "返现", "赠"]
+ACTIVITY_END_CHARS = "活动优惠返现赠"
+NOT_CARD_NAMES = ["扫码申卡", "主题信用卡", "信用卡", "银行卡", "借记卡"]
+NOT_IN_CARD_NAMES = ["扫码", "主题"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import lexicon as lx
 from ..functions.expr import any_of, c, case, count_hits, first_filled, has, has_any, head, hits, let, lines, nz, quote, rstrip_set, strip, text
-from ..functions.fields import extract_kv_fields, numbered_prefix
+from ..functions.fields import extract_kv_fields, numbered_prefix, term_names
 from ..functions.gates import item_gate
 from ..functions.labels import categorize_heading, classify_paragraph, first_entity_regex, guess_topic_type
 from ..functions.text import strip_heading_prefix
@@ -33,17 +33,6 @@ def topic_starts(blocks):
     return blocks.withColumn("is_start", topic_start("text", "is_heading_like"))
 
 
-def _terms(t):
-    """struct(has_brand, branded, plain, acts): candidate card and activity names of a text.
-
-    The open-ended scans run only on texts that hold a word which every one of their matches needs."""
-    drop = lambda ks: F.filter(ks, lambda k: ~k.isin("扫码申卡", "主题信用卡", "信用卡", "银行卡", "借记卡") & ~has_any(k, ["扫码", "主题"]))
-    scan = lambda p, words: F.when(has_any(t, words), F.regexp_extract_all(t, F.lit(p), 0)).otherwise(F.array().cast("array<string>"))
-    raw = scan(r"(?:Visa|MasterCard|银联|JCB|美国运通)[^\s，。]{0,6}(?:卡|版)", ["Visa", "MasterCard", "银联", "JCB", "美国运通"])
-    acts = F.filter(scan(r"[^\s，。]{2,6}(?:活动|优惠|返现|赠)", ["活动", "优惠", "返现", "赠"]), lambda a: F.length(rstrip_set(a, "活动优惠返现赠")) >= 2)
-    return F.struct((F.size(raw) > 0).alias("has_brand"), drop(raw).alias("branded"), drop(scan(r"[^\s，。]{4,10}(?:卡|版)", ["卡", "版"])).alias("plain"), acts.alias("acts"))
-
-
 def _bits(t, words):
     """A bit per word that occurs."""
     return reduce(lambda x, y: x + y, [F.when(has(t, k), 1 << i).otherwise(0) for i, k in enumerate(words)])
@@ -64,7 +53,7 @@ def multi_topic_signals(blocks):
     image = F.startswith("type", F.lit("image")) & (F.col("type") != "image_cta")
     # flags, bits and terms are shuffled, texts are not
     b = blocks.select("article_id", "pos", numbered_prefix(t).alias("numbered"), (c("is_heading_like") | numbered_prefix(t)).alias("heading"), (t != "").alias("filled"), image.alias("image"),
-                      ((F.col("type") == "article_text") & (t != "")).alias("words"), F.when(F.col("type").isin(*lx.FACT_TYPES), _bits(t, fields)).otherwise(0).alias("fields"), _bits(t, lx.TOPIC_ACTIONS).alias("actions"), _terms(t).alias("n"))
+                      ((F.col("type") == "article_text") & (t != "")).alias("words"), F.when(F.col("type").isin(*lx.FACT_TYPES), _bits(t, fields)).otherwise(0).alias("fields"), _bits(t, lx.TOPIC_ACTIONS).alias("actions"), term_names(t).alias("n"))
     b = b.withColumn("terms", F.array_union(F.when(F.col("n.has_brand"), F.col("n.branded")).otherwise(F.col("n.plain")), F.col("n.acts")))
     n_before = F.coalesce(F.sum(F.col("heading").cast("int")).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     prev = F.last(F.when(F.col("filled"), F.col("terms")), ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
@@ -224,15 +213,10 @@ def split_raw_text(df, id_col="doc_id", text_col="text"):
 
 # ---- paragraph tables -------------------------------------------------------------
 
-# fixed values: labels of field-mode documents
-FIELD_NAMES = ["活动内容", "活动时间", "适用人群", "卡种", "卡亮点", "详情", "来源", "消息时间", "影响范围", "变更内容", "变更分析", "消息内容", "点评",
-               "卡组织", "发卡银行", "年费标准", "有效期限", "原文链接", "发布时间", "作者", "关键信息", "标题", "银行"]
-
-
 def parse_modes(paragraphs):
     """(file, mode): standard with Heading 1, announcement with only Heading 2, field when bold labels exceed 20 %."""
     filled = strip(text("text")) != ""
-    label = F.rlike(strip(text("text")), F.lit(f"^(?:{any_of(FIELD_NAMES)})[：:]"))
+    label = F.rlike(strip(text("text")), F.lit(f"^(?:{any_of(lx.FIELD_NAMES)})[：:]"))
     g = paragraphs.groupBy("file").agg(F.count_if(filled & (F.col("style") == "Heading 1")).alias("h1"), F.count_if(filled & (F.col("style") == "Heading 2")).alias("h2"),
                                        F.count_if(filled & label & F.col("bold")).alias("fields"), F.count_if(filled).alias("n"))
     return g.select("file", case([(F.col("h1") > 0, "standard"), (F.col("h2") > 0, "announcement"), (F.col("fields") / F.nullif("n", F.lit(0)) > 0.2, "field")], "standard").alias("mode"))
@@ -247,7 +231,7 @@ def headings_to_items(paragraphs):
     w = W.partitionBy("file").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
     t = strip(text("text"))
     p = paragraphs.withColumn("text", t).filter("text <> ''").join(parse_modes(paragraphs), "file")
-    label = F.regexp_extract("text", f"^({any_of(FIELD_NAMES)})[：:]", 1)
+    label = F.regexp_extract("text", f"^({any_of(lx.FIELD_NAMES)})[：:]", 1)
     colon = F.when(F.contains("text", F.lit("：")), F.regexp_replace("text", "^[^：]*：", "")).otherwise(F.regexp_replace("text", "^[^:]*:", ""))
     p = p.withColumns({"label": F.when(F.col("mode") == "field", label).otherwise(""), "value": strip(colon)})
     opens1 = case([(F.col("mode") == "standard", F.col("style") == "Heading 1"), (F.col("mode") == "field", F.col("label").isin("银行", "发卡银行"))], F.lit(False))

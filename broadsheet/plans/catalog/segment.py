@@ -109,7 +109,7 @@ def paragraphs(spark, sf):
 SQL_PARA = """, pa AS (SELECT doc_id::VARCHAR AS file, lang, i - 1 AS pos, CASE WHEN starts_with(line, '# ') AND lang = 'en' THEN 'Heading 1' WHEN starts_with(line, '## ') AND lang IN ('en', 'fr') THEN 'Heading 2' WHEN starts_with(line, '- ') THEN 'List Bullet' ELSE 'Normal' END AS style,
   CASE lang WHEN 'de' THEN regexp_replace(line, '^#+ ', '标题：') WHEN 'es' THEN regexp_replace(line, '^## ', '银行：') ELSE regexp_replace(line, '^#+ ', '') END AS text, lang IN ('de', 'es') AS bold
   FROM (SELECT doc_id, lang, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT doc_id, lang, string_split(replace(replace(body, '！', chr(10)), '；', chr(10) || '## '), chr(10)) AS ls FROM notices)))"""
-NAMES = "|".join(sg.FIELD_NAMES)
+NAMES = "|".join(lx.FIELD_NAMES)
 SQL_MODES = SQL_PARA + f""", md AS (SELECT file, CASE WHEN h1 > 0 THEN 'standard' WHEN h2 > 0 THEN 'announcement' WHEN n > 0 AND fl::DOUBLE / n > 0.2 THEN 'field' ELSE 'standard' END AS mode FROM (SELECT file, count(*) FILTER (x <> '' AND style = 'Heading 1') AS h1, count(*) FILTER (x <> '' AND style = 'Heading 2') AS h2,
   count(*) FILTER (bold AND regexp_matches(x, '^(?:{NAMES})[：:]')) AS fl, count(*) FILTER (x <> '') AS n FROM (SELECT *, {sql_strip('text')} AS x FROM pa) GROUP BY file))"""
 SQL_ITEMS = SQL_MODES + f""", p1 AS (SELECT pa.file, pos, style, {sql_strip('text')} AS x, mode FROM pa JOIN md USING (file)),
