@@ -211,3 +211,22 @@ def test_union_sources_small(spark):
     w = spark.createDataFrame([("u3", "页", " "), ("u4", "优惠返现", "活动满减")], "url string, title string, content_text string")
     r = {x.url: (x.source, x.category, x.bank) for x in it.union_sources(a, n, w).collect()}
     assert r == {"u1": ("wechat", "新卡", "招商银行"), "u2": ("website", "公告", "招商银行"), "u4": ("website", "活动", "未知")}
+
+
+def test_image_headers(spark):
+    import struct
+    seg = lambda mark, data: b"\xff" + bytes([mark]) + struct.pack(">H", len(data) + 2) + data
+    frame = lambda mark, h, w, parts: seg(mark, b"\x08" + struct.pack(">HHB", h, w, parts) + b"\x01\x11\x00" * parts)
+    jpeg = b"\xff\xd8" + seg(0xE0, b"JFIF\0" + b"\xff\xc0" * 20) + b"\xff" + seg(0xFE, b"\xff" * 41) + seg(0xC4, b"\0" * 30)
+    webp = lambda kind, data: b"RIFF\0\0\0\0WEBP" + kind + struct.pack("<I", len(data)) + data
+    rows = {
+        "baseline": (jpeg + frame(0xC0, 480, 640, 3) + seg(0xDA, b"\1") + b"\xff\0" * 500, ("JPEG", "RGB", 640, 480)), "progressive": (jpeg + frame(0xC2, 65535, 1, 1), ("JPEG", "L", 1, 65535)),
+        "cut": (jpeg, ("JPEG", None, None, None)), "pixels first": (b"\xff\xd8" + seg(0xDA, b"\1\2\3") + frame(0xC0, 9, 9, 3), ("JPEG", None, None, None)), "bare": (b"\xff\xd8\xff", ("JPEG", None, None, None)),
+        "lossy": (webp(b"VP8 ", b"\x30\1\0\x9d\x01\x2a" + struct.pack("<HH", 800 | 0x4000, 600)), ("WEBP", "RGB", 800, 600)),
+        "lossless": (webp(b"VP8L", b"\x2f" + struct.pack("<I", 799 | 599 << 14 | 1 << 28)), ("WEBP", "RGBA", 800, 600)),
+        "extended": (webp(b"VP8X", b"\x10\0\0\0" + (69999).to_bytes(3, "little") + (1).to_bytes(3, "little")), ("WEBP", "RGBA", 70000, 2)),
+        "png": (b"\x89PNG\r\n\x1a\n\0\0\0\rIHDR" + struct.pack(">IIBB", 3, 4, 8, 6), ("PNG", "RGBA", 3, 4)), "gif": (b"GIF89a" + struct.pack("<HH", 5, 6), ("GIF", "P", 5, 6)),
+        "bmp": (b"BM" + b"\0" * 16 + struct.pack("<iiHH", 7, 8, 1, 24), ("BMP", "RGB", 7, 8)), "text": (b"hello", ("", None, None, None)), "nothing": (b"", ("", None, None, None))}
+    df = spark.createDataFrame([(k, bytearray(b)) for k, (b, _) in rows.items()], "name string, content binary")
+    got = {r.name: (r.format, r.mode, r.width, r.height) for r in rd.image_meta(df).collect()}
+    assert got == {k: want for k, (_, want) in rows.items()}
