@@ -78,8 +78,8 @@ def bm25_terms(postings, n):
     return d.withColumn("idf", F.ln(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)))
 
 
-# buckets of documents with their own score bounds; slack of sums in double precision
-BOUND_BUCKETS, SLACK = 64, 1e-7
+# buckets of documents with their own score bounds; slack of sums in double precision; documents per asked one that set the floor
+BOUND_BUCKETS, SLACK, PROBED = 64, 1e-7, 4
 
 
 def _questions(queries):
@@ -98,8 +98,8 @@ def bm25_search(postings, stats, queries, k=5, k1=1.5, b=0.75):
     order cannot reorder equal documents.
 
     Exact, without scoring every pair of a question and a document that share a term. The most a term can add to a score
-    bounds it. A question's heaviest terms, up to half of what all its terms can add, are scored first: the k-th best of
-    these partial scores is a floor under the final k-th best. Only documents with one of so many heaviest terms that the
+    bounds it. A question's heaviest terms, up to half of what all its terms can add, are scored first, and the best few of
+    these documents with all terms: their k-th best score is a floor under the final k-th best. Only documents with one of so many heaviest terms that the
     others together stay under the floor can be among the best; of these, only those whose partial score and the most the
     other terms can add in the document's bucket reach the floor are looked up for the other terms.
     """
@@ -123,7 +123,15 @@ def bm25_search(postings, stats, queries, k=5, k1=1.5, b=0.75):
         return hit.join(some.select("q", "term", "w"), "term").groupBy("q", "doc_id", "bucket").agg(F.sum(F.col("w") * F.col("part")).alias("score"))
 
     start = cut(scored(q.filter("first")), "first_scores")
-    best = start.withColumn("rank", F.row_number().over(w.orderBy(F.desc("score")))).filter(F.col("rank") <= k)
+    def completed(some, terms):
+        """some (q, doc_id, score) with what the given terms of the question add in the document."""
+        more = some.select("q", "doc_id").join(terms.select("q", "term", "w"), "q").join(hit.select("doc_id", "term", "part"), ["doc_id", "term"])
+        more = more.groupBy("q", "doc_id").agg(F.sum(F.col("w") * F.col("part")).alias("more"))
+        return some.join(more, ["q", "doc_id"], "left").select("q", "doc_id", (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"))
+
+    ahead = start.withColumn("rank", F.row_number().over(w.orderBy(F.desc("score")))).filter(F.col("rank") <= PROBED * k)
+    best = completed(ahead.select("q", "doc_id", "score"), q.filter("NOT first"))
+    best = best.withColumn("rank", F.row_number().over(w.orderBy(F.desc("score")))).filter(F.col("rank") <= k)
     floor = best.groupBy("q").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(0.0).alias("floor"))
     q = cut(q.join(floor, "q", "left").withColumns({"floor": F.coalesce("floor", F.lit(0.0)), "need": F.col("first") | (F.col("left") >= F.coalesce("floor", F.lit(0.0)) - SLACK)}), "essential")
     both = start.unionByName(scored(q.filter("need AND NOT first"))).groupBy("q", "doc_id", "bucket").agg(F.sum("score").alias("score"))
@@ -131,9 +139,7 @@ def bm25_search(postings, stats, queries, k=5, k1=1.5, b=0.75):
     room = rest.select("q", "term", "w").join(most, "term").groupBy("q", "bucket").agg(F.sum(F.col("w") * F.col("most")).alias("room"))
     both = both.join(q.select("q", "floor").distinct(), "q").join(room, ["q", "bucket"], "left")
     some = cut(both.filter(F.col("score") + F.coalesce("room", F.lit(0.0)) >= F.col("floor") - SLACK).select("q", "doc_id", "score"), "candidates")
-    more = some.select("q", "doc_id").join(rest.select("q", "term", "w"), "q").join(hit.select("doc_id", "term", "part"), ["doc_id", "term"])
-    more = more.groupBy("q", "doc_id").agg(F.sum(F.col("w") * F.col("part")).alias("more"))
-    full = some.join(more, ["q", "doc_id"], "left").select("q", "doc_id", F.round(F.col("score") + F.coalesce("more", F.lit(0.0)), 9).alias("score")).filter("score > 0")
+    full = completed(some, rest).withColumn("score", F.round("score", 9)).filter("score > 0")
     top = full.withColumn("rank", F.row_number().over(w.orderBy(F.desc("score"), "doc_id"))).filter(F.col("rank") <= k)
     return asked.join(top, "q").select("qid", "doc_id", "score", "rank")
 
