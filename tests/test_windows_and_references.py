@@ -17,3 +17,10 @@ CUT = '<title>A &amp; B &amp</title><body><h1 class="rich_media_title">A &lt; B
 def test_article_references_need_their_semicolon(spark):
     r = hx.html_article_fields(spark.createDataFrame([(1, CUT)], "page_id int, html string")).first()
     assert (r.title, r.text, r.images) == ("A < B &amp", "x&copy ©&unk; 'y&#39", ["u?a=1&b=2&lt=3"])
+
+
+def test_page_references_need_their_semicolon(spark):
+    page = "<title>Rates &amp; fees &am</title><body><script>if (a&&b) x</script><p>Opening hours &amp</p><p>&lt;b&gt; &amp;amp; more of it</p></body>"
+    r = hx.html_pages_to_text(spark.createDataFrame([(1, page), (2, CUT)], "page_id int, html string")).orderBy("page_id").collect()
+    assert (r[0].title, r[0].text) == ("Rates & fees &am", "Opening hours &amp\n<b> &amp; more of it")
+    assert r[1].title == "A & B &amp"
