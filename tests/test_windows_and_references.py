@@ -24,3 +24,40 @@ def test_page_references_need_their_semicolon(spark):
     r = hx.html_pages_to_text(spark.createDataFrame([(1, page), (2, CUT)], "page_id int, html string")).orderBy("page_id").collect()
     assert (r[0].title, r[0].text) == ("Rates & fees &am", "Opening hours &amp\n<b> &amp; more of it")
     assert r[1].title == "A & B &amp"
+
+
+def seconds(run):
+    t0 = time.time()
+    run()
+    return time.time() - t0
+
+
+SCOPES = ["", "持卡人", "持卡人持卡人", "甲持卡人", "甲乙持卡人", "所有持卡人持卡人", "无，所有白金级持卡人，别的持卡人", "a" * 50 + "持卡人持卡人", "首行\n甲持卡人\n乙丙白金卡和金卡。", "客户客户客户主卡，金卡",
+          "𝒳𝒴持卡人", "x" * 28 + "金卡白金卡" + "y" * 40 + "客户", "长" * 400 + "，短信用卡", "，".join(["甲乙"] * 300) + "，新老客户与信用卡客户", None]
+
+
+def test_scope_windows_find_what_the_patterns_find(spark):
+    def plain(t):
+        found = (re.search(p, t or "") for p in lx.SCOPE_PATTERNS)
+        return next((m[1] for m in found if m), "")
+    d = spark.createDataFrame(list(enumerate(SCOPES)), "i long, t string").select("i", fd.extract_scope("t").alias("o"))
+    assert [r.o for r in d.orderBy("i").collect()] == [plain(t) for t in SCOPES]
+
+
+def test_scope_of_long_texts_is_linear(spark):
+    d = spark.range(200).select(F.repeat(F.concat(F.col("id").cast("string"), F.lit(" words without an end, that go on and on ")), 4000).alias("t"))
+    d = d.select(F.max(fd.extract_scope("t")).alias("o"))
+    assert seconds(d.collect) < 12
+
+
+def test_bigrams_of_long_texts_are_linear(spark):
+    d = spark.range(4).select(F.repeat(F.concat(F.col("id").cast("string"), F.lit("é b")), 40000).alias("t"))
+    d = d.select(sm.set_overlap(sm.title_bigrams("t"), sm.title_bigrams(F.lit("é b"))).alias("o")).select("o.*")
+    rows = []
+    assert seconds(lambda: rows.extend(d.collect())) < 12
+    assert {tuple(r) for r in rows} == {(1, 3, True)}
+
+
+@pytest.mark.parametrize("t, want", [(None, []), ("", []), ("a", []), ("a b", ["a "]), ("  a", []), ("𝒳y𝒳y", ["𝒳y", "y𝒳"]), ("a\nb", ["a\n", "\nb"])])
+def test_bigrams(spark, t, want):
+    assert spark.createDataFrame([(t,)], "t string").select(sm.title_bigrams("t").alias("g")).first().g == want
