@@ -204,27 +204,30 @@ def packages(spark, sf):
     """One small Word package per bulletin: its lines as paragraphs, a table, two images (equal for equal titles)."""
     d = notices(spark, sf).select("doc_id", F.col("source"), F.split(F.regexp_replace("body", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""), "\n").alias("ls"), F.col("title"), "url")
 
+    schema = rd.arrow_schema("path string, content binary")
+
+    def package(r):
+        ps = []
+        for l in r["ls"]:
+            style = "Heading1" if l.startswith("# ") else "Heading2" if l.startswith("## ") else "ListBullet" if l.startswith("- ") else ""
+            ps.append("<w:p>" + (f'<w:pPr><w:pStyle w:val="{style}"/></w:pPr>' if style else "") + f'<w:r><w:t xml:space="preserve">{escape(l)}</w:t></w:r></w:p>')
+        ps.append(f'<w:p><w:hyperlink r:id="rId9"><w:r><w:t>原文</w:t></w:r></w:hyperlink></w:p>')
+        cell = lambda t: f"<w:tc><w:tcx><w:r><w:t>{escape(t)}</w:t></w:r></w:tcx></w:tc>"
+        tbl = f"<w:tbl><w:tr>{cell(r['source'])}{cell(str(r['doc_id']))}</w:tr><w:tr>{cell('')}{cell('')}</w:tr></w:tbl>"
+        rel = f'<Relationships><Relationship Id="rId9" Target="{escape(r["url"])}"/><Relationship Id="rId2" Target="media/a.png"/><Relationship Id="rId3" Target="media/b.bin"/></Relationships>'
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("word/document.xml", "<w:document>" + "".join(ps) + tbl + "</w:document>")
+            z.writestr("word/_rels/document.xml.rels", rel)
+            z.writestr("word/media/a.png", PNG + r["title"].encode())
+            z.writestr("word/media/b.bin", b"GIF89a" + r["source"].encode())
+        return str(r["doc_id"]), buf.getvalue()
+
     def build(batches):
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                ps = []
-                for l in r.ls:
-                    style = "Heading1" if l.startswith("# ") else "Heading2" if l.startswith("## ") else "ListBullet" if l.startswith("- ") else ""
-                    ps.append("<w:p>" + (f'<w:pPr><w:pStyle w:val="{style}"/></w:pPr>' if style else "") + f'<w:r><w:t xml:space="preserve">{escape(l)}</w:t></w:r></w:p>')
-                ps.append(f'<w:p><w:hyperlink r:id="rId9"><w:r><w:t>原文</w:t></w:r></w:hyperlink></w:p>')
-                cell = lambda t: f"<w:tc><w:tcx><w:r><w:t>{escape(t)}</w:t></w:r></w:tcx></w:tc>"
-                tbl = f"<w:tbl><w:tr>{cell(r.source)}{cell(str(r.doc_id))}</w:tr><w:tr>{cell('')}{cell('')}</w:tr></w:tbl>"
-                rel = f'<Relationships><Relationship Id="rId9" Target="{escape(r.url)}"/><Relationship Id="rId2" Target="media/a.png"/><Relationship Id="rId3" Target="media/b.bin"/></Relationships>'
-                buf = io.BytesIO()
-                with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-                    z.writestr("word/document.xml", "<w:document>" + "".join(ps) + tbl + "</w:document>")
-                    z.writestr("word/_rels/document.xml.rels", rel)
-                    z.writestr("word/media/a.png", PNG + r.title.encode())
-                    z.writestr("word/media/b.bin", b"GIF89a" + r.source.encode())
-                out.append(buf.getvalue())
-            yield pd.DataFrame({"path": pdf["doc_id"].astype(str), "content": out})
-    return d.mapInPandas(build, "path string, content binary")
+        for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns))
+            yield from rd.in_parts((package({k: v[i].as_py() for k, v in columns.items()}) for i in range(len(batch))), schema)
+    return d.mapInArrow(build, "path string, content binary")
 
 
 def q_docx(spark, sf):

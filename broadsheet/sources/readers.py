@@ -4,10 +4,14 @@ import io
 import re
 import zipfile
 from html import unescape
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .. import lexicon as lx
 from ..functions.expr import c, first_filled, lit_map, nz, strip, text
@@ -187,18 +191,31 @@ def _text(xml):
     return unescape("".join(re.findall(r"<w:t(?:\s[^>]*)?>(.*?)</w:t>", xml, re.S))).strip()
 
 
+# rows of an Arrow batch that a task gives on at once
+OUT_ROWS = 1024
+
+
+def arrow_schema(ddl):
+    return to_arrow_schema(T.StructType.fromDDL(ddl))
+
+
+def in_parts(rows, schema):
+    """Arrow batches of at most OUT_ROWS rows from an iterator of tuples."""
+    while part := list(islice(rows, OUT_ROWS)):
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*part), schema.types)], schema=schema)
+
+
 def _explode(df, file, content, schema, rows):
-    """One task-side pass over the packages: rows(bytes) -> list of tuples."""
-    names = [x.split(" ")[0] for x in schema.split(", ")]
-    kind = dict(df.dtypes)[file]
+    """One task-side pass over the packages: rows(bytes) -> list of tuples. A task holds one unpacked package and one part
+    of its rows besides the Arrow batch."""
+    out = f"{file} {dict(df.dtypes)[file]}, {schema}"
+    arrow = arrow_schema(out)
 
     def run(batches):
-        for pdf in batches:
-            for f, b in zip(pdf[file], pdf[content]):
-                out = rows(b)
-                if out:
-                    yield pd.DataFrame(out, columns=names).assign(**{file: f})[[file] + names]
-    return df.select(file, content).mapInPandas(run, f"{file} {kind}, {schema}")
+        for batch in batches:
+            f, b = batch.column(0), batch.column(1)
+            yield from in_parts(((f[i].as_py(), *r) for i in range(len(batch)) for r in rows(b[i].as_py())), arrow)
+    return df.select(file, content).mapInArrow(run, out)
 
 
 def read_docx_paragraphs(df, file="path", content="content"):

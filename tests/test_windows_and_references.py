@@ -1,15 +1,19 @@
 """Closed and unclosed references, windows of patterns, bigrams of long texts."""
 
+import io
 import re
 import time
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from broadsheet import lexicon as lx
 from broadsheet.functions import fields as fd
+from broadsheet.functions import labels as lb
 from broadsheet.operators import similarity as sm
 from broadsheet.sources import html as hx
+from broadsheet.sources import readers as rd
 
 CUT = '<title>A &amp; B &amp</title><body><h1 class="rich_media_title">A &lt; B &amp</h1><div id="js_content">x&copy &copy;&unk; &#39;y&#39 <img src="u?a=1&amp;b=2&lt=3"></div></body>'
 
@@ -61,3 +65,51 @@ def test_bigrams_of_long_texts_are_linear(spark):
 @pytest.mark.parametrize("t, want", [(None, []), ("", []), ("a", []), ("a b", ["a "]), ("  a", []), ("𝒳y𝒳y", ["𝒳y", "y𝒳"]), ("a\nb", ["a\n", "\nb"])])
 def test_bigrams(spark, t, want):
     assert spark.createDataFrame([(t,)], "t string").select(sm.title_bigrams("t").alias("g")).first().g == want
+
+
+TERMS = "申领Visa白金卡，尊享新卡版 买一送一优惠。Visa 卡\n超长的名字里有很多很多很多的主题卡和借记卡　满减活动赠活动\tJCB卡 无"
+
+
+def test_terms_of_runs_are_terms_of_the_text(spark):
+    every = lambda p: re.findall(p.replace(r"\s", " \t\n\x0b\f\r"), TERMS)
+    r = spark.createDataFrame([(TERMS,), ("",), ("x" * 50,)], "t string").select(fd.term_names(F.col("t")).alias("n")).select("n.*").collect()
+    fine = lambda ks: [k for k in ks if k not in lx.NOT_CARD_NAMES and not any(w in k for w in lx.NOT_IN_CARD_NAMES)]
+    assert (r[0].has_brand, r[0].branded, r[0].plain) == (True, fine(every(lx.BRANDED_CARD)), fine(every(lx.PLAIN_CARD)))
+    assert r[0].acts == [a for a in every(lx.NAMED_ACTIVITY) if len(a.rstrip(lx.ACTIVITY_END_CHARS)) >= 2]
+    assert tuple(r[1]) == tuple(r[2]) == (False, [], [], [])
+
+
+def test_terms_of_long_texts(spark):
+    d = spark.range(800).select(F.repeat(F.concat(F.col("id").cast("string"), F.lit(" words that go on without 返现 a name ")), 2000).alias("t"))
+    d = d.select(F.max(F.size(fd.named_terms(F.concat("t", F.lit("新卡"))))).alias("o"))
+    assert seconds(d.collect) < 12
+
+
+def package(paragraphs, cells):
+    p = "".join(f"<w:p><w:r><w:t>{t}</w:t></w:r></w:p>" for t in paragraphs)
+    t = "<w:tbl>" + "".join(f"<w:tr><w:tc><w:r><w:t>{x}</w:t></w:r></w:tc></w:tr>" for x in cells) + "</w:tbl>"
+    b = io.BytesIO()
+    with zipfile.ZipFile(b, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("word/document.xml", p + t)
+    return b.getvalue()
+
+
+def test_packages_give_rows_in_bounded_parts(spark, monkeypatch):
+    monkeypatch.setattr(rd, "OUT_ROWS", 3)
+    parts = list(rd.in_parts(((i, [str(i)]) for i in range(8)), rd.arrow_schema("a int, b array<string>")))
+    assert [len(p) for p in parts] == [3, 3, 2] and parts[2].to_pylist()[-1] == {"a": 7, "b": ["7"]}
+    many = [f"p{i}" for i in range(2500)]
+    d = spark.createDataFrame([("a", package(many, ["x", "", "y"])), ("b", package([], [])), ("c", package(["z"], []))], "path string, content binary").coalesce(1)
+    p = rd.read_docx_paragraphs(d).collect()
+    assert [(r.path, r.pos, r.text, r.links) for r in p] == [("a", i, t, []) for i, t in enumerate(many)] + [("c", 0, "z", [])]
+    assert [(r.path, r.tbl, r.row, r.cell, r.text) for r in rd.read_docx_tables(d).collect()] == [("a", 0, 0, 0, "x"), ("a", 0, 2, 0, "y")]
+    assert rd.read_docx_images(d).count() == 0
+    s = rd.docx_stats(rd.read_docx_paragraphs(d), rd.read_docx_tables(d), rd.read_docx_images(d)).orderBy("path").collect()
+    assert [(r.path, r.paragraphs, r.tables, r.images) for r in s] == [("a", 2500, 1, 0), ("c", 1, 0, 0)]
+
+
+def test_banks_are_looked_for_as_plain_words(spark):
+    d = spark.range(800).select(F.concat(F.repeat(F.lit("no bank is named in this long text "), 4000), F.col("id").cast("string"), F.lit("农业银行(x)与工行")).alias("t"))
+    rows = []
+    assert seconds(lambda: rows.extend(d.select(lb.extract_entities("t").alias("e")).distinct().collect())) < 12
+    assert [r.e for r in rows] == [["工商银行", "农业银行"]]
