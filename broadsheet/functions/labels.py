@@ -138,7 +138,7 @@ def resolve_bank(title, author, body, explicit=None, canonical=lx.CANONICAL_BANK
 def extract_entities(x, table=lx.KB_BANKS):
     """All entities of which some alias occurs, in table order."""
     return let(text(x), lambda t: F.array_compact(F.array(*[
-        F.when(F.rlike(t, F.lit(any_of(al))), F.lit(name)) for name, al in table])))
+        F.when(has_any(t, al), F.lit(name)) for name, al in table])))
 
 
 def first_entity_regex(heading, body, names=lx.HEADING_BANKS, n_lines=5):
