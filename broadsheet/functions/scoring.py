@@ -62,13 +62,15 @@ def roi_band(score):
 
 
 def highlight_flag(category, score):
-    """struct(is_highlight, highlight_reason) by category thresholds."""
-    k, s = c(category), c(score)
-    reason = case([((k == "新卡") & (s >= 8), "强烈推荐"), ((k == "新卡") & (s <= 3), "建议避坑"),
-                   ((k == "权益变更") & (s <= 4), "严重缩水，需关注"), ((k == "权益变更") & (s >= 8), "重大利好"),
-                   ((k == "活动") & (s >= 8), "高价值，建议参加"), ((k == "活动") & (s <= 3), "低价值，建议放弃"),
-                   ((k == "公告") & ((s <= 2) | (s >= 9)), "重要公告")], "")
-    return let(reason, lambda r: F.struct((r != "").alias("is_highlight"), r.alias("highlight_reason")))
+    """struct(is_highlight, highlight_reason) by category thresholds; the score is evaluated once."""
+    k = c(category)
+
+    def reason(s):
+        return case([((k == "新卡") & (s >= 8), "强烈推荐"), ((k == "新卡") & (s <= 3), "建议避坑"),
+                     ((k == "权益变更") & (s <= 4), "严重缩水，需关注"), ((k == "权益变更") & (s >= 8), "重大利好"),
+                     ((k == "活动") & (s >= 8), "高价值，建议参加"), ((k == "活动") & (s <= 3), "低价值，建议放弃"),
+                     ((k == "公告") & ((s <= 2) | (s >= 9)), "重要公告")], "")
+    return let(let(c(score), reason), lambda r: F.struct((r != "").alias("is_highlight"), r.alias("highlight_reason")))
 
 
 def priority_band(category, score):

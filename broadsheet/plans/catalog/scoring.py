@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ... import lexicon as lx
+from ...functions.expr import let
 from ...functions import scoring as sc
 from ...sources import scratch
 from .base import notices, q, sql_any, sql_count, sql_list, sql_over_notices
@@ -107,7 +108,7 @@ ENTRIES = {
     "roi_score": one(lambda: sc.roi_score("category", "title", "raw_text", "structured"), "round_even(overall, 1)::DOUBLE"),
     "roi_dimensions": one(lambda: dims(sc.roi_dimensions("category", "title", "raw_text", "structured")), sql_dims()),
     "roi_band": one(lambda: F.concat_ws("|", sc.roi_band(SIG())["overall_roi"], sc.roi_band(SIG())["recommendation"]), f"{BAND} || '|' || {REC}"),
-    "highlight_flag": one(lambda: F.concat_ws("|", sc.highlight_flag("category", SIG())["is_highlight"].cast("string"), sc.highlight_flag("category", SIG())["highlight_reason"]), f"CAST({REASON} <> '' AS VARCHAR) || '|' || {REASON}"),
+    "highlight_flag": one(lambda: let(sc.highlight_flag("category", SIG()), lambda h: F.concat_ws("|", h["is_highlight"].cast("string"), h["highlight_reason"])), f"CAST({REASON} <> '' AS VARCHAR) || '|' || {REASON}"),
     "priority_band": one(lambda: sc.priority_band("category", SIG()), PRIORITY),
     "notes": one(lambda: sc.notes("category", SIG(), "title", "raw_text"), NOTES),
     "worth_applying": one(lambda: worth(sc.worth_applying("category", SIG())), WORTH),
