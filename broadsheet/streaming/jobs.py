@@ -64,35 +64,34 @@ def rocksdb_state(spark):
 class NewestUrls(StatefulProcessor):
     """Per (feed, bucket): the n most lately seen URL hashes with their last place in the stream.
 
-    Rows of unseen hashes come out. The map is cut back to n once it holds slack times as many: oldest first, ties by hash."""
+    Rows of unseen hashes come out. The map is cut back to n once it holds slack times as many: oldest first, ties by hash.
+    A batch reads the map once and writes what has changed of the rows that stay, so the calls to the state are bounded by n."""
 
     def __init__(self, n, slack=1.25):
         self.n, self.slack = n, slack
 
     def init(self, handle):
         self.seen = handle.getMapState("seen", "url_md5 string", "seq long")
-        self.size = handle.getValueState("size", "n long")
 
     def handleInputRows(self, key, rows, timerValues):
-        size = self.size.get()[0] if self.size.exists() else 0
-        fresh = {}
+        before = {k[0]: v[0] for k, v in self.seen.iterator()}
+        held, fresh = dict(before), {}
         for batch in rows:
             found = batch.groupby("url_md5")["seq"].agg(["min", "max"])
-            for url, least, most in found.itertuples():
-                held = (url,)
-                old = self.seen.getValue(held)[0] if self.seen.containsKey(held) else None
+            for url, least, most in zip(found.index, found["min"].tolist(), found["max"].tolist()):
+                old = held.get(url)
                 if old is None:
-                    size += 1
                     fresh[url] = least
                 elif url in fresh:
                     fresh[url] = min(fresh[url], least)
-                self.seen.updateValue(held, (int(most if old is None else max(old, most)),))
-        if size > self.n * self.slack:
-            every = sorted(((v[0], k[0]) for k, v in self.seen.iterator()), key=lambda x: (-x[0], x[1]))
-            for _, url in every[self.n:]:
-                self.seen.removeKey((url,))
-            size = self.n
-        self.size.update((size,))
+                held[url] = most if old is None else max(old, most)
+        if len(held) > self.n * self.slack:
+            held = dict(sorted(held.items(), key=lambda x: (-x[1], x[0]))[:self.n])
+        for url in before.keys() - held.keys():
+            self.seen.removeKey((url,))
+        for url, last in held.items():
+            if before.get(url) != last:
+                self.seen.updateValue((url,), (last,))
         yield pd.DataFrame({"feed": key[0], "url_md5": list(fresh), "seq": list(fresh.values())}).astype({"feed": "object", "url_md5": "object", "seq": "int64"})
 
     def close(self):

@@ -5,6 +5,7 @@ import re
 import time
 import zipfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from broadsheet.functions import labels as lb
 from broadsheet.operators import similarity as sm
 from broadsheet.sources import html as hx
 from broadsheet.sources import readers as rd
+from broadsheet.streaming import jobs
 
 CUT = '<title>A &amp; B &amp</title><body><h1 class="rich_media_title">A &lt; B &amp</h1><div id="js_content">x&copy &copy;&unk; &#39;y&#39 <img src="u?a=1&amp;b=2&lt=3"></div></body>'
 
@@ -113,3 +115,31 @@ def test_banks_are_looked_for_as_plain_words(spark):
     rows = []
     assert seconds(lambda: rows.extend(d.select(lb.extract_entities("t").alias("e")).distinct().collect())) < 12
     assert [r.e for r in rows] == [["工商银行", "农业银行"]]
+
+
+class Held:
+    """A map state that counts its calls."""
+
+    def __init__(self):
+        self.rows, self.calls = {}, 0
+
+    def __getattr__(self, name):
+        def call(*a):
+            self.calls += 1
+            return {"containsKey": lambda k: k in self.rows, "getValue": lambda k: self.rows.get(k), "updateValue": lambda k, v: self.rows.__setitem__(k, v),
+                    "removeKey": lambda k: self.rows.pop(k), "iterator": lambda: iter(list(self.rows.items()))}[name](*a)
+        return call
+
+
+def test_history_calls_its_state_as_often_as_it_holds_rows():
+    p = jobs.NewestUrls(10)
+    p.seen = p.size = Held()
+    p.size = type("Size", (), {"exists": lambda s: hasattr(s, "n"), "get": lambda s: s.n, "update": lambda s, v: setattr(s, "n", v)})()
+    for start in (0, 3000, 5990):
+        rows = [pd.DataFrame({"url_md5": [f"u{i % 5000}" for i in range(k, k + 1500)], "seq": range(k, k + 1500)}) for k in (start, start + 1500)]
+        p.seen.calls = 0
+        out = next(p.handleInputRows(("f", 0), iter(rows), None))
+        assert p.seen.calls <= 30
+        assert p.seen.rows == {(f"u{i % 5000}",): (i,) for i in range(start + 2990, start + 3000)}
+        # 10 rows are held from the call before
+        assert (len(out), out["seq"].min()) == {0: (3000, 0), 3000: (3000, 3000), 5990: (2990, 6000)}[start]
