@@ -38,9 +38,11 @@ def byte_characters():
 
 
 class Encoder:
-    """Tokens of one tokenizer file with word ends, lower case and white space dropped."""
+    """Tokens of one tokenizer file with word ends, lower case and white space dropped.
 
-    def __init__(self, spec):
+    room: the share of the usual cache sizes that this encoder may fill."""
+
+    def __init__(self, spec, room=1.0):
         import ahocorasick
         spec = json.loads(spec)
         model = spec["model"]
@@ -60,9 +62,9 @@ class Encoder:
         for t, i in self.ids.items():
             self.automaton.add_word(t, (len(t), i))
         self.automaton.make_automaton()
-        self.pairs = {}
-        self.known = Remembered(self.packed_word, WORDS)
-        self.pieces = Remembered(self.packed_piece, PIECES)
+        self.pairs, self.most_pairs = {}, int(PAIRS * room)
+        self.known = Remembered(self.packed_word, int(WORDS * room))
+        self.pieces = Remembered(self.packed_piece, int(PIECES * room))
 
     def merged(self, text):
         """The merge rules applied to a short text, lowest rank first, leftmost among equals."""
@@ -82,7 +84,7 @@ class Encoder:
         key = (left, right)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= PAIRS:
+            if len(self.pairs) >= self.most_pairs:
                 self.pairs.clear()
             both = [self.text[i] for i in key if i is not None]
             known = self.pairs[key] = self.merged("".join(both)) == both
@@ -159,8 +161,8 @@ class Decoder:
         return self.blob[np.repeat(self.start[ids] - ends + size, size) + np.arange(ends[-1])][:-1].tobytes()
 
 
-def encoder_of(spec):
-    return kept(("bpe encoder", spec), lambda: Encoder(spec))
+def encoder_of(spec, room=1.0):
+    return kept(("bpe encoder", spec, room), lambda: Encoder(spec, room))
 
 
 @functools.lru_cache(maxsize=2)
@@ -208,25 +210,28 @@ def decode(spark, ids, path):
     return text_of(ids)
 
 
-def encode_documents(docs, path, text="text", rows=500):
+def encode_documents(docs, path, text="text", rows=500, room=1.0):
     """docs with ids (array<int>), n_tokens and decoded; columns of these names in docs are replaced.
 
     One pass encodes and decodes. A batch is worked on and handed back in parts of so many rows, so that a task never holds
-    the ids of a whole batch of long texts. Null texts count as empty: no ids, decoded ''. Repeated rows each get their
-    result; an empty table stays empty."""
+    the ids of a whole batch of long texts; a text that is given on reaches the task once. room: share of the usual sizes of a
+    worker's caches. Null texts count as empty: no ids, decoded ''. Repeated rows each get their result; an empty table
+    stays empty."""
     spec = shared_spec(docs.sparkSession, path)
     kept_columns = [c for c in docs.columns if c.lower() not in ("ids", "n_tokens", "decoded")]
-    given = docs.select(*map(col, kept_columns), body(text).alias(free_name(docs, "body")))
+    once = text in kept_columns and isinstance(docs.schema[text].dataType, T.StringType)
+    given = docs.select(*map(col, kept_columns), *([] if once else [body(text).alias(free_name(docs, "body"))]))
+    at_text, width = kept_columns.index(text) if once else len(kept_columns), len(kept_columns)
 
     def each(batches):
-        encoder, decoder = encoder_of(spec.value), decoder_of(spec.value)
+        encoder, decoder = encoder_of(spec.value, room), decoder_of(spec.value)
         for whole in batches:
             for at in range(0, whole.num_rows, rows):
                 part = whole.slice(at, rows)
-                packed = [encoder.encode(t.as_py()) for t in part.column(part.num_columns - 1)]
+                packed = [encoder.encode(t.as_py() or "") for t in part.column(at_text)]
                 decoded = pa.array((decoder.decode(np.frombuffer(r, np.int32)) for r in packed), pa.binary()).cast(pa.string())
                 counts = pa.array([len(r) // 4 for r in packed], pa.int64())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists_of(packed), counts, decoded], [*part.schema.names[:-1], "ids", "n_tokens", "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:width], lists_of(packed), counts, decoded], [*part.schema.names[:width], "ids", "n_tokens", "decoded"])
 
     fields = [f for f in docs.schema.fields if f.name in kept_columns]
     return given.mapInArrow(each, T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.StringType())]))

@@ -7,6 +7,8 @@ import public_tokenizers
 from . import bpe, frames, minhash, mixing, pii, quality_rules
 
 WORD_BPE = "word_bpe_49k.json"
+#: Share of the encoder's usual caches: beside an executor that earlier stages have grown there is less memory left.
+ROOM = 0.4
 
 
 def quality(spark, docs, sf_dir):
@@ -36,7 +38,7 @@ def mix(spark, docs, sf_dir):
 def encode(spark, docs, sf_dir):
     """Documents with token ids, their number and the decoded text."""
     with frames.stage(spark):
-        return bpe.encode_documents(docs, public_tokenizers.path(WORD_BPE))
+        return bpe.encode_documents(docs, public_tokenizers.path(WORD_BPE), room=ROOM)
 
 
 def run(spark, sf_dir, steps):
