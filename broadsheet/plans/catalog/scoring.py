@@ -79,8 +79,8 @@ SIG = lambda: sc._signals("category", "title", "raw_text", "structured")["overal
 
 
 def scored(spark, sf):
-    """The scored items as a written table; the rollups read it."""
-    return scratch.stage_once(spark, f"scored|{sf}", lambda: sc.score_items(scored_input(spark, sf)))
+    """The scored items as a written table; the rollups read it. Body and raw_text are the same text: written once."""
+    return scratch.stage_once(spark, f"scored|{sf}", lambda: sc.score_items(scored_input(spark, sf)).drop("body")).withColumn("body", F.col("raw_text"))
 
 
 def q_score_items(spark, sf):
