@@ -58,3 +58,40 @@ def test_references_of_highlighted_items(spark):
     postings = rt.bm25_postings(docs)
     got = it.references_of(items.union(items), postings, rt.bm25_stats(docs, postings)).collect()
     assert [(r.item_id, r.doc_id, r["rank"]) for r in got] == [("i", 1, 1)]
+
+
+def test_texts_are_written_once_and_signals_shuffle_once(spark, inputs, tmp_path, monkeypatch):
+    """Only flags and the archive are written; a row of no category stays if a correction gives it one."""
+    from broadsheet.operators import segment as sg
+    from broadsheet.sources import scratch
+    articles, _, pages, blocks = inputs
+    written, cut = {}, scratch.cut_lineage
+
+    def noted(spark, df, name="cut"):
+        written[name] = df.columns
+        return cut(spark, df, name)
+    monkeypatch.setattr(scratch, "cut_lineage", noted)
+    notices = spark.createDataFrame([("甲", "http://u/x", "乙", "其他", "", ""), ("丙", "http://u/y", "丁", "其他", "", "")], "title string, url string, content_text string, category string, bank string, publish_time string")
+    key = spark.createDataFrame([("website|http://u/x|甲",)], "k string").selectExpr("substring(md5(k), 1, 12) AS item_id", "'公告' AS category", "'' AS bank", "'' AS title")
+    root = str(tmp_path / "archive")
+    items, manifest = it.weekly_run(spark, articles, notices, pages, "周/1", root, "2024-06-03 00:00:00", blocks, key)
+    assert written == {"signals": ["article_id", "is_candidate"], "corrections": ["item_id", "suggested"]}
+    rows = items.collect()
+    assert spark.read.parquet(root).count() == len(rows) == manifest.first().total_items > 0
+    assert {r.batch_label for r in rows} == {"周/1"}  # the label itself, not its form in the path
+    assert [(r.url, r.category, r.modified) for r in rows if r.url in ("http://u/x", "http://u/y")] == [("http://u/x", "公告", True)]
+    assert sg.multi_topic_signals(blocks)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_sections_and_runs_count_once(spark):
+    from broadsheet.operators import segment as sg
+    rows = [("a", 0, "article_text", "活动时间：5月 活动对象：持卡人", None), ("a", 1, "article_text", "一、标题", False), ("a", 2, "article_text", "活动时间：5月", False), ("a", 3, "article_text", "活动对象：持卡人", False),
+            ("a", 4, "image_fact", "图", False), ("a", 5, "article_text", "说明", True), ("a", 6, "image_fact", "图", False), ("a", 7, "article_text", "文", False)]
+    r = sg.multi_topic_signals(spark.createDataFrame(rows, "article_id string, pos int, type string, text string, is_heading_like boolean")).first()
+    assert {"repeated_activity_templates", "multiple_independent_sections"} <= set(r.signals)
+
+
+def test_strip_takes_every_white_space(spark):
+    from broadsheet.functions.expr import WHITE, strip
+    from pyspark.sql import functions as F
+    assert spark.range(1).select(strip(F.lit(WHITE + "a" + WHITE + "b" + WHITE)).alias("x")).first().x == "a" + WHITE + "b"
